@@ -46,7 +46,7 @@ def retype(df: DataFrame, schema: StructType) -> DataFrame:
 
     A JSON `value` column is parsed instead. Values that do not fit become null.
     """
-    if "value" in df.columns:
+    if "value" in df.columns and isinstance(df.schema["value"].dataType, StringType):
         return parse_value(df, schema)
     have = set(df.columns)
     columns = [
