@@ -193,13 +193,13 @@ def last_write(spark, sf):
 @query("keyed_merge", """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS status, o_totalprice AS price,
   CASE WHEN o_orderstatus = 'P' THEN o_custkey END AS closed_by FROM orders
-UNION ALL SELECT -1 - o_orderkey, 'F', NULL, o_custkey FROM orders WHERE o_orderkey % 10 = 0""")
+UNION ALL SELECT -1 - o_orderkey, 'F', NULL, o_custkey FROM orders WHERE o_orderstatus = 'O'""")
 def keyed_merge(spark, sf):
     orders = table(spark, sf, "orders")
     target = orders.selectExpr("o_orderkey", "o_orderstatus AS status", "o_totalprice AS price")
     closed = orders.where(F.col("o_orderstatus") == "P").selectExpr(
         "o_orderkey", "'F' AS status", "o_custkey AS closed_by")
-    new = orders.where(F.col("o_orderkey") % 10 == 0).selectExpr(
+    new = orders.where(F.col("o_orderstatus") == "O").selectExpr(
         "-1 - o_orderkey AS o_orderkey", "'F' AS status", "o_custkey AS closed_by")
     return keyed.merge_by_key(target, closed.unionAll(new), ["o_orderkey"])
 

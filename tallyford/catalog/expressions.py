@@ -43,19 +43,20 @@ def time_parsing(spark, sf):
 
 
 @query("date_series", """
-SELECT o_orderkey, strftime(d::DATE, '%Y-%m-%d') AS day, kind FROM (
-  SELECT o_orderkey, 'weekly' AS kind, unnest(generate_series(o_orderdate::DATE - dayofweek(o_orderdate)::INT,
+SELECT strftime(d::DATE, '%Y-%m-%d') AS day, kind, count(*) AS orders FROM (
+  SELECT 'weekly' AS kind, unnest(generate_series(o_orderdate::DATE - dayofweek(o_orderdate)::INT,
     o_orderdate::DATE - dayofweek(o_orderdate)::INT + 6, INTERVAL 1 DAY)) AS d FROM orders
   UNION ALL
-  SELECT o_orderkey, 'range', unnest(generate_series(o_orderdate::DATE, o_orderdate::DATE + 2, INTERVAL 1 DAY))
-  FROM orders)""")
+  SELECT 'range', unnest(generate_series(o_orderdate::DATE, o_orderdate::DATE + 2, INTERVAL 1 DAY))
+  FROM orders) GROUP BY 1, 2""")
 def date_series(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    orders = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d"))
     series = F.array(
         F.struct(F.lit("weekly").alias("kind"), times.days_of_period("d", "weekly").alias("days")),
         F.struct(F.lit("range").alias("kind"), times.days_between("d", F.date_add("d", 2)).alias("days")))
-    days = orders.select("o_orderkey", F.inline(series)).select("o_orderkey", "kind", F.explode("days").alias("day"))
-    return days.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    days = orders.select(F.inline(series)).select("kind", F.explode("days").alias("day"))
+    counts = days.groupBy("kind", "day").agg(F.count(F.lit(1)).alias("orders"))
+    return counts.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @query("month_days", """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..monitors import call_volume, devices, licences, tables, volume
+from ..session import shared_folder
 from .registry import query, table, with_text_time
 
 ORGS = ["AF", "AO", "NF", "NO", "RF"]
@@ -97,10 +98,10 @@ def license_monitor(spark, sf):
 
 
 _USAGE = """
-WITH d AS (SELECT l_returnflag AS orgid, l_shipdate::DATE AS dt, count(DISTINCT l_suppkey) AS dev,
+WITH d AS (SELECT 'p' || (l_partkey % 20) AS orgid, l_shipdate::DATE AS dt, count(DISTINCT l_suppkey) AS dev,
     sum(l_quantity) AS incall, sum(l_linenumber)::DOUBLE AS cable, sum(l_quantity * 2) AS wireless,
     sum(l_linenumber * 10)::DOUBLE AS whiteboard
-  FROM lineitem GROUP BY 1, 2),
+  FROM lineitem WHERE l_partkey % 20 < 18 GROUP BY 1, 2),
 v AS (SELECT orgid, dt, dev, incall / dev AS incall, cable / dev AS cable, wireless / dev AS wireless,
     whiteboard / dev AS whiteboard FROM d),
 a AS (SELECT orgid, trunc(avg(incall))::INT AS "incallAvg", trunc(avg(cable))::INT AS "cableAvg",
@@ -113,19 +114,19 @@ j AS (SELECT v.orgid, '1998-06-15' AS pdate, dev AS "deviceCount", round(incall,
     trunc((cable - "cableAvg") / nullif("cableAvg", 0) * 100)::INT AS "cableDiffPctg",
     trunc((wireless - "wirelessAvg") / nullif("wirelessAvg", 0) * 100)::INT AS "wirelessDiffPctg",
     trunc((whiteboard - "whiteboardAvg") / nullif("whiteboardAvg", 0) * 100)::INT AS "whiteboardDiffPctg",
-    incall BETWEEN "incallAvg" * 0.4 AND "incallAvg" * 1.6 AND cable BETWEEN "cableAvg" * 0.4 AND "cableAvg" * 1.6
-      AND wireless BETWEEN "wirelessAvg" * 0.4 AND "wirelessAvg" * 1.6
-      AND whiteboard BETWEEN "whiteboardAvg" * 0.4 AND "whiteboardAvg" * 1.6 AS normal
+    incall BETWEEN "incallAvg" * 0.5 AND "incallAvg" * 1.5 AND cable BETWEEN "cableAvg" * 0.5 AND "cableAvg" * 1.5
+      AND wireless BETWEEN "wirelessAvg" * 0.5 AND "wirelessAvg" * 1.5
+      AND whiteboard BETWEEN "whiteboardAvg" * 0.5 AND "whiteboardAvg" * 1.5 AS normal
   FROM v JOIN a ON v.orgid = a.orgid WHERE dt = DATE '1998-06-15')"""
 
 
 def _usage(spark, sf):
     rows = table(spark, sf, "lineitem").select(
-        F.col("l_returnflag").alias("orgid"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("pdate"),
-        F.col("l_suppkey").alias("deviceid"), F.col("l_quantity").alias("incall"),
+        F.concat(F.lit("p"), F.col("l_partkey") % 20).alias("orgid"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("pdate"), F.col("l_suppkey").alias("deviceid"), F.col("l_quantity").alias("incall"),
         F.col("l_linenumber").alias("local_share_cable"), (F.col("l_quantity") * 2).alias("local_share_wireless"),
         (F.col("l_linenumber") * 10).alias("white_boarding"))
-    return devices.run(rows, ["A", "N", "R"], BUSINESS_DAY)
+    return devices.run(rows, [f"p{i}" for i in range(18)], BUSINESS_DAY)
 
 
 def _rounded(rows):
@@ -134,12 +135,12 @@ def _rounded(rows):
 
 @query("usage_anomaly", f"{_USAGE} SELECT * EXCLUDE (normal) FROM j WHERE NOT coalesce(normal, false)")
 def usage_anomaly(spark, sf):
-    return _rounded(devices.anomalies(_usage(spark, sf), 0.6))
+    return _rounded(devices.anomalies(_usage(spark, sf), 0.5))
 
 
 @query("usage_normal", f"{_USAGE} SELECT * EXCLUDE (normal) FROM j WHERE normal")
 def usage_normal(spark, sf):
-    return _rounded(devices.normal_rows(_usage(spark, sf), 0.6))
+    return _rounded(devices.normal_rows(_usage(spark, sf), 0.5))
 
 
 def usage_facts(spark, sf):
@@ -233,6 +234,7 @@ SELECT m.org_id, coalesce(n, 0)::DOUBLE AS "currentAvg", round(avg, 6) AS "histo
 FROM m LEFT JOIN (SELECT * FROM d WHERE dt = DATE '2024-01-24') t ON m.org_id = t.org_id""")
 def call_volume_alert(spark, sf):
     calls = call_records(spark, sf)
-    averages = call_volume.model(calls, "2024-01-25", orgs=12)
+    shared_folder(spark)
+    averages = call_volume.model(calls, "2024-01-25", orgs=12).checkpoint()
     rows = call_volume.alerts(calls, averages, "2024-01-24", 0.8, orgs=12).drop("eventTimestamp")
     return rows.withColumn("historyAvg", F.round("historyAvg", 6))

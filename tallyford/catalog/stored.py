@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import periods
 from ..plans.backfill import backfill
@@ -68,31 +69,33 @@ def overwritten(spark, sf):
     return spark.table(name)
 
 
+def _dated_events(spark, sf):
+    return table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("pdate"))
+
+
 @query("partitioned_files", """
-SELECT strftime(o_orderdate, '%Y-%m-%d') AS pdate, count(*) AS orders FROM orders
-WHERE o_orderdate::DATE BETWEEN DATE '1997-03-02' AND DATE '1997-03-08' GROUP BY 1""")
+SELECT strftime(ts, '%Y-%m-%d') AS pdate, count(*) AS events, count(DISTINCT user_id) AS users FROM events
+WHERE ts::DATE BETWEEN DATE '2024-01-07' AND DATE '2024-01-13' GROUP BY 1""")
 def partitioned_files(spark, sf):
     root = fresh_path(spark, "dated")
-    days = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("pdate"), "o_orderkey")
-    write_files(days.where(F.col("pdate").startswith("1997-03")), f"{root}/orders", "json", "append", "pdate")
-    read = read_period(spark, root, "orders", "json", "1997-03-05", "weekly", "pdate", base_path=True)
-    return read.groupBy(F.date_format("pdate", "yyyy-MM-dd").alias("pdate")).agg(F.count("o_orderkey").alias("orders"))
+    write_files(_dated_events(spark, sf), f"{root}/events", "json", "append", "pdate")
+    schema = StructType.fromDDL("event_id BIGINT, user_id BIGINT, pdate STRING")
+    read = read_period(spark, root, "events", "json", "2024-01-10", "weekly", "pdate", schema, base_path=True)
+    return read.groupBy("pdate").agg(F.count("event_id").alias("events"), F.count_distinct("user_id").alias("users"))
 
 
 @query("backfill", """
-SELECT strftime(o_orderdate::DATE - dayofweek(o_orderdate)::INT, '%Y-%m-%d') AS week, count(*) AS orders,
-  count(DISTINCT o_custkey) AS customers FROM orders
-WHERE o_orderdate::DATE BETWEEN DATE '1997-03-02' AND DATE '1997-03-22' GROUP BY 1""")
+SELECT strftime(ts::DATE - dayofweek(ts)::INT, '%Y-%m-%d') AS week, count(*) AS events,
+  count(DISTINCT user_id) AS users FROM events
+WHERE ts::DATE BETWEEN DATE '2024-01-07' AND DATE '2024-01-27' GROUP BY 1""")
 def backfilled(spark, sf):
     path = fresh_path(spark, "backfill")
-    days = table(spark, sf, "orders").select(
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("pdate"), "o_orderkey", "o_custkey")
-    write_files(days.where(F.substring("pdate", 1, 4) == "1997"), path, "parquet", "append", "pdate")
-    rows = backfill(
-        spark, path, "parquet", "pdate", "1997-03-05", "1997-03-20", "weekly",
+    write_files(_dated_events(spark, sf), path, "parquet", "append", "pdate")
+    return backfill(
+        spark, path, "parquet", "pdate", "2024-01-10", "2024-01-25", "weekly",
         lambda df: df.groupBy(F.date_format("period_start", "yyyy-MM-dd").alias("week")).agg(
-            F.count("o_orderkey").alias("orders"), F.count_distinct("o_custkey").alias("customers")))
-    return rows
+            F.count("event_id").alias("events"), F.count_distinct("user_id").alias("users")))
 
 
 _JOB_SQL = """

@@ -55,10 +55,9 @@ FUNCTIONS = {
         "coalesce(get_json_object(v, '$.timeRcvd'), get_json_object(v, \"$['@timestamp']\"), '')"),
     "preprocess": (
         "v STRING", "STRING",
-        "coalesce(CASE WHEN map_contains_key(from_json(v, 'map<string,variant>'), 'appname') "
-        "THEN to_json(from_json(v, 'map<string,variant>')) "
+        "coalesce(CASE WHEN array_contains(json_object_keys(v), 'appname') THEN v "
         "WHEN instr(get_json_object(v, \"$['@message']\"), ':') > 0 THEN concat("
-        f"regexp_replace({_REST}, '[}}]$', ''), if({_REST} = '{{}}', '', ','), '\"SM\":', "
+        f"regexp_replace(regexp_replace({_REST}, '^[{{][}}]$', '{{'), '[}}]$', ','), '\"SM\":', "
         "to_json(try_parse_json(trim(substr(get_json_object(v, \"$['@message']\"), "
         "instr(get_json_object(v, \"$['@message']\"), ':') + 1)))), '}') END, v)"),
 }

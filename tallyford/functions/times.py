@@ -12,6 +12,11 @@ STAMP_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 DAY = "yyyy-MM-dd"
 MINUTE = "yyyy-MM-dd HH:mm"
 WATERMARK_DELAY = {"daily": "28 hours", "weekly": "8 days", "monthly": "32 days"}
+# Days off. 1 = Sunday ... 7 = Saturday; holidays by date, and by month, weekday and the
+# first and last day of the month they can fall on.
+WEEKEND = [1, 7]
+HOLIDAY_DATES = ["01-01", "07-04", "12-24", "12-25"]
+HOLIDAY_WEEKDAYS = [(5, 2, 25, 31), (9, 2, 1, 7), (11, 5, 22, 28), (11, 6, 22, 28)]
 
 
 def as_column(value: Column | str) -> Column:
@@ -97,22 +102,25 @@ def leading_day(text: Column | str) -> Column:
 
 
 def is_business_day(day: Column | str) -> Column:
-    """False on weekends and on the fixed holidays below, true on all other days."""
+    """False on weekends and on the fixed holidays, true on all other days."""
     day = as_column(day).try_cast("date")
     weekday, month, dom = F.dayofweek(day), F.month(day), F.dayofmonth(day)
-    nth = F.ceil(dom / 7)
-    # 1 = Sunday ... 7 = Saturday; month and day, or month and n-th weekday.
-    dates = [(1, 1), (7, 4), (12, 24), (12, 25)]
-    nth_weekdays = [(9, 1, 2), (11, 4, 5), (11, 4, 6)]
-    off = weekday.isin(1, 7)
-    for m, d in dates:
-        off = off | ((month == m) & (dom == d))
-    for m, n, w in nth_weekdays:
-        off = off | ((month == m) & (nth == n) & (weekday == w))
-    off = off | ((month == 5) & (weekday == 2) & (dom > 24))
+    off = weekday.isin(WEEKEND) | F.date_format(day, "MM-dd").isin(HOLIDAY_DATES)
+    for m, w, first, last in HOLIDAY_WEEKDAYS:
+        off = off | ((month == m) & (weekday == w) & dom.between(first, last))
     return ~off
 
 
+def business_day(day: str) -> bool:
+    """`is_business_day` of one date, for filters that list their dates."""
+    date = dt.date.fromisoformat(day)
+    weekday = date.isoweekday() % 7 + 1
+    return not (
+        weekday in WEEKEND or day[5:10] in HOLIDAY_DATES
+        or any(date.month == m and weekday == w and first <= date.day <= last
+               for m, w, first, last in HOLIDAY_WEEKDAYS))
+
+
 def days_between(start: Column | str, end: Column | str) -> Column:
     """All dates from start to end, both included; empty when start is after end."""
     start, end = as_column(start).try_cast("date"), as_column(end).try_cast("date")

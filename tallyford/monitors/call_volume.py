@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import percent
-from ..functions.times import add_days, is_business_day, leading_day
+from ..functions.times import business_day
 from ..operators.lookups import with_every_group
 from ..operators.ranking import top_n
 from . import common
@@ -17,46 +17,46 @@ THRESHOLD = 0.33
 HISTORY_DAYS = 30
 
 
-def average_per_org(calls: DataFrame, after: str, before: str, business_days: bool) -> DataFrame:
-    """Mean number of records per organisation over the days that have any, between two dates."""
-    day = F.col("pdate").try_cast("date")
-    rows = calls.select("org_id", leading_day("locus_start_time").alias("pdate")).where(
-        (F.col("pdate") != "") & (day > F.lit(after).cast("date")) & (day < F.lit(before).cast("date")))
-    if business_days:
-        rows = rows.where(is_business_day("pdate"))
+def average_per_org(calls: DataFrame, days: list[str]) -> DataFrame:
+    """Mean number of records per organisation over those of the days that have any.
+
+    Records whose start time does not begin with one of the dates do not count.
+    """
+    rows = calls.select("org_id", F.substring("locus_start_time", 1, 10).alias("pdate")).where(F.col("pdate").isin(days))
     per_day = rows.groupBy("org_id", "pdate").agg(F.count(F.lit(1)).alias("records"))
     return per_day.groupBy("org_id").agg(F.avg("records").alias("avg"))
 
 
 def model(calls: DataFrame, end: str, days: int = HISTORY_DAYS, orgs: int = TOP_ORGS) -> DataFrame:
-    """Average records per business day of the organisations with the most."""
-    return top_n(average_per_org(calls, add_days(end, -days - 1), end, True), orgs, "avg", "org_id")
+    """Average records per business day of the organisations with the most, to be stored."""
+    return top_n(average_per_org(calls, common.business_days_before(end, days + 1)), orgs, "avg", "org_id")
 
 
 def alerts(
     calls: DataFrame, averages: DataFrame, day: str, threshold: float = THRESHOLD, event_time: str = "",
     orgs: int = TOP_ORGS,
 ) -> DataFrame:
-    """The day's volume of the model's organisations against the model.
+    """The day's volume of the model's organisations against the model, a stored table.
 
     Organisations without records count as 0. Without any record at all there is a single row for
     all organisations. Days off give no rows.
     """
     known = averages.select("org_id", F.col("avg").alias("historyAvg"))
-    ours = calls.join(known.select("org_id"), "org_id", "left_semi")
-    current = average_per_org(ours, add_days(day, -1), add_days(day, 1), False).withColumnRenamed("avg", "currentAvg")
+    ours = calls.where(F.substring("locus_start_time", 1, 10) == day).join(known.select("org_id"), "org_id", "left_semi")
+    current = average_per_org(ours, [day]).withColumnRenamed("avg", "currentAvg")
     ratio = F.try_divide(F.col("currentAvg"), F.col("historyAvg"))
     off = F.col("currentAvg").isNull() | (ratio < threshold) | (ratio > 2 / threshold)
     context = [
         F.lit(event_time).alias("eventTimestamp"), F.lit(day).alias("eventTime"),
         F.lit(str(threshold)).alias("threshold")]
-    rows = with_every_group(known, current, ["org_id"], ["currentAvg"]).where(is_business_day(F.lit(day))).select(
+    rows = with_every_group(known, current, ["org_id"], ["currentAvg"]).where(F.lit(business_day(day))).select(
         "org_id", "currentAvg", "historyAvg", percent("currentAvg", "historyAvg").alias("percentage"), *context,
         F.when(off, "true").otherwise("false").alias("status"))
     silent = known.agg(F.sum("historyAvg").alias("historyAvg")).select(
         F.lit(f"All Top {orgs} Orgs Have No Data").alias("org_id"), F.lit(0.0).alias("currentAvg"), "historyAvg",
         F.lit(0).alias("percentage"), *context, F.lit("true").alias("status"))
-    return rows.where(current.exists()).unionByName(silent.where(~current.exists() & F.col("historyAvg").isNotNull()))
+    # Whether any record exists needs one row of the day, not the day's counts.
+    return rows.where(ours.exists()).unionByName(silent.where(~ours.exists() & F.col("historyAvg").isNotNull()))
 
 
 def messages(rows: DataFrame) -> DataFrame:

@@ -7,26 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import add_days, is_business_day
+from ..functions.times import add_days, business_day, relative_day
 from ..sources.tables import relation_names
 
 
 def monitored_day(day: str | None, run_day: str | None = None) -> str:
     """The day before the run unless a day is named."""
-    from ..functions.times import relative_day
-
     return day or relative_day("-1 days", run_day)
 
 
-def history(day: str, days: int, column: str = "pdate") -> Column:
-    """Dates strictly between `days` before the monitored day and the day itself."""
-    date = F.col(column).try_cast("date")
-    return (date > F.lit(add_days(day, -days)).cast("date")) & (date < F.lit(day).cast("date"))
+def days_before(day: str, days: int) -> list[str]:
+    """The dates strictly between `days` before a day and the day itself.
+
+    A filter that lists its dates prunes partitions and reads no date text row by row.
+    """
+    return [add_days(day, -n) for n in range(days - 1, 0, -1)]
+
+
+def business_days_before(day: str, days: int) -> list[str]:
+    return [d for d in days_before(day, days) if business_day(d)]
 
 
-def same_kind_of_day(day: str, column: str = "pdate") -> Column:
+def like_days_before(day: str, days: int) -> list[str]:
     """Business days when the monitored day is one, other days when it is not."""
-    return is_business_day(column) == is_business_day(F.lit(day))
+    return [d for d in days_before(day, days) if business_day(d) == business_day(day)]
 
 
 def of_orgs(df: DataFrame, orgs: Sequence[str], column: str = "orgid") -> DataFrame:

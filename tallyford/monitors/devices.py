@@ -27,7 +27,8 @@ def run(usage: DataFrame, orgs: Sequence[str], day: str) -> DataFrame:
     One pass: usage per organisation and day, then day and history side by side. Organisations
     without both do not appear.
     """
-    past, today = common.history(day, HISTORY_DAYS), F.col("pdate") == day
+    past = F.col("pdate").isin(common.days_before(day, HISTORY_DAYS))
+    today = F.col("pdate") == day
     rows = common.of_orgs(usage, orgs).where(past | today)
     per_day = rows.groupBy("orgid", "pdate").agg(
         *[F.sum(column).alias(name) for name, column in MEASURES.items()],

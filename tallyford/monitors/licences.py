@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import is_business_day
+from ..functions.times import business_day
 from . import common
 
 # Fixed values.
@@ -20,7 +20,7 @@ def run(licences: DataFrame, orgs: Sequence[str], day: str) -> DataFrame:
 
     Organisations without licences on the day, or without history, do not appear.
     """
-    past = common.history(day, HISTORY_DAYS) & is_business_day("pdate")
+    past = F.col("pdate").isin(common.business_days_before(day, HISTORY_DAYS))
     today = F.col("pdate") == day
     rows = common.of_orgs(common.of_relations(licences, ["license"]), orgs).where(
         (F.col("status") == SUCCESS) & (past | today))
@@ -29,7 +29,7 @@ def run(licences: DataFrame, orgs: Sequence[str], day: str) -> DataFrame:
         F.max(F.when(today, F.col("_users"))).alias("licenseCount"),
         F.avg(F.when(past, F.col("_users"))).cast("int").alias("avg"))
     return per_org.where(F.col("licenseCount").isNotNull() & F.col("avg").isNotNull()).select(
-        "orgid", F.lit(day).alias("pdate"), "licenseCount", is_business_day(F.lit(day)).alias("isBusinessDay"), "avg")
+        "orgid", F.lit(day).alias("pdate"), "licenseCount", F.lit(business_day(day)).alias("isBusinessDay"), "avg")
 
 
 def messages(rows: DataFrame) -> DataFrame:

@@ -65,7 +65,8 @@ def all_counts(aggregates: DataFrame, orgs: Sequence[str], day: str, org: str =
 
 def flagged(counts: DataFrame, day: str, threshold: float) -> DataFrame:
     """Rows of the monitored day with the average of like days, the percentage and the status."""
-    past = counts.where(common.history(day, HISTORY_DAYS) & common.same_kind_of_day(day) & F.col("count").isNotNull())
+    like_days = F.col("pdate").isin(common.like_days_before(day, HISTORY_DAYS))
+    past = counts.where(like_days & F.col("count").isNotNull())
     average = past.groupBy("orgid", "relation_name").agg(F.avg("count").alias("avg"))
     joined = counts.where(F.col("pdate") == day).join(average, ["orgid", "relation_name"])
     relation, count, avg = F.col("relation_name"), F.col("count"), F.col("avg")

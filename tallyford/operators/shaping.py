@@ -15,9 +15,12 @@ from ..functions.times import as_column
 
 
 def parse_value(df: DataFrame, schema: StructType | str, value: str = "value") -> DataFrame:
-    """JSON text to columns, the text itself kept as `raw`."""
-    parsed = F.from_json(F.col(value), schema).alias("data")
-    return df.select(parsed, F.col(value).alias("raw")).select("data.*", "raw")
+    """JSON text to columns, the text itself kept as `raw`.
+
+    `inline` makes the parsed columns a generator's output. Plain projected fields would be pulled
+    into every later filter, each use parsing the text again.
+    """
+    return df.select(F.inline(F.array(F.from_json(F.col(value), schema))), F.col(value).alias("raw"))
 
 
 def schema_of_sample(spark: SparkSession, sample: str) -> StructType:
@@ -91,18 +94,15 @@ def unwrap_message(value: Column | str = "value") -> Column:
     Documents with an `appname`, and whatever cannot be read, come back as they are.
     """
     value = as_column(value)
-    fields = F.from_json(value, "map<string,variant>")
     message = F.get_json_object(value, "$['@message']")
     inner = F.try_parse_json(F.trim(F.substring(message, F.instr(message, ":") + 1, F.length(message))))
-    rest = F.to_json(F.map_filter(fields, lambda k, v: ~k.isin("@message", "SM")))
-    opened = F.substring(rest, F.lit(1), F.length(rest) - 1)
-    joined = F.concat(
-        opened, F.when(rest == "{}", "").otherwise(","), F.lit('"SM":'), F.to_json(inner), F.lit("}"))
-    whole = F.to_json(fields)
-    return F.coalesce(
-        F.when(F.map_contains_key(fields, "appname"), whole)
-        .when(F.instr(message, ":") > 0, joined),
-        value)
+    rest = F.to_json(F.map_filter(
+        F.from_json(value, "map<string,variant>"), lambda k, v: ~k.isin("@message", "SM")))
+    # Reopen the object for one more field: `{"a":1}` to `{"a":1,` and `{}` to `{`.
+    opened = F.regexp_replace(F.regexp_replace(rest, r"^\{\}$", "{"), r"\}$", ",")
+    joined = F.concat(opened, F.lit('"SM":'), F.to_json(inner), F.lit("}"))
+    app = F.array_contains(F.json_object_keys(value), "appname")
+    return F.coalesce(F.when(app, value).when(F.instr(message, ":") > 0, joined), value)
 
 
 def needles(names: str | Sequence[str], field: str = "appname") -> list[str]:

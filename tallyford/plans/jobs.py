@@ -286,14 +286,19 @@ def run_plan(job: Job, stages: list[list[Mapping]]) -> list[Result]:
     queries: list[Result] = []
     held: list[DataFrame] = []
     try:
+        missing = False
         for stage in stages:
             steps = [s for step in stage if not step.get("disable") for s in backfilled(step)]
+            if missing and not any(s["queryName"] in SOURCES for s in steps):
+                continue
             if len(steps) > 1 and not job.streaming:
                 for result in live:
                     held.append(result.frame.persist())
             results = [run_step(job, step, before) for before in (live or [None]) for step in steps]
             queries += [r for r in results if r.query is not None]
             live = [r for r in results if r.frame is not None]
+            # Sources without data end their branches; later steps wait for the next source.
+            missing = not live and any(s["queryName"] not in SINKS for s in steps)
     finally:
         for frame in held:
             frame.unpersist()
