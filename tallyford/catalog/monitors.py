@@ -39,6 +39,9 @@ WITH d AS (SELECT l_returnflag || l_linestatus AS orgid, strftime(l_shipdate, '%
 c AS (
   SELECT 'orgCount' AS orgid, r AS relation_name, pdate, dt, count(*) AS "count" FROM d,
     (SELECT unnest(['fileUsed', 'activeUser', 'callDuration', 'callQuality', 'messageSent']) AS r) GROUP BY ALL
+  UNION ALL SELECT 'orgCount', r, '{day}', DATE '{day}', 0 FROM (SELECT unnest(
+      ['fileUsed', 'activeUser', 'callDuration', 'callQuality', 'messageSent']) AS r)
+    WHERE NOT EXISTS (SELECT 1 FROM d WHERE pdate = '{day}')
   UNION ALL SELECT orgid, 'fileUsed', pdate, dt, q * 2 FROM d WHERE orgid <> 'RO'
   UNION ALL SELECT orgid, 'activeUser', pdate, dt, q * 10 FROM d WHERE orgid <> 'RO'
   UNION ALL SELECT orgid, 'messageSent', pdate, dt, q * 3 FROM d WHERE orgid <> 'RO' AND n % 2 = 0
