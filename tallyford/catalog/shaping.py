@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import lookups, sets, shaping
 from ..reports import regions
-from ..sources import kafka, tables
+from ..sources import kafka, remote, tables
 from .registry import query, table, text_time
 
 
@@ -308,3 +308,16 @@ def month_read(spark, sf):
 @query("row_count", "SELECT count(*) AS rows FROM lineitem")
 def row_count(spark, sf):
     return tables.row_count(table(spark, sf, "lineitem"))
+
+
+def _price_call(body: str) -> str:
+    """Stands in for a service: answers rows with a price each."""
+    import json
+
+    return json.dumps([{"p_partkey": r["p_partkey"], "price": r["p_size"] * 100} for r in json.loads(body)])
+
+
+@query("remote_enrichment", "SELECT p_partkey, CAST(p_size AS BIGINT) * 100 AS price FROM part")
+def remote_enrichment(spark, sf):
+    parts = table(spark, sf, "part").select("p_partkey", "p_size")
+    return remote.enrich_in_batches(parts, _price_call, "p_partkey BIGINT, price BIGINT", 500)

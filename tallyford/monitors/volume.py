@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import percent
-from ..functions.times import unix_day
+from ..functions.times import add_days, iso_day
 from ..operators.lookups import literal_rows
 from . import common
 
@@ -22,16 +22,16 @@ RATIO_ALERTS = ["activeUser", "number_of_total_calls"]
 
 
 def dated(aggregates: DataFrame) -> DataFrame:
-    return aggregates.withColumn("pdate", unix_day(F.unix_timestamp("time_stamp")))
+    return aggregates.withColumn("pdate", iso_day("time_stamp"))
 
 
 def org_counts(aggregates: DataFrame, day: str) -> DataFrame:
     """How many organisations reported each relation per day; on the monitored day 0 when none did."""
-    counts = aggregates.where(F.col("period") == "daily").groupBy("relation_name", "pdate").agg(
-        F.count(F.lit(1)).alias("count"))
-    expected = literal_rows(aggregates.sparkSession, {"relation_name": COUNTED}).withColumn("pdate", F.lit(day))
-    missing = expected.join(counts, ["relation_name", "pdate"], "left_anti").withColumn("count", F.lit(0).cast("bigint"))
-    return counts.unionByName(missing).select(F.lit("orgCount").alias("orgid"), "relation_name", "pdate", "count")
+    reported = aggregates.where(F.col("period") == "daily").select("relation_name", "pdate", F.lit(1).alias("_n"))
+    expected = literal_rows(aggregates.sparkSession, {"relation_name": COUNTED}).select(
+        "relation_name", F.lit(day).alias("pdate"), F.lit(0).alias("_n"))
+    counts = reported.unionAll(expected).groupBy("relation_name", "pdate").agg(F.sum("_n").alias("count"))
+    return counts.select(F.lit("orgCount").alias("orgid"), "relation_name", "pdate", "count")
 
 
 def counts_per_org(aggregates: DataFrame) -> DataFrame:
@@ -83,7 +83,11 @@ def flagged(counts: DataFrame, day: str, threshold: float) -> DataFrame:
 
 
 def run(aggregates: DataFrame, orgs: Sequence[str], day: str, threshold: float, org: str = "*") -> DataFrame:
-    return flagged(all_counts(aggregates, orgs, day, org), day, threshold)
+    """Status per organisation and relation on the monitored day; reads only that day and its history."""
+    time = F.col("time_stamp")
+    since, until = (F.lit(add_days(day, n)).cast("timestamp") for n in (1 - HISTORY_DAYS, 1))
+    rows = aggregates.where((time >= since) & (time < until))
+    return flagged(all_counts(rows, orgs, day, org), day, threshold)
 
 
 def messages(rows: DataFrame) -> DataFrame:

@@ -72,3 +72,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     matches = fs.globStatus(jvm_path)
     return matches is not None and len(matches) > 0
+
+
+def replace_path(spark: SparkSession, path: str, new: str, old: str) -> None:
+    """Put a finished folder in the place of another, which is kept as `old` until the new one is there."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(to_path(path)):
+        fs.delete(to_path(old), True)
+        if not fs.rename(to_path(path), to_path(old)):
+            raise OSError(f"cannot move {path} aside")
+    if not fs.rename(to_path(new), to_path(path)):
+        raise OSError(f"cannot move {new} to {path}")
+    fs.delete(to_path(old), True)

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from ..sources.modes import save_mode
 
 
-def write_files(df: DataFrame, path: str, fmt: str, mode: str, partition_key: str | None = None) -> None:
-    """Write files, partitioned when a key is given.
+def write_files(df: DataFrame, path: str, fmt: str, mode: str, partition_key: str | Sequence[str] | None = None) -> None:
+    """Write files, partitioned when a key or several are given.
 
     The rebalance hint gathers a partition's rows into well-sized files and splits a hot partition.
     """
-    if partition_key:
-        df = df.hint("rebalance", partition_key)
+    keys = [partition_key] if isinstance(partition_key, str) else list(partition_key or [])
+    if keys:
+        df = df.hint("rebalance", *keys)
     writer = df.write.mode(save_mode(mode)).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", "true")
-    if partition_key:
-        writer = writer.partitionBy(partition_key)
+    if keys:
+        writer = writer.partitionBy(*keys)
     writer.save(path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -11,20 +12,28 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..operators.keyed import delete_by_key, last_write, merge_by_key
 from ..operators.shaping import lower_names, table_rows
-from ..session import path_exists, shared_folder
+from ..session import path_exists, replace_path, shared_folder
 
 
 MAX_PRUNED = 10_000
+_TURNS: dict[str, threading.Lock] = {}
 TOMBSTONE = "_deleted"
 
 
+def _turn(path: str) -> threading.Lock:
+    """The lock of a table's writers: streams of one application may share a table."""
+    return _TURNS.setdefault(path, threading.Lock())
+
+
 @dataclass
 class KeyedTable:
     """Files under a path, partitioned by some of the key columns, one row per key.
 
     An upsert or delete rewrites only the partitions it touches, by a dynamic partition overwrite:
-    Spark stages the new files and moves them in when the job is done. Repeating a write gives the
-    same table, so a retried stream batch is harmless. One writer at a time.
+    Spark stages the new files and moves them in when the job is done. A table without partitions is
+    written anew next to the old one, which it then replaces. Repeating a write gives the same
+    table, so a retried stream batch is harmless. Writers of one application take turns; a table
+    must not be written by two applications.
 
     A partition that loses all its rows keeps one hidden tombstone row, since an overwrite by
     partition cannot leave a partition empty.
@@ -43,17 +52,20 @@ class KeyedTable:
             raise ValueError("partition columns must be key columns, and keys must be in the schema")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        if not path_exists(spark, self.path):
+        # Between the two renames of a replacement only the old copy exists.
+        path = next((p for p in (self.path, self._old_path) if path_exists(spark, p)), None)
+        if path is None:
             return spark.createDataFrame([], self.schema)
         stored = StructType([*self.schema.fields, StructField(TOMBSTONE, BooleanType())])
-        rows = spark.read.schema(stored).format(self.fmt).load(self.path)
+        rows = spark.read.schema(stored).format(self.fmt).load(path)
         return rows.where(F.col(TOMBSTONE).isNull()).select(self.schema.fieldNames())
 
     def upsert(self, df: DataFrame, order: Column | None = None) -> None:
         """Merge rows by key and column; where a key repeats, the highest order is the last write."""
         spark = df.sparkSession
         updates = self._staged(last_write(self._typed(table_rows(df)), self.keys, order))
-        self._replace(merge_by_key(self._touched(spark, updates), updates, self.keys))
+        with _turn(self.path):
+            self._replace(merge_by_key(self._touched(spark, updates), updates, self.keys))
 
     def delete(self, doomed: DataFrame) -> None:
         """Delete the rows whose keys are given; a stream cannot delete."""
@@ -61,11 +73,16 @@ class KeyedTable:
             raise ValueError("rows cannot be deleted by a stream")
         spark = doomed.sparkSession
         doomed = self._staged(self._typed(lower_names(doomed)).select(*self.keys).distinct())
-        kept = delete_by_key(self._touched(spark, doomed), doomed, self.keys)
-        if self.partition_by:
-            marks = doomed.select(*self.partition_by).distinct().withColumn(TOMBSTONE, F.lit(True))
-            kept = kept.unionByName(marks, allowMissingColumns=True)
-        self._replace(kept)
+        with _turn(self.path):
+            kept = delete_by_key(self._touched(spark, doomed), doomed, self.keys)
+            if self.partition_by:
+                marks = doomed.select(*self.partition_by).distinct().withColumn(TOMBSTONE, F.lit(True))
+                kept = kept.unionByName(marks, allowMissingColumns=True)
+            self._replace(kept)
+
+    @property
+    def _old_path(self) -> str:
+        return f"{self.path.rstrip('/')}.old"
 
     def _typed(self, rows: DataFrame) -> DataFrame:
         names = {n.lower(): n for n in self.schema.fieldNames()}
@@ -97,7 +114,9 @@ class KeyedTable:
 
     def _replace(self, rows: DataFrame) -> None:
         if not self.partition_by:
-            self._staged(rows).write.mode("overwrite").format(self.fmt).save(self.path)
+            spark, new = rows.sparkSession, f"{self.path.rstrip('/')}.new"
+            rows.write.mode("overwrite").format(self.fmt).save(new)
+            replace_path(spark, self.path, new, self._old_path)
             return
         (rows.hint("rebalance", *self.partition_by).write.mode("overwrite").format(self.fmt)
          .partitionBy(*self.partition_by).option("partitionOverwriteMode", "dynamic").save(self.path))
