@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import percent
-from ..functions.times import business_day
+from ..functions.times import add_days, business_day
 from ..operators.lookups import with_every_group
 from ..operators.ranking import top_n
 from . import common
@@ -17,12 +17,24 @@ THRESHOLD = 0.33
 HISTORY_DAYS = 30
 
 
+def on_days(calls: DataFrame, days: list[str]) -> DataFrame:
+    """Records that start on one of the days, given in order.
+
+    The text range is what a source can use to skip data; the list of dates is exact.
+    """
+    if not days:
+        return calls.limit(0)
+    start = F.col("locus_start_time")
+    spanned = calls.where((start >= days[0]) & (start < add_days(days[-1], 1)))
+    return spanned.where(F.substring(start, 1, 10).isin(days))
+
+
 def average_per_org(calls: DataFrame, days: list[str]) -> DataFrame:
     """Mean number of records per organisation over those of the days that have any.
 
     Records whose start time does not begin with one of the dates do not count.
     """
-    rows = calls.select("org_id", F.substring("locus_start_time", 1, 10).alias("pdate")).where(F.col("pdate").isin(days))
+    rows = on_days(calls, days).select("org_id", F.substring("locus_start_time", 1, 10).alias("pdate"))
     per_day = rows.groupBy("org_id", "pdate").agg(F.count(F.lit(1)).alias("records"))
     return per_day.groupBy("org_id").agg(F.avg("records").alias("avg"))
 
@@ -42,7 +54,7 @@ def alerts(
     all organisations. Days off give no rows.
     """
     known = averages.select("org_id", F.col("avg").alias("historyAvg"))
-    ours = calls.where(F.substring("locus_start_time", 1, 10) == day).join(known.select("org_id"), "org_id", "left_semi")
+    ours = on_days(calls, [day]).join(known.select("org_id"), "org_id", "left_semi")
     current = average_per_org(ours, [day]).withColumnRenamed("avg", "currentAvg")
     ratio = F.try_divide(F.col("currentAvg"), F.col("historyAvg"))
     off = F.col("currentAvg").isNull() | (ratio < threshold) | (ratio > 2 / threshold)

@@ -17,18 +17,20 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Stream state lives on local disk and checkpoints only its changes.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.orc.filterPushdown": "true",
     "spark.sql.orc.enableVectorizedReader": "true",
 }
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session someone else built."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return spark
 
 

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate())

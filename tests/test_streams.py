@@ -74,7 +74,7 @@ def test_restart_continues_and_late_rows_drop(spark):
 
 def test_state_of_closed_periods_is_dropped(spark):
     folder = fresh_path(spark, "in")
-    for day in range(1, 21):
+    for day in range(1, 10):
         add_file(spark, folder, [(at(day), "o", f"u{i}") for i in range(20)])
     table = KeyedTable(fresh_path(spark, "out"), AGGREGATE, ["eventKey", "time_stamp"])
     query = run(spark, counts(stream(spark, folder)), table, f"s{uuid.uuid4().hex}", fresh_path(spark, "ck"))
