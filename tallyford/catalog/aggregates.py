@@ -219,16 +219,22 @@ def time_normalised(spark, sf):
     return with_text_time(normalize_time(text, "ts"), "ts")
 
 
-_SQL = """
-CREATE OR REPLACE TEMPORARY VIEW cut AS
-  SELECT aggregateStartDate(time_stamp) AS time_stamp, orgId, userId FROM SOURCE_VIEW;
-CREATE OR REPLACE TEMPORARY VIEW once AS DropDuplicates time_stamp, orgId, userId;
-SELECT concat(time_stamp, '^', orgId, '^', 'activeUser', '^', periodTag(orgId)) AS eventKey, time_stamp, orgId,
-  count(userId) AS userCountByOrg, periodTag(orgId) AS period, 'activeUser' AS relation_name
-FROM once GROUP BY orgId, time_stamp
+# Visitors per kind of event: how many came back for the same kind within a period does not matter.
+VISITORS_SQL = """
+CREATE OR REPLACE TEMPORARY VIEW visits AS
+  SELECT aggregateStartDate(time_stamp) AS time_stamp, orgId AS kind, userId AS visitor, userId % 2 AS side
+  FROM SOURCE_VIEW WHERE value > 1;
+CREATE OR REPLACE TEMPORARY VIEW visitors AS DropDuplicates time_stamp, kind, visitor;
+SELECT time_stamp, kind, periodTag(kind) AS period, count(*) AS visitors, sum(side) AS odd_visitors
+FROM visitors GROUP BY time_stamp, kind
 """
+VISITORS_TWIN = """
+SELECT t AS time_stamp, event_type AS kind, '{period}' AS period, count(*) AS visitors,
+  sum(user_id % 2)::BIGINT AS odd_visitors
+FROM (SELECT DISTINCT strftime({start}, '%Y-%m-%d %H:%M:%S') AS t, event_type, user_id FROM events WHERE value > 1)
+GROUP BY t, event_type"""
 
 
-@query("sql_stage", _ACTIVE.format(period="weekly", start=_START["weekly"]))
+@query("sql_stage", VISITORS_TWIN.format(period="weekly", start=_START["weekly"]))
 def staged_sql(spark, sf):
-    return with_text_time(sql_stage(spark, _SQL, event_facts(spark, sf), {"aggregatePeriod": "weekly"}))
+    return with_text_time(sql_stage(spark, VISITORS_SQL, event_facts(spark, sf), {"aggregatePeriod": "weekly"}))

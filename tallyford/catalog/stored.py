@@ -15,7 +15,7 @@ from ..sinks.files import write_files
 from ..sinks.tables import KeyedTable, insert_overwrite
 from ..sources.files import read_period
 from ..streaming import sinks
-from .aggregates import _ACTIVE, _START
+from .aggregates import _ACTIVE, _START, VISITORS_SQL, VISITORS_TWIN
 from .registry import query, table, with_text_time
 from .shaping import raw_lines
 
@@ -98,33 +98,26 @@ def backfilled(spark, sf):
             F.count("event_id").alias("events"), F.count_distinct("user_id").alias("users")))
 
 
-_JOB_SQL = """
-CREATE OR REPLACE TEMPORARY VIEW cut AS SELECT aggregateStartDate(time_stamp) AS time_stamp, orgId, userId
-  FROM SOURCE_VIEW;
-CREATE OR REPLACE TEMPORARY VIEW once AS DropDuplicates time_stamp, orgId, userId;
-SELECT concat(time_stamp, '^', orgId, '^', 'activeUser', '^', periodTag(orgId)) AS eventKey, time_stamp, orgId,
-  count(userId) AS userCountByOrg, periodTag(orgId) AS period, 'activeUser' AS relation_name
-FROM once GROUP BY orgId, time_stamp
-"""
 _AGGREGATE = ("eventKey STRING, time_stamp TIMESTAMP, orgId STRING, userCountByOrg BIGINT, period STRING, "
               "relation_name STRING")
 
 
 @query("job_plan", " UNION ALL ".join(
-    _ACTIVE.format(period=p, start=_START[p]).strip() for p in ("daily", "monthly")))
+    VISITORS_TWIN.format(period=p, start=_START[p]).strip() for p in ("daily", "monthly")))
 def job_plan(spark, sf):
-    """A job of three stages: read, count per day and per month, merge both into one keyed table."""
-    target = KeyedTable(fresh_path(spark, "aggregates"), _AGGREGATE, ["eventKey", "time_stamp"])
+    """A job: read, count per day and per month in SQL, merge both results into one keyed table."""
+    schema = "time_stamp TIMESTAMP, kind STRING, period STRING, visitors BIGINT, odd_visitors BIGINT"
+    target = KeyedTable(fresh_path(spark, "visitors"), schema, ["time_stamp", "kind", "period"])
     job = Job(
-        spark, settings={"dataLocation": sf}, sql={"activeUserCount": _JOB_SQL}, tables={"aggregates": target},
+        spark, settings={"dataLocation": sf}, sql={"visitors": VISITORS_SQL}, tables={"visitors": target},
         transforms={"facts": lambda df, p: df.selectExpr(
-            "CAST(ts AS TIMESTAMP) AS time_stamp", "event_type AS orgId", "user_id AS userId")})
-    count = {"queryName": "activeUserCount", "parameters": {"timeStampField": "time_stamp", "output": "count"}}
+            "CAST(ts AS TIMESTAMP) AS time_stamp", "event_type AS orgId", "user_id AS userId", "value")})
+    count = {"queryName": "visitors", "parameters": {"timeStampField": "time_stamp", "output": "visitors"}}
     run_plan(job, [
         [{"queryName": "readFromFile", "parameters": {"input": "events.parquet", "format": "parquet"}}],
         [{"queryName": "facts"}],
         [merged_step(count, p) for p in ("daily", "monthly")] + [{"queryName": "missing", "disable": True}],
-        [{"queryName": "writeToCassandra", "parameters": {"cassandra": {"table": "aggregates", "saveMode": "update"}}}],
+        [{"queryName": "writeToCassandra", "parameters": {"cassandra": {"table": "visitors", "saveMode": "update"}}}],
     ])
     return with_text_time(target.read(spark))
 

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .times import check_period
 
 _PARSE = (
-    "coalesce(try_to_timestamp({0}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"), "
-    "try_to_timestamp({0}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\"), "
+    "coalesce(CASE length({0}) WHEN 20 THEN try_to_timestamp({0}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") "
+    "WHEN 24 THEN try_to_timestamp({0}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\") END, "
     "try_to_timestamp(substring({0}, 1, 10), 'yyyy-MM-dd'))"
 )
 _REST = "to_json(map_filter(from_json(v, 'map<string,variant>'), (k, x) -> k NOT IN ('@message', 'SM')))"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Accepted time texts, day and minute formats, watermark delays per period.
 STAMP_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+STAMP_LENGTHS = (20, 24)
 DAY = "yyyy-MM-dd"
 MINUTE = "yyyy-MM-dd HH:mm"
 WATERMARK_DELAY = {"daily": "28 hours", "weekly": "8 days", "monthly": "32 days"}
@@ -42,11 +43,14 @@ def iso_minute(ts: Column | str) -> Column:
 def parse_stamp(text: Column | str, on_error: str = "null") -> Column:
     """Time text to a timestamp; the leading date counts when the rest is in no known form.
 
-    Unreadable text gives null, or the current time with `on_error='now'`.
+    Unreadable text gives null, or the current time with `on_error='now'`. The text's length tells
+    which pattern can match: a failed attempt costs several times a good one.
     """
     text = as_column(text)
-    tries = [F.try_to_timestamp(text, F.lit(p)) for p in STAMP_PATTERNS]
-    tries.append(F.try_to_timestamp(F.substring(text, 1, 10), F.lit(DAY)))
+    size = F.length(text)
+    seconds, millis = (F.try_to_timestamp(text, F.lit(p)) for p in STAMP_PATTERNS)
+    exact = F.when(size == STAMP_LENGTHS[0], seconds).when(size == STAMP_LENGTHS[1], millis)
+    tries = [exact, F.try_to_timestamp(F.substring(text, 1, 10), F.lit(DAY))]
     if on_error == "now":
         tries.append(F.current_timestamp())
     elif on_error != "null":

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.times import period_starts, relative_day
-from ..operators.shaping import normalize_time, schema_of_file
+from ..operators.shaping import normalize_time, schema_of_file, table_rows
 from ..sinks import files as file_sinks
 from ..sinks.tables import KeyedTable, insert_overwrite
 from ..sources import files, jdbc, kafka, remote, tables
@@ -24,6 +24,8 @@ from ..streaming import sinks as streams
 from .sql_stage import sql_stage
 
 BATCH, STREAM = "batch", "stream"
+# Fixed value: tables whose day is in their time column.
+TIME_KEYED = ["spark_agg_v2"]
 
 
 @dataclass
@@ -131,7 +133,9 @@ def _write_file(job: Job, frame: DataFrame, p: Mapping):
 
 
 def _read_topic(job: Job, frame, p: Mapping):
-    return kafka.read_topics(job.spark, p["kafka"], job.streaming, job.schema(p.get("schemaName")))
+    loss = p.get("spark", {}).get("streamingKafkaFailOnDataLoss")
+    settings = p["kafka"] if loss is None else {"failOnDataLoss": loss, **p["kafka"]}
+    return kafka.read_topics(job.spark, settings, job.streaming, job.schema(p.get("schemaName")))
 
 
 def _write_topic(job: Job, frame: DataFrame, p: Mapping):
@@ -142,21 +146,16 @@ def _write_topic(job: Job, frame: DataFrame, p: Mapping):
     kafka.write_topic(frame, p["kafka"], topic)
 
 
-def _wide_options(p: Mapping) -> dict[str, str]:
-    options = {k: p["cassandra"][k] for k in ("table", "keyspace") if k in p["cassandra"]}
-    return {**options, **p["cassandra"].get("options", {})}
-
-
 def _read_table(job: Job, frame, p: Mapping):
     if job.streaming:
         raise ValueError("a wide-column table cannot be read as a stream")
     name = p["cassandra"]["table"]
     table = job.tables.get(name)
-    rows = table.read(job.spark) if table else tables.read_wide_table(job.spark, _wide_options(p))
+    rows = table.read(job.spark) if table else tables.read_wide_table(job.spark, tables.wide_options(p["cassandra"]))
     day = relative_day(p["date"], job.run_day) if "date" in p else None
     return tables.select_rows(
         rows, day, p.get("relation"), p.get("month"), p.get("monthPartition", False), p.get("wholeMonth", False),
-        p.get("dayColumn", "pdate"))
+        p.get("dayColumn", "time_stamp" if name in TIME_KEYED else "pdate"))
 
 
 def _write_table(job: Job, frame: DataFrame, p: Mapping):
@@ -167,9 +166,7 @@ def _write_table(job: Job, frame: DataFrame, p: Mapping):
             return streams.to_keyed_table(frame, job.tables[name], p["output"], mode, _trigger(p), _checkpoints(p))
         save_mode(mode)
         return job.tables[name].upsert(frame)
-    from ..operators.shaping import table_rows
-
-    options = _wide_options(p)
+    options = tables.wide_options(p["cassandra"])
     if job.streaming:
         def write(batch: DataFrame, _: int) -> None:
             table_rows(batch).write.format(tables.WIDE_COLUMN_FORMAT).options(**options).mode("append").save()
@@ -214,7 +211,7 @@ def _enrich(job: Job, frame: DataFrame, p: Mapping):
     http = p["http"]
     return remote.enrich_in_batches(
         frame, job.connections.get("http") or remote.json_poster(f"{http['server']}/{http['endPoint']}"),
-        job.schema(http["schemaName"]))
+        job.schema(p.get("schemaName") or http["schemaName"]))
 
 
 SOURCES = {
@@ -305,6 +302,11 @@ def run_plan(job: Job, stages: list[list[Mapping]]) -> list[Result]:
     return live + queries
 
 
+def load_settings(spark: SparkSession, path: str) -> dict:
+    """The defaults of a JSON settings file."""
+    return json.loads(files.read_whole_text(spark, path))
+
+
 def load_job(spark: SparkSession, path: str) -> list[list[dict]]:
     """The stages of a job file."""
     return json.loads(files.read_whole_text(spark, path))["queryPlan"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,17 +29,34 @@ def _marked(df: DataFrame, parameters: Mapping) -> DataFrame:
     return mark(df, column, parameters["aggregatePeriod"])
 
 
+@contextmanager
+def _sql_rules(spark: SparkSession, ansi: bool):
+    """Analyse statements by ANSI rules or by the lenient ones older SQL texts were written for."""
+    name = "spark.sql.ansi.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(ansi).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def sql_stage(
     spark: SparkSession, text: str, df: DataFrame | None = None, parameters: Mapping | None = None,
-    run_day: str | None = None,
+    run_day: str | None = None, ansi: bool = False,
 ) -> DataFrame | None:
     """Run `;`-separated statements; the last SELECT or view is the result.
 
     The input is the view `SOURCE_VIEW`. `CREATE VIEW v AS DropDuplicates a, b` removes duplicates
     from the frame or view made just before. `$date` stands for the `date` parameter in statements
-    other than SELECT. With `aggregatePeriod` the period functions are those of that period.
+    other than SELECT. With `aggregatePeriod` the period functions are those of that period. Without
+    `ansi`, mixed types meet as text and a failed cast or division gives null.
     """
-    parameters = parameters or {}
+    with _sql_rules(spark, ansi):
+        return _run(spark, text, df, parameters or {}, run_day)
+
+
+def _run(spark: SparkSession, text: str, df: DataFrame | None, parameters: Mapping, run_day: str | None):
     if "aggregatePeriod" in parameters:
         sql_names.register_period(spark, parameters["aggregatePeriod"])
     for name, field in (("featureName", "featureName"), ("appName", "appname")):

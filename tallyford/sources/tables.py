@@ -14,6 +14,28 @@ WIDE_COLUMN_FORMAT = "org.apache.spark.sql.cassandra"
 DOCUMENT_FORMAT = "org.elasticsearch.spark.sql"
 
 
+# Setting name and the connector option it becomes.
+WIDE_OPTIONS = {
+    "table": "table",
+    "keyspace": "keyspace",
+    "host": "spark.cassandra.connection.host",
+    "port": "spark.cassandra.connection.port",
+    "local_dc": "spark.cassandra.connection.localDC",
+    "username": "spark.cassandra.auth.username",
+    "password": "spark.cassandra.auth.password",
+    "readTimeout": "spark.cassandra.read.timeoutMS",
+}
+
+
+def wide_options(settings: Mapping) -> dict[str, str]:
+    """Connector options of a table; unset and empty settings are left to the session."""
+    options = {option: str(settings[name]) for name, option in WIDE_OPTIONS.items() if settings.get(name)}
+    if settings.get("consistencyLevel"):
+        for side in ("input", "output"):
+            options[f"spark.cassandra.{side}.consistency.level"] = settings["consistencyLevel"]
+    return {**options, **settings.get("options", {})}
+
+
 def read_wide_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """A whole table through the connector the cluster supplies."""
     return spark.read.format(WIDE_COLUMN_FORMAT).options(**options).load()

@@ -110,6 +110,16 @@ def test_enrich_in_batches(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(i, i * 2) for i in range(10) if i != 3]
 
 
+def test_wide_table_options():
+    from tallyford.sources.tables import wide_options
+
+    got = wide_options({"host": "h", "port": 9042, "table": "t", "keyspace": "k", "username": "", "consistencyLevel": "ONE",
+                        "saveMode": "update", "options": {"x": "y"}})
+    assert got == {"table": "t", "keyspace": "k", "spark.cassandra.connection.host": "h", "x": "y",
+                   "spark.cassandra.connection.port": "9042", "spark.cassandra.input.consistency.level": "ONE",
+                   "spark.cassandra.output.consistency.level": "ONE"}
+
+
 def test_document_write_skips_empty_frames(spark):
     from tallyford.sources.tables import write_documents
 

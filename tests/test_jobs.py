@@ -74,10 +74,10 @@ def test_sql_job_with_files(spark, tmp_path):
         for d, o, u in [(3, "a", "x"), (3, "a", "x"), (3, "a", "y"), (4, "b", "z")]))
     (tmp_path / "event.json").write_text(json.dumps({"time_stamp": "", "orgId": "", "userId": ""}))
     (tmp_path / "count").write_text("""
-        SELECT aggregateStartDate(time_stamp) as time_stamp, orgId, userId FROM SOURCE_VIEW;
-        CREATE OR REPLACE TEMPORARY view TEMP1 as DropDuplicates time_stamp, orgId, userId;
-        select concat(time_stamp, '^', orgId, '^', periodTag(orgId)) AS eventKey, time_stamp, orgId,
-          count(userId) AS users from TEMP1 GROUP BY orgId, time_stamp""")
+        select aggregateStartDate(time_stamp) AS time_stamp, orgId, userId, 1 AS one FROM SOURCE_VIEW;
+        CREATE OR REPLACE TEMP VIEW seen_once as DropDuplicates time_stamp, orgId, userId;
+        SELECT concat_ws('^', time_stamp, orgId, periodTag(orgId)) AS eventKey, time_stamp, orgId, sum(one) AS users
+        FROM seen_once GROUP BY ALL""")
     (tmp_path / "job.json").write_text(json.dumps({"name": "j", "queryPlan": [
         [step("readFromFile", input="events", format="json", schemaName="event", timeStampField="time_stamp")],
         [step("count", aggregatePeriod="daily", timeStampField="time_stamp", output="count"),
@@ -117,6 +117,15 @@ def test_date_parameter_and_ids(spark):
     assert [r.d for r in rows] == ["2018-05-04"] and len(rows[0].id) == 36
 
 
+def test_lenient_and_ansi_rules(spark):
+    df = spark.createDataFrame([("room", 1), (None, 0)], "s string, n int")
+    text = "SELECT CASE WHEN s IS NOT NULL THEN s ELSE 0 END AS s, 10 / n AS q FROM SOURCE_VIEW ORDER BY s"
+    assert [tuple(r) for r in sql_stage(spark, text, df).collect()] == [("0", None), ("room", 10.0)]
+    with pytest.raises(Exception):
+        sql_stage(spark, text, df, ansi=True).collect()
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
 def test_dedup_applies_to_the_view_before(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "n int, s string")
     text = """CREATE OR REPLACE TEMPORARY VIEW a AS SELECT n FROM SOURCE_VIEW WHERE n < 2;
