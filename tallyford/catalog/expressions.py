@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import histograms, ids, sql_names, times
-from .registry import query, table, text_time
+from .registry import query, table
 
 
 @query("time_formats", """

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.ids import name_uuid
-from ..reports import calls, content, devices, keys, licences, regions, usage
+from ..reports import calls, content, devices, keys, licences, usage
 from . import derive
-from .registry import query, table, text_time, with_text_time
+from .registry import query, table, with_text_time
 
 _TEXT = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
 _DAY = "date_trunc('day', time_stamp)"

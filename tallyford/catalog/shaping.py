@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import lookups, sets, shaping
 from ..reports import regions
 from ..sources import kafka, remote, tables
-from .registry import query, table, text_time
+from .registry import query, table
 
 
 @query("json_parse", """

@@ -17,7 +17,6 @@ from ..sources.files import read_period
 from ..streaming import sinks
 from .aggregates import _ACTIVE, _START, VISITORS_SQL, VISITORS_TWIN
 from .registry import query, table, with_text_time
-from .shaping import raw_lines
 
 _ORDERS = "o_orderkey BIGINT, pdate STRING, status STRING, price DOUBLE"
 

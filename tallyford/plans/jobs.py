@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..functions import sql_names
 from ..functions.times import period_starts, relative_day
 from ..operators.shaping import normalize_time, schema_of_file, table_rows
 from ..sinks import files as file_sinks
@@ -22,6 +23,7 @@ from ..sources import files, jdbc, kafka, remote, tables
 from ..sources.modes import save_mode
 from ..streaming import sinks as streams
 from .sql_stage import sql_stage
+from .steps import Lookups, register_lookups, report_steps
 
 BATCH, STREAM = "batch", "stream"
 # Fixed value: tables whose day is in their time column.
@@ -34,6 +36,7 @@ class Job:
 
     `settings` holds defaults that a step's parameters override. `transforms` maps a step name to
     a function of (frame, parameters); `sql` maps it to SQL text. `tables` are keyed tables by name.
+    With `lookups` the reports are steps, and SQL texts have the mapping and list functions.
     """
 
     spark: SparkSession
@@ -44,12 +47,24 @@ class Job:
     schemas: dict[str, StructType] = field(default_factory=dict)
     tables: dict[str, KeyedTable] = field(default_factory=dict)
     connections: dict[str, Callable] = field(default_factory=dict)
+    lookups: Lookups | None = None
     run_day: str | None = None
     preview: int = 0
+    _registered: bool = field(default=False, repr=False)
 
     def __post_init__(self):
         if self.mode not in (BATCH, STREAM):
             raise ValueError(f"mode must be {BATCH!r} or {STREAM!r}, not {self.mode!r}")
+        if self.lookups:
+            self.transforms = {**report_steps(self.lookups), **self.transforms}
+
+    def register_functions(self) -> None:
+        """Make the scalar functions known to SQL texts, once."""
+        if not self._registered:
+            sql_names.register(self.spark)
+            if self.lookups:
+                register_lookups(self.spark, self.lookups)
+            self._registered = True
 
     @property
     def streaming(self) -> bool:
@@ -264,6 +279,7 @@ def run_step(job: Job, step: Mapping, before: Result | None) -> Result:
     else:
         if "schemaName" in parameters:
             parameters["schema"] = job.schema(parameters["schemaName"])
+        job.register_functions()
         out = sql_stage(job.spark, job.sql_text(name), frame, parameters, job.run_day)
     if out is not None and out.columns and "timeStampField" in own:
         out = normalize_time(out, own["timeStampField"])

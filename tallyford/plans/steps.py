@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import sql_names
 from ..operators import shaping
 from ..reports import calls, content, devices, keys, licences, regions, usage
 
@@ -25,6 +26,14 @@ class Lookups:
     room_device_prefix: str | None = None
 
 
+def register_lookups(spark: SparkSession, lookups: Lookups) -> None:
+    """The lists and mappings as functions of SQL texts."""
+    sql_names.register_excluded_orgs(spark, lookups.excluded_orgs)
+    sql_names.register_test_users(spark, lookups.test_users)
+    sql_names.register_mapping(spark, "uaCategory", lookups.agents)
+    sql_names.register_mapping(spark, "ep1", lookups.endpoints)
+
+
 def split_data(df: DataFrame, p: Mapping) -> DataFrame:
     """Lines of one application, or of one feature when a feature is named."""
     if "featureName" in p:

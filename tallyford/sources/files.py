@@ -138,7 +138,7 @@ def stream_period(
     spark: SparkSession, root: str, inputs: str | Sequence[str], fmt: str, day: str, period: str | None = None,
     partition_key: str | None = None, **options,
 ) -> DataFrame:
-    """As `read_period`, streaming; neither aliases nor tab-separated files."""
+    """As `read_period`, streaming; without aliases and tab-separated files."""
     folders = [f"{partition_key}={d}" if partition_key else d for d in period_days(day, period)]
     return stream_files(spark, root, inputs, fmt, folders=folders, **options)
 

@@ -6,7 +6,9 @@ from pyspark.sql.types import StructType
 
 from tallyford.functions import sql_names
 from tallyford.plans.jobs import Job, backfilled, inherited_output, load_job, merged, run_plan
+from tallyford.operators.lookups import mapping_table, member_list
 from tallyford.plans.sql_stage import sql_stage
+from tallyford.plans.steps import Lookups
 from tallyford.session import fresh_path
 from tallyford.sinks.tables import KeyedTable
 
@@ -96,6 +98,18 @@ def test_sql_job_with_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "count_daily")).count() == 2
 
 
+def test_sql_texts_use_the_lookups(spark, tmp_path):
+    found = Lookups(member_list(spark, ["bad"], "o"), member_list(spark, ["tester"], "u"),
+                    mapping_table(spark, {"mac": "DESKTOP"}), mapping_table(spark, {"D|mac": "Desktop"}))
+    j = job(spark, tmp_path, lookups=found, transforms={"src": lambda df, p: spark.createDataFrame(
+        [("a", "u", "mac"), ("bad", "tester", None)], "o string, u string, ua string")}, sql={
+        "flags": "SELECT o, validOrg(o) AS bad, testUser(u) AS test, uaCategory(ua) AS kind, ep1('D', ua) AS ep FROM SOURCE_VIEW"})
+    out = run_plan(j, [[step("src")], [step("flags")]])
+    assert sorted(tuple(r) for r in out[0].frame.collect()) == [
+        ("a", "0", 0, "DESKTOP", "Desktop"), ("bad", "1", 1, "OTHER", "Other")]
+    assert "activeUser" in j.transforms
+
+
 def test_views_join_later(spark, tmp_path):
     j = job(spark, tmp_path, sql={
         "regions": "CREATE OR REPLACE TEMPORARY VIEW region_of AS SELECT orgId, region FROM SOURCE_VIEW;"
@@ -138,8 +152,9 @@ def test_dedup_applies_to_the_view_before(spark):
 def test_sql_stage_filters_tags_and_parses(spark):
     sql_names.register(spark)
     df = spark.createDataFrame([('{"appname":"a","n":1,"timeRcvd":"2018-05-03"}',), ('{"appname":"b"}',)], "value string")
-    text = "SELECT convertTimeString(getTimestampField(value)) AS pdate, preprocess(value) AS value FROM SOURCE_VIEW WHERE appFilter(value) = true"
-    assert [r.pdate for r in sql_stage(spark, text, df, {"appName": "a"}).collect()] == ["2018-05-03"]
+    text = ("SELECT convertTimeString(getTimestampField(value)) AS day, value, preprocess(value) AS plain "
+            "FROM SOURCE_VIEW WHERE appFilter(value)")
+    assert [r.day for r in sql_stage(spark, text, df, {"appName": "a"}).collect()] == ["2018-05-03"]
     parsed = sql_stage(spark, text, df, {"appName": "a", "schema": StructType.fromDDL("n INT")})
     assert parsed.columns == ["n", "raw"] and parsed.head().n == 1
 

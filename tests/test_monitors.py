@@ -1,6 +1,3 @@
-import datetime as dt
-
-import pytest
 from pyspark.sql import functions as F
 
 from tallyford.monitors import call_volume, common, devices, licences, tables, volume

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from tallyford.catalog import derive
 from tallyford.catalog.registry import table
 from tallyford.operators import keyed, ranking
-from tallyford.reports import calls, usage
+from tallyford.reports import usage
 
 
 def plan(df):

@@ -37,7 +37,10 @@ def test_upsert_merges_columns(spark, partitioned):
 def test_untouched_partitions_are_not_rewritten(spark):
     table = new_table(spark)
     table.upsert(spark.createDataFrame([("d1", 1, 1, "x"), ("d2", 1, 1, "x")], SCHEMA))
-    files_of = lambda d: {r.f for r in spark.read.parquet(f"{table.path}/pdate={d}").select(F.input_file_name().alias("f")).collect()}  # noqa: E731,E501
+    def files_of(day):
+        rows_ = spark.read.parquet(f"{table.path}/pdate={day}").select(F.input_file_name().alias("f"))
+        return {r.f for r in rows_.collect()}
+
     before = files_of("d1"), files_of("d2")
     table.upsert(spark.createDataFrame([("d1", 1, 2, "x")], SCHEMA))
     assert files_of("d2") == before[1] and files_of("d1") != before[0]
