@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from ..session import prepare
+from ..session import input_bytes, prepare, size_for
 
 
 @dataclass
@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
 
     def add(build):
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(prepare(spark), sf_dir)
+            return build(size_for(prepare(spark), input_bytes(spark, sf_dir)), sf_dir)
 
         QUERIES[name] = Query(prepared, sql)
         return build

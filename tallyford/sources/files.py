@@ -108,9 +108,12 @@ def read_period(
     return result
 
 
-def read_partitions(spark: SparkSession, path: str, fmt: str, key: str, days: Sequence[str]) -> DataFrame:
-    """Days of a `key=<date>` folder tree by partition pruning: one scan that lists only those folders."""
-    return spark.read.format(fmt).load(path).where(F.col(key).cast("string").isin(list(days)))
+def read_partitions(spark: SparkSession, path: str, fmt: str, key: str, days: Sequence[str]) -> DataFrame | None:
+    """Days of a `key=<date>` folder tree as one scan that lists only those folders; None without any."""
+    present = [p for p in (_join(path, f"{key}={day}") for day in days) if path_exists(spark, p)]
+    if not present:
+        return None
+    return spark.read.format(fmt).option("basePath", path).load(present)
 
 
 TEXT_VALUE = StructType([StructField("value", StringType())])
