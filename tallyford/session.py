@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC everywhere: event times, period starts and formatted days share one zone.
 # AQE sizes shuffles, turns joins with a small measured side into broadcast
@@ -104,6 +106,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A frame written to the shared folder, which cuts its lineage, and removed after use."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        to_path = spark._jvm.org.apache.hadoop.fs.Path
+        to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(to_path(path), True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, or any match of a glob, exists on its file system."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

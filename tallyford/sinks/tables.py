@@ -12,7 +12,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..operators.keyed import delete_by_key, last_write, merge_by_key
 from ..operators.shaping import lower_names, table_rows
-from ..session import path_exists, replace_path, shared_folder
+from ..session import path_exists, replace_path, staged
 
 
 MAX_PRUNED = 10_000
@@ -63,8 +63,8 @@ class KeyedTable:
     def upsert(self, df: DataFrame, order: Column | None = None) -> None:
         """Merge rows by key and column; where a key repeats, the highest order is the last write."""
         spark = df.sparkSession
-        updates = self._staged(last_write(self._typed(table_rows(df)), self.keys, order))
-        with _turn(self.path):
+        newest = last_write(self._typed(table_rows(df)), self.keys, order)
+        with staged(newest, "updates") as updates, _turn(self.path):
             self._replace(merge_by_key(self._touched(spark, updates), updates, self.keys))
 
     def delete(self, doomed: DataFrame) -> None:
@@ -72,8 +72,8 @@ class KeyedTable:
         if doomed.isStreaming:
             raise ValueError("rows cannot be deleted by a stream")
         spark = doomed.sparkSession
-        doomed = self._staged(self._typed(lower_names(doomed)).select(*self.keys).distinct())
-        with _turn(self.path):
+        keys = self._typed(lower_names(doomed)).select(*self.keys).distinct()
+        with staged(keys, "doomed") as doomed, _turn(self.path):
             kept = delete_by_key(self._touched(spark, doomed), doomed, self.keys)
             if self.partition_by:
                 marks = doomed.select(*self.partition_by).distinct().withColumn(TOMBSTONE, F.lit(True))
@@ -92,10 +92,6 @@ class KeyedTable:
         return rows.select(
             [F.col(f"`{c}`").cast(self.schema[names[c]].dataType).alias(names[c]) for c in rows.columns])
 
-    def _staged(self, rows: DataFrame) -> DataFrame:
-        shared_folder(rows.sparkSession)
-        return rows.checkpoint()
-
     def _touched(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
         """The table's partitions that hold keys of the given rows.
 
