@@ -6,7 +6,7 @@ import functools
 import operator
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -138,13 +138,25 @@ def route(df: DataFrame, names: str | Sequence[str], field: str = "appname", val
         times.text_day(received_time(value)).alias("pdate"), unwrap_message(value).alias("value"))
 
 
-def normalize_time(df: DataFrame, column: str, on_error: str = "null") -> DataFrame:
-    """Turn a time text column into timestamps; typed columns stay."""
+def normalize_time(
+    df: DataFrame, column: str, on_error: str = "null", observation: Observation | str | None = None
+) -> DataFrame:
+    """Turn a time text column into timestamps; typed columns stay.
+
+    An observation counts the rows and those without a readable time; a named one shows up in the
+    progress of a stream.
+    """
     if column not in df.columns:
         raise ValueError(f"no time column {column!r} among {df.columns}")
-    if isinstance(df.schema[column].dataType, StringType):
+    if not isinstance(df.schema[column].dataType, StringType):
+        return df
+    if observation is None:
         return df.withColumn(column, times.parse_stamp(f"`{column}`", on_error))
-    return df
+    unreadable = F.count(F.when(F.col(f"`{column}`").isNull(), 1)).alias("unreadable_times")
+    seen = df.withColumn(column, times.parse_stamp(f"`{column}`")).observe(
+        observation, unreadable, F.count(F.lit(1)).alias("rows"))
+    return seen if on_error == "null" else seen.withColumn(
+        column, F.coalesce(F.col(f"`{column}`"), F.current_timestamp()))
 
 
 def lower_names(df: DataFrame) -> DataFrame:

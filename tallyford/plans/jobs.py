@@ -282,7 +282,7 @@ def run_step(job: Job, step: Mapping, before: Result | None) -> Result:
         job.register_functions()
         out = sql_stage(job.spark, job.sql_text(name), frame, parameters, job.run_day)
     if out is not None and out.columns and "timeStampField" in own:
-        out = normalize_time(out, own["timeStampField"])
+        out = normalize_time(out, own["timeStampField"], observation=own.get("observation"))
     if out is not None and job.preview and not job.streaming:
         out.show(job.preview, truncate=False)
     return Result(step, frame=out)

@@ -172,12 +172,15 @@ def test_stream_job(spark, tmp_path):
         SELECT time_stamp, count(userId) AS users FROM once GROUP BY time_stamp"""})
     j.settings["spark"] = {"streamingCheckpointLocation": fresh_path(spark, "ck")}
     out = run_plan(j, [
-        [step("readFromFile", input="in", format="json", schemaName="event", timeStampField="time_stamp")],
+        [step("readFromFile", input="in", format="json", schemaName="event", timeStampField="time_stamp",
+              observation="times")],
         [step("count", aggregatePeriod="daily", timeStampField="time_stamp", output="count")],
         [step("writeToCassandra", cassandra={"table": "agg", "saveMode": "update"}, trigger=None)]])
     assert [r.query.name for r in out] == ["sinkToTable_count_daily"]
     out[0].query.awaitTermination()
     assert sorted(r.users for r in table.read(spark).collect()) == [1, 1]
+    observed = [p["observedMetrics"]["times"] for p in out[0].query.recentProgress if p["observedMetrics"]]
+    assert sum(m["rows"] for m in observed) == 3 and sum(m["unreadable_times"] for m in observed) == 0
 
 
 def test_refusals(spark, tmp_path):

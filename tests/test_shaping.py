@@ -94,6 +94,17 @@ def test_normalize_time(spark):
         shaping.normalize_time(df, "gone")
 
 
+def test_unreadable_times_are_counted(spark):
+    from pyspark.sql import Observation
+
+    df = lines(spark, "2018-05-03", "bad", None)
+    for on_error, missing in (("null", 2), ("now", 0)):
+        seen = Observation()
+        out = shaping.normalize_time(df, "value", on_error, seen)
+        assert sum(r.value is None for r in out.collect()) == missing
+        assert seen.get == {"unreadable_times": 2, "rows": 3}
+
+
 def test_table_rows(spark):
     df = spark.createDataFrame([("it's", 1, "r"), (None, None, "r")], "A string, B int, raw string")
     rows = shaping.escape_quotes(shaping.table_rows(df))
