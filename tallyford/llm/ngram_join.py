@@ -12,10 +12,10 @@ documents link when `intersection / union >= threshold`; both numbers are whole,
    Words that hold a shingle which few documents have come first; a list of frequent shingles, whose length
    has a proven bound, gives that order and cannot change the result.
 3. Within each key, documents are compared with two centres: the one that shares most keys and a random one.
-   Pairs whose 512-bit parity sketches differ in more than d bits are dropped, the others verified on the
-   full sets. Keys whose documents then are in one component need nothing more. In the others all pairs of
-   documents of different components are tested by their sketches, block against block, and what passes is
-   verified. So no link between components is missed, and no group is expanded into its pairs.
+   Pairs whose parity sketches, of two to four bits per shingle, differ in more than d bits are dropped, the
+   others verified on the full sets. Keys whose documents then are in one component need nothing more. In the others all pairs of
+   documents of different components are tested by sketches folded to 512 bits, block against block, and what
+   passes goes the same way. So no link between components is missed, and no group is expanded into its pairs.
 
 Nulls and texts without words have an empty set, link with nothing and are components of their own. Equal
 rows and repeated ids stay rows of their own; only the id and text columns are read.
@@ -36,9 +36,9 @@ from .textscan import Texts, mix, shingles, signed, slices
 from .work import Work, result
 
 # A shingle that this share of the documents has is frequent. At most (mean set size) * 2 / share shingles are.
-FREQUENT_SHARE = 1 / 256
+FREQUENT_SHARE = 1 / 1024
 # Documents of which a task counts shingles together.
-COUNTED_TOGETHER = 2048
+COUNTED_TOGETHER = 8192
 SKETCH_LONGS = 8
 # Documents of one key that a task tests against as many others.
 BLOCK = 4096
@@ -51,10 +51,23 @@ def class_id(hashes: np.ndarray) -> int:
     return int(signed(mix(mix(hashes ^ np.uint64(0x5DEECE66D)).sum(keepdims=True) + np.uint64(len(hashes))))[0])
 
 
-def parity(hashes: np.ndarray) -> np.ndarray:
-    """Each shingle flips one of 64 * SKETCH_LONGS bits."""
-    bits = np.bincount((hashes & np.uint64(64 * SKETCH_LONGS - 1)).astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def parity(hashes: np.ndarray) -> bytes:
+    """Each shingle flips one bit; there are two to four bits for each shingle, 512 at least."""
+    size = max(64 * SKETCH_LONGS, 2 << (len(hashes) - 1).bit_length())
+    bits = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The parity sketch of the same set with fewer bytes; sizes are powers of two."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ: at most the size of the sets' symmetric difference."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum())
 
 
 def differing(a: int, b: int, num: int, den: int) -> int:
@@ -97,7 +110,7 @@ def keys(hashes: np.ndarray, frequent: np.ndarray, num: int, den: int) -> list[n
 
 def _summaries(id_type: pa.DataType, k: int):
     """Per document its class, size and sketch; per some thousand documents the shingles that are frequent in them."""
-    schema = pa.schema([("id", id_type), ("n", pa.int64()), ("cls", pa.int64()), *[(s, pa.int64()) for s in _SKETCH],
+    schema = pa.schema([("id", id_type), ("n", pa.int64()), ("cls", pa.int64()), ("sketch", pa.binary()), *[(s, pa.int64()) for s in _SKETCH],
                         ("shingle", pa.int64()), ("docs", pa.int64())])
 
     def run(batches):
@@ -116,14 +129,16 @@ def _summaries(id_type: pa.DataType, k: int):
         for batch in slices(batches):
             found = shingles(Texts(batch.column("text")), k)
             full = [x for x in found if len(x)]
+            full_sketch = [parity(x) if len(x) else None for x in found]
             sketch = np.zeros((len(found), SKETCH_LONGS), np.int64)
             name = np.zeros(len(found), np.int64)
             for i, x in enumerate(found):
                 if len(x):
-                    sketch[i], name[i] = parity(x), class_id(x)
+                    name[i] = class_id(x)
+                    sketch[i] = folded(np.frombuffer(full_sketch[i], np.uint8), 8 * SKETCH_LONGS).view(np.int64)
             size = np.array([len(x) for x in found], np.int64)
             yield pa.record_batch([
-                batch.column("id"), pa.array(size), pa.array(name, mask=size == 0),
+                batch.column("id"), pa.array(size), pa.array(name, mask=size == 0), pa.array(full_sketch, pa.binary()),
                 *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_LONGS)],
                 pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64())], schema=schema)
             sets += full
@@ -242,15 +257,24 @@ def _block_pairs(num: int, den: int):
     return run
 
 
+def _possible(num: int, den: int):
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column("a_sketch").to_pylist(), batch.column("b_sketch").to_pylist()
+            most = ((batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()) * (den - num) // (den + num)).tolist()
+            keep = pa.array([apart(x, y) <= d for x, y, d in zip(a, b, most)], pa.bool_())
+            yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(keep)
+
+    return run
+
+
 def _plausible(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose sizes and sketches allow a link."""
     def side(x: str) -> DataFrame:
-        return classes.select(F.col("cls").alias(x), F.col("n").alias(f"{x}_n"), *[F.col(s).alias(f"{x}_{s}") for s in _SKETCH])
+        return classes.select(F.col("cls").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
 
-    apart = sum((F.bit_count(F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))) for s in _SKETCH), F.lit(0))
     return pairs.join(side("a"), "a").join(side("b"), "b").where(
-        (F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num)
-        & (apart * (den + num) <= (F.col("a_n") + F.col("b_n")) * (den - num))).select("a", "b")
+        F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num).mapInArrow(_possible(num, den), "a long, b long")
 
 
 def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, work: Work, k: int, num: int, den: int) -> DataFrame:
@@ -284,8 +308,8 @@ def near_duplicates(
     with Work(spark, "ngram-join") as work:
         longs = ", ".join(f"{s} long" for s in _SKETCH)
         summary = work.keep(
-            texts.mapInArrow(_summaries(id_type, k), f"id {id_sql}, n long, cls long, {longs}, shingle long, docs long"), "summary")
-        rows = summary.where("shingle is null").select("id", "n", "cls", *_SKETCH)
+            texts.mapInArrow(_summaries(id_type, k), f"id {id_sql}, n long, cls long, sketch binary, {longs}, shingle long, docs long"), "summary")
+        rows = summary.where("shingle is null").select("id", "n", "cls", "sketch", *_SKETCH)
         n_docs = rows.count()
         known = (
             summary.where("shingle is not null").groupBy("shingle").agg(F.sum("docs").alias("docs"))
@@ -294,7 +318,7 @@ def near_duplicates(
         classes = work.keep(
             rows.where("cls is not null").groupBy("cls").agg(
                 F.min("id").alias("first"), F.count("*").alias("class_size"), F.first("n").alias("n"),
-                *[F.first(s).alias(s) for s in _SKETCH]), "classes")
+                F.first("sketch").alias("sketch"), *[F.first(s).alias(s) for s in _SKETCH]), "classes")
 
         found = texts.where("text is not null").mapInArrow(_keys(k, num, den, frequent), "key long, cls long")
         per_key = Window.partitionBy("key")
@@ -327,7 +351,7 @@ def near_duplicates(
         crossing = (
             dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
             .mapInArrow(_block_pairs(num, den), "a long, b long").distinct())
-        more = _links(crossing, classes, texts, work, k, num, den)
+        more = _links(_plausible(work.keep(crossing, "crossing"), classes, num, den), classes, texts, work, k, num, den)
         label = labels.select(F.col("node"), F.col("component"))
         bridges = (
             more.join(label.toDF("a", "la"), "a", "left").join(label.toDF("b", "lb"), "b", "left")
