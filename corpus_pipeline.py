@@ -25,15 +25,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(ship_frame(spark, docs), k=5, num=80, den=100)
-    # Ids of documents that do not stay; documents with a null id link with nothing by name and all stay.
-    gone = found.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    # Rows that repeat an id are rare; only they are compared with each other.
-    once = rest.join(repeated, "doc_id", "left_anti")
-    again = rest.join(repeated, "doc_id", "left_semi").withColumn(
-        "_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("_row = 1").drop("_row")
-    return once.unionByName(again).select(docs.columns)
+    # The ids that go grow with the corpus: a merge join at every size. Documents with a null id all stay.
+    gone = found.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct().hint("merge")
+    place = "row"
+    while place in docs.columns:
+        place += "_"
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    rest = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").withColumn(place, first).where(F.col(place) == 1)
+    return rest.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def ship_frame(spark: SparkSession, docs: DataFrame) -> DataFrame:

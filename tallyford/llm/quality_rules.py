@@ -152,8 +152,8 @@ def ruled(
     id_sql = dict(rows.dtypes)["id"]
     good = trusted.select(F.col(id_col).alias("id")).where("id is not null").distinct()
     with Work(spark, "quality-rules") as work:
-        # Short rows decide which documents are trusted, so texts are not shuffled for documents that are not.
-        marked = rows.join(good.withColumn("good", F.lit(True)), "id", "left").select(
+        # Trusted ids grow with the corpus, so texts meet them by a merge join at every size.
+        marked = rows.join(good.withColumn("good", F.lit(True)).hint("merge"), "id", "left").select(
             "text", F.when(F.col("good") & ~held_out(F.col("id")), 1).otherwise(0).cast("long").alias("times"))
         counts = marked.mapInArrow(_count, "bucket long, raw long, trusted long")
         sums = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas()

@@ -304,8 +304,8 @@ def documents(spark: SparkSession, folder: str, manifest: DataFrame, id_type: st
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
             ids.close()
 
-    # One row is a file of many documents, so rows are dealt to tasks by number.
-    dealt = before.repartition(F.col("shard")).select("name", "places", "base")
+    # One row is a whole file: as many tasks as files, which merging small partitions must not undo.
+    dealt = before.repartition(max(1, manifest.count()), F.col("shard")).select("name", "places", "base")
     return dealt.mapInArrow(run, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
 
 

@@ -199,8 +199,8 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, payloads: bool =
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), kinds)], schema=pa.schema(kinds))
 
     names = {"int64": "long", "string": "string", "binary": "binary"}
-    # One row is a whole file, so each goes to a task of its own.
-    dealt = manifest.select("name").repartition(F.col("name"))
+    # One row is a whole file: as many tasks as files, which merging small partitions must not undo.
+    dealt = manifest.select("name").repartition(max(1, manifest.count()), F.col("name"))
     return dealt.mapInArrow(run, ", ".join(f"{n} {names[str(t)]}" for n, t in kinds))
 
 
