@@ -26,16 +26,21 @@ def time_formats(spark, sf):
 
 @query("time_parsing", """
 SELECT event_id,
-  strftime(CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('millisecond', ts)
-    WHEN 2 THEN date_trunc('day', ts) END, '%Y-%m-%d %H:%M:%S.%g') AS parsed,
-  CASE WHEN event_id % 4 < 3 THEN strftime(ts, '%Y-%m-%d') END AS day,
-  CASE WHEN event_id % 4 < 3 THEN strftime(ts, '%Y-%m-%d') ELSE '' END AS leading,
+  strftime(CASE event_id % 10 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('millisecond', ts)
+    WHEN 2 THEN date_trunc('day', ts) WHEN 4 THEN date_trunc('second', ts) + INTERVAL 500 MILLISECOND
+    WHEN 5 THEN date_trunc('second', ts) + INTERVAL 120 MILLISECOND WHEN 6 THEN date_trunc('second', ts) + INTERVAL 123 MILLISECOND
+    WHEN 7 THEN date_trunc('second', ts) - INTERVAL 2 HOUR WHEN 8 THEN date_trunc('second', ts)
+    WHEN 9 THEN date_trunc('day', ts) END, '%Y-%m-%d %H:%M:%S.%g') AS parsed,
+  CASE event_id % 10 WHEN 3 THEN NULL WHEN 7 THEN strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%d') END AS day,
+  CASE WHEN event_id % 10 <> 3 THEN strftime(ts, '%Y-%m-%d') ELSE '' END AS leading,
   strftime(date_trunc('day', ts), '%Y-%m-%d') AS unix_day
 FROM events""")
 def time_parsing(spark, sf):
     patterns = [F.date_format("ts", p) for p in (*times.STAMP_PATTERNS, times.DAY)]
-    kind = F.col("event_id") % 4
-    text = F.when(kind == 0, patterns[0]).when(kind == 1, patterns[1]).when(kind == 2, patterns[2]).otherwise("none")
+    second = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    texts = [*patterns, F.lit("none"), F.concat(second, F.lit(".5Z")), F.concat(second, F.lit(".12")), F.concat(second, F.lit(".123456Z")),
+             F.concat(second, F.lit("+02:00")), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.concat(patterns[2], F.lit("Tgarbage"))]
+    text = F.element_at(F.array(*texts), (F.col("event_id") % 10 + 1).cast("int"))
     return table(spark, sf, "events").withColumn("text", text).select(
         "event_id", F.date_format(times.parse_stamp("text"), "yyyy-MM-dd HH:mm:ss.SSS").alias("parsed"),
         times.text_day("text").alias("day"), times.leading_day("text").alias("leading"),

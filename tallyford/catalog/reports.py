@@ -166,7 +166,8 @@ def files_used(spark, sf):
     return with_text_time(shares(spark, sf).drop("raw"))
 
 
-@query("file_count", f"""{derive.SHARES_SQL}, once AS (SELECT DISTINCT time_stamp, dataid, orgId, isFile, contentSize FROM used)
+@query("file_count", f"""{derive.SHARES_SQL}, once AS (
+  SELECT time_stamp, dataid, orgId, max(isFile) AS isFile, contentSize FROM used GROUP BY ALL)
 SELECT t || '^' || orgId || '^fileUsed^weekly' AS "eventKey", t AS time_stamp, orgId, sum(isFile)::BIGINT AS files,
   sum(contentSize)::BIGINT AS "fileSize", 'weekly' AS period, 'fileUsed' AS relation_name
 FROM (SELECT *, strftime(time_stamp::DATE - dayofweek(time_stamp::DATE)::INT, '%Y-%m-%d 00:00:00') AS t FROM once)

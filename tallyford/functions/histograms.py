@@ -15,6 +15,10 @@ def average_of_minima(bins: Column | str) -> Column:
     """
     bins = as_column(bins)
     zero = F.lit(0).cast("bigint")
-    weight = F.aggregate(bins, zero, lambda acc, b: acc + b["duration"])
-    total = F.aggregate(bins, zero, lambda acc, b: acc + b["duration"] * (b["min"] + 1))
-    return F.coalesce(F.try_divide(total.cast("double"), weight), F.lit(0.0))
+    start = F.struct(zero.alias("total"), zero.alias("weight"))
+
+    def add(acc: Column, b: Column) -> Column:
+        return F.struct((acc["total"] + b["duration"] * (b["min"] + 1)).alias("total"), (acc["weight"] + b["duration"]).alias("weight"))
+
+    mean = F.aggregate(bins, start, add, lambda acc: F.try_divide(acc["total"].cast("double"), acc["weight"]))
+    return F.coalesce(mean, F.lit(0.0))

@@ -10,11 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .times import check_period
+from .times import STAMP, check_period
 
 _PARSE = (
-    "coalesce(CASE length({0}) WHEN 20 THEN try_to_timestamp({0}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") "
-    "WHEN 24 THEN try_to_timestamp({0}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\") END, "
+    f"coalesce(CASE WHEN rlike({{0}}, '{STAMP.replace('{', '{{').replace('}', '}}')}') THEN try_to_timestamp({{0}}) END, "
     "try_to_timestamp(substring({0}, 1, 10), 'yyyy-MM-dd'))"
 )
 _REST = "to_json(map_filter(from_json(v, 'map<string,variant>'), (k, x) -> k NOT IN ('@message', 'SM')))"

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # Accepted time texts, day and minute formats, watermark delays per period.
 STAMP_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-STAMP_LENGTHS = (20, 24)
 DAY = "yyyy-MM-dd"
 MINUTE = "yyyy-MM-dd HH:mm"
 WATERMARK_DELAY = {"daily": "28 hours", "weekly": "8 days", "monthly": "32 days"}
@@ -40,16 +39,29 @@ def iso_minute(ts: Column | str) -> Column:
     return F.date_format(as_column(ts), MINUTE)
 
 
+# A time text with a time of day; Spark's own parser reads all of these.
+STAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+
+
+def is_stamp(text: Column | str) -> Column:
+    return F.rlike(as_column(text), F.lit(STAMP))
+
+
+def is_day_only(text: Column | str) -> Column:
+    """Whether only the leading date of a text is read, because the rest is in no known form."""
+    text = as_column(text)
+    rest = ~is_stamp(text) | F.try_to_timestamp(text).isNull()
+    return (F.length(text) > 10) & rest & F.try_to_timestamp(F.substring(text, 1, 10), F.lit(DAY)).isNotNull()
+
+
 def parse_stamp(text: Column | str, on_error: str = "null") -> Column:
     """Time text to a timestamp; the leading date counts when the rest is in no known form.
 
-    Unreadable text gives null, or the current time with `on_error='now'`. The text's length tells
-    which pattern can match: a failed attempt costs several times a good one.
+    Seconds may have a fraction of any length, `T` or a blank may stand before the time, and `Z`, an offset or nothing
+    after it. Unreadable text gives null, or the current time with `on_error='now'`.
     """
     text = as_column(text)
-    size = F.length(text)
-    seconds, millis = (F.try_to_timestamp(text, F.lit(p)) for p in STAMP_PATTERNS)
-    exact = F.when(size == STAMP_LENGTHS[0], seconds).when(size == STAMP_LENGTHS[1], millis)
+    exact = F.when(is_stamp(text), F.try_to_timestamp(text))
     tries = [exact, F.try_to_timestamp(F.substring(text, 1, 10), F.lit(DAY))]
     if on_error == "now":
         tries.append(F.current_timestamp())

@@ -143,8 +143,8 @@ def normalize_time(
 ) -> DataFrame:
     """Turn a time text column into timestamps; typed columns stay.
 
-    An observation counts the rows and those without a readable time; a named one shows up in the
-    progress of a stream.
+    An observation counts the rows, those without a readable time and those of which only the leading date
+    is readable; a named one shows up in the progress of a stream.
     """
     if column not in df.columns:
         raise ValueError(f"no time column {column!r} among {df.columns}")
@@ -153,8 +153,12 @@ def normalize_time(
     if observation is None:
         return df.withColumn(column, times.parse_stamp(f"`{column}`", on_error))
     unreadable = F.count(F.when(F.col(f"`{column}`").isNull(), 1)).alias("unreadable_times")
-    seen = df.withColumn(column, times.parse_stamp(f"`{column}`")).observe(
-        observation, unreadable, F.count(F.lit(1)).alias("rows"))
+    mark = "_day_only"
+    while mark in df.columns:
+        mark += "_"
+    day_only = F.count(F.when(F.col(mark), 1)).alias("day_only_times")
+    seen = df.withColumn(mark, times.is_day_only(f"`{column}`")).withColumn(column, times.parse_stamp(f"`{column}`")).observe(
+        observation, unreadable, day_only, F.count(F.lit(1)).alias("rows")).drop(mark)
     return seen if on_error == "null" else seen.withColumn(
         column, F.coalesce(F.col(f"`{column}`"), F.current_timestamp()))
 

@@ -73,7 +73,7 @@ def report_steps(lookups: Lookups) -> dict[str, Callable[[DataFrame, Mapping], D
         "registeredEndpointCount": counted(devices.endpoint_count),
         "autoLicense": plain(licences.auto_licences),
         "splitData": split_data,
-        "selectKeysToDelete": plain(keys.keys_to_delete),
+        "selectDataToDeleteFromCassandra": plain(keys.keys_to_delete),
     }
     if lookups.regions is not None:
         known = lookups.regions.where(F.col("region").isNotNull())

@@ -32,11 +32,10 @@ def files_used(events: DataFrame, excluded_orgs: DataFrame) -> DataFrame:
 
 
 def file_count(facts: DataFrame, period: str) -> DataFrame:
-    """Files and bytes per organisation; an event seen twice counts once."""
+    """Files and bytes per organisation; an event seen twice counts once, as a file if any copy is one."""
     rows = facts.select("time_stamp", F.col("time_stamp").alias("_at"), "dataid", "orgId", "isFile", "contentSize")
-    # The id contains organisation and size; naming them keeps the text columns out of the aggregate's buffer.
-    once = periods.cut(rows, period, ["_at", "dataid", "orgId", "isFile", "contentSize"]).dropDuplicates(
-        ["time_stamp", "_at", "dataid", "orgId", "contentSize"])
+    once = periods.cut(rows, period, ["_at", "dataid", "orgId", "isFile", "contentSize"]).groupBy(
+        "time_stamp", "_at", "dataid", "orgId", "contentSize").agg(F.max("isFile").alias("isFile"))
     totals = once.groupBy("time_stamp", "orgId").agg(
         F.sum("isFile").alias("files"), F.sum("contentSize").alias("fileSize"))
     return periods.labelled(totals, period, "fileUsed", ["orgId"], ["files", "fileSize"])

@@ -28,7 +28,6 @@ SETTINGS = {
 }
 
 
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session someone else built."""
     for name, value in SETTINGS.items():
@@ -36,42 +35,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# A shuffle starts with a partition per this much input and at most so many partitions; AQE merges small ones.
-INPUT_PER_PARTITION = 512 << 20
-MAX_PARTITIONS = 20_000
-# A scan is split into at most about this many tasks.
-MAX_SCAN_TASKS = 200_000
-SPLIT_BYTES = 128 << 20
-
-
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total size of files and folders, as their file system reports it."""
-    total = 0
-    for path in paths:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        total += fs.getContentSummary(jvm_path).getLength()
-    return total
-
-
-def size_for(spark: SparkSession, size: int) -> SparkSession:
-    """Fit the number of shuffle partitions and scan tasks to the size of the input.
-
-    The usual 200 partitions would hold hundreds of gigabytes each at 100 TB, and 128 MB splits would
-    make close to a million scan tasks.
-    """
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    wanted = min(MAX_PARTITIONS, -(-size // INPUT_PER_PARTITION))
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set(initial, str(wanted))
-    else:
-        spark.conf.unset(initial)
-    split = -(-size // MAX_SCAN_TASKS)
-    if split > SPLIT_BYTES:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
-    return spark
-
-
 def build(app_name: str, master: str | None = None, codecs: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; `codecs` names extra Hadoop compression codecs."""
     builder = SparkSession.builder.appName(app_name)
@@ -115,8 +78,23 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        to_path = spark._jvm.org.apache.hadoop.fs.Path
-        to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(to_path(path), True)
+        remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def leaf_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Names of the folders at a depth below a path, relative to it; hidden ones and files are left out."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [("", root)]
+    for _ in range(depth):
+        below = [(name, s.getPath()) for name, folder in found for s in fs.listStatus(folder) if s.isDirectory()]
+        found = [(f"{name}/{p.getName()}".lstrip("/"), p) for name, p in below if not p.getName().startswith((".", "_"))]
+    return [name for name, _ in found if name]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

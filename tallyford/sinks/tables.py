@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..operators.keyed import delete_by_key, last_write, merge_by_key
 from ..operators.shaping import lower_names, table_rows
-from ..session import path_exists, replace_path, staged
+from ..session import fresh_path, leaf_folders, path_exists, remove_path, replace_path
 
-
-MAX_PRUNED = 10_000
 _TURNS: dict[str, threading.Lock] = {}
 TOMBSTONE = "_deleted"
 
@@ -35,6 +34,10 @@ class KeyedTable:
     table, so a retried stream batch is harmless. Writers of one application take turns; a table
     must not be written by two applications.
 
+    Updates are staged in the table's own partitions, so the names of the staged folders, the one of null
+    values included, are the partitions to read and rewrite, however many there are. A partition value
+    cannot be an empty text, which a folder name cannot tell from null.
+
     A partition that loses all its rows keeps one hidden tombstone row, since an overwrite by
     partition cannot leave a partition empty.
     """
@@ -64,8 +67,14 @@ class KeyedTable:
         """Merge rows by key and column; where a key repeats, the highest order is the last write."""
         spark = df.sparkSession
         newest = last_write(self._typed(table_rows(df)), self.keys, order)
-        with staged(newest, "updates") as updates, _turn(self.path):
-            self._replace(merge_by_key(self._touched(spark, updates), updates, self.keys))
+        with self._staged(newest, "updates") as (updates, folders), _turn(self.path):
+            target = self._touched(spark, folders)
+            if target is None:
+                missing = [f for f in self.schema.fields if f.name not in updates.columns]
+                rows = updates.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+                self._replace(rows.select(self.schema.fieldNames()))
+            else:
+                self._replace(merge_by_key(target, updates, self.keys))
 
     def delete(self, doomed: DataFrame) -> None:
         """Delete the rows whose keys are given; a stream cannot delete."""
@@ -73,10 +82,13 @@ class KeyedTable:
             raise ValueError("rows cannot be deleted by a stream")
         spark = doomed.sparkSession
         keys = self._typed(lower_names(doomed)).select(*self.keys).distinct()
-        with staged(keys, "doomed") as doomed, _turn(self.path):
-            kept = delete_by_key(self._touched(spark, doomed), doomed, self.keys)
+        with self._staged(keys, "doomed") as (doomed, folders), _turn(self.path):
+            target = self._touched(spark, folders)
+            if target is None:
+                return
+            kept = delete_by_key(target, doomed, self.keys)
             if self.partition_by:
-                marks = doomed.select(*self.partition_by).distinct().withColumn(TOMBSTONE, F.lit(True))
+                marks = target.select(*self.partition_by).distinct().withColumn(TOMBSTONE, F.lit(True))
                 kept = kept.unionByName(marks, allowMissingColumns=True)
             self._replace(kept)
 
@@ -92,21 +104,32 @@ class KeyedTable:
         return rows.select(
             [F.col(f"`{c}`").cast(self.schema[names[c]].dataType).alias(names[c]) for c in rows.columns])
 
-    def _touched(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
-        """The table's partitions that hold keys of the given rows.
-
-        The list of partitions becomes a pruning filter as long as it is short; a longer one is
-        joined without pruning.
-        """
-        target = self.read(spark)
+    @contextmanager
+    def _staged(self, rows: DataFrame, name: str) -> Iterator[tuple[DataFrame, list[str]]]:
+        """Rows written to the shared folder in the table's partitions, and the names of their folders."""
+        spark = rows.sparkSession
+        for column in self.partition_by:
+            if isinstance(self.schema[column].dataType, StringType):
+                rows = rows.withColumn(column, F.when(F.col(column) == "", F.raise_error(F.lit(
+                    f"empty text in the partition column {column}")).cast("string")).otherwise(F.col(column)))
+        path = fresh_path(spark, name)
+        rows.write.partitionBy(*self.partition_by).parquet(path)
+        try:
+            yield spark.read.schema(rows.schema).parquet(path).select(rows.columns), leaf_folders(spark, path, len(self.partition_by))
+        finally:
+            remove_path(spark, path)
+
+    def _touched(self, spark: SparkSession, folders: list[str]) -> DataFrame | None:
+        """The rows of the table's partitions with these folder names; None if there are none of them."""
         if not self.partition_by:
-            return target
-        named = rows.select(*self.partition_by).distinct()
-        listed = named.limit(MAX_PRUNED + 1).collect()
-        if len(listed) <= MAX_PRUNED:
-            for name in self.partition_by:
-                target = target.where(F.col(name).isin(list({row[name] for row in listed})))
-        return target.join(named, self.partition_by, "left_semi")
+            return self.read(spark) if path_exists(spark, self.path) or path_exists(spark, self._old_path) else None
+        there = set(leaf_folders(spark, self.path, len(self.partition_by))) if path_exists(spark, self.path) else set()
+        paths = [f"{self.path.rstrip('/')}/{name}" for name in folders if name in there]
+        if not paths:
+            return None
+        stored = StructType([*self.schema.fields, StructField(TOMBSTONE, BooleanType())])
+        rows = spark.read.schema(stored).format(self.fmt).option("basePath", self.path).load(paths)
+        return rows.where(F.col(TOMBSTONE).isNull()).select(self.schema.fieldNames())
 
     def _replace(self, rows: DataFrame) -> None:
         if not self.partition_by:
@@ -142,6 +165,11 @@ def insert_overwrite(df: DataFrame, table: str, columns: Sequence[str], ddl: str
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")
     try:
-        df.selectExpr(*columns).write.insertInto(table, overwrite=True)
+        rows = df.selectExpr(*columns)
+        # Partition columns come last: one well-sized set of files for each partition.
+        parted = sum(c.isPartition for c in spark.catalog.listColumns(table))
+        if parted:
+            rows = rows.hint("rebalance", *rows.columns[-parted:])
+        rows.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(mode, before)

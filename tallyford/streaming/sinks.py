@@ -96,10 +96,12 @@ def to_catalog_table(
 
 
 def await_all(spark: SparkSession, timeout: float | None = None) -> None:
-    """Wait until one of the running streams ends, then stop the others."""
-    if timeout is None:
-        spark.streams.awaitAnyTermination()
-    else:
-        spark.streams.awaitAnyTermination(timeout)
-    for query in spark.streams.active:
-        query.stop()
+    """Wait until one of the running streams ends or fails, then stop the others."""
+    try:
+        if timeout is None:
+            spark.streams.awaitAnyTermination()
+        else:
+            spark.streams.awaitAnyTermination(timeout)
+    finally:
+        for query in spark.streams.active:
+            query.stop()

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tallyford.catalog import QUERIES
 from tallyford.catalog import derive
 from tallyford.catalog.registry import table
 from tallyford.operators import keyed, ranking
@@ -21,7 +22,7 @@ STORED = {"table_upsert", "table_delete", "insert_overwrite", "partitioned_files
 REMOTE = {"remote_enrichment"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - STORED - REMOTE))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STORED - REMOTE))
 def test_no_cross_joins_and_no_python(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
@@ -124,21 +125,6 @@ def test_events_are_filtered_without_parsing_again(spark, sf_dir):
         events, derive.excluded(spark), derive.testers(spark), derive.agents(spark)))
 
 
-def test_sizes_follow_the_input(spark, sf_dir):
-    from tallyford.session import input_bytes, size_for
-
-    initial, split = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(split)
-    try:
-        size_for(spark, 100 << 40)
-        assert spark.conf.get(initial) == "20000" and int(spark.conf.get(split)) > 500 << 20
-        size_for(spark, 100 << 30)
-        assert spark.conf.get(initial) == "200"
-        assert size_for(spark, input_bytes(spark, sf_dir)).conf.get(initial, None) is None
-    finally:
-        spark.conf.set(split, before)
-
-
 def test_last_write_combines_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     text = plan(keyed.last_write(df, ["k"], F.col("v")))

@@ -4,8 +4,9 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from tallyford import catalog
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = {name: entry.queries()[name] for name in catalog.QUERIES}, entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

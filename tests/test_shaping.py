@@ -102,7 +102,7 @@ def test_unreadable_times_are_counted(spark):
         seen = Observation()
         out = shaping.normalize_time(df, "value", on_error, seen)
         assert sum(r.value is None for r in out.collect()) == missing
-        assert seen.get == {"unreadable_times": 2, "rows": 3}
+        assert seen.get == {"unreadable_times": 2, "day_only_times": 0, "rows": 3}
 
 
 def test_table_rows(spark):

@@ -156,3 +156,23 @@ def test_table_reads(spark):
     assert df.where(tables.any_key("2018-05-03", "a,b")).count() == 2
     with pytest.raises(ValueError):
         pick(day="2018-05-03")
+
+
+def test_null_partitions_keep_their_rows(spark, tmp_path):
+    stored = KeyedTable(str(tmp_path / "t"), "part string, id int, v string", ["part", "id"], ["part"])
+    rows = lambda *r: spark.createDataFrame(list(r), "part string, id int, v string")
+    stored.upsert(rows((None, 1, "a"), (None, 2, "b"), ("x", 1, "c"), ("y", 1, "d")))
+    stored.upsert(rows((None, 3, "e"), ("x", 1, "f")))
+    assert sorted(map(tuple, stored.read(spark).collect()), key=str) == sorted(
+        [(None, 1, "a"), (None, 2, "b"), (None, 3, "e"), ("x", 1, "f"), ("y", 1, "d")], key=str)
+    stored.delete(spark.createDataFrame([(None, 1)], "part string, id int"))
+    assert sorted(map(tuple, stored.read(spark).collect()), key=str) == sorted(
+        [(None, 2, "b"), (None, 3, "e"), ("x", 1, "f"), ("y", 1, "d")], key=str)
+
+
+def test_only_touched_folders_are_read(spark, tmp_path):
+    stored = KeyedTable(str(tmp_path / "t"), "part int, id int", ["part", "id"], ["part"])
+    stored.upsert(spark.range(40).selectExpr("cast(id as int) part", "1 id"))
+    folders = [f"part={i}" for i in range(5)] + ["part=99"]
+    assert {f.split("/")[-2] for f in stored._touched(spark, folders).inputFiles()} == set(folders[:5])
+    assert stored._touched(spark, ["part=77"]) is None
