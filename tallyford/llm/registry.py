@@ -19,8 +19,10 @@ SQL: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package to the Python workers, unless their path has it (`--py-files`, PYTHONPATH)."""
+    """Fit Arrow batches to texts and send the package to the Python workers, unless their path has it."""
     sc = spark.sparkContext
+    # Texts are long: 10,000 of them in a batch fill a worker's memory.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     if ROOT not in os.environ.get("PYTHONPATH", "").split(os.pathsep) and not getattr(sc, "_tallyford_shipped", False):
         folder = tempfile.mkdtemp()
         atexit.register(shutil.rmtree, folder, True)
