@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import graph
@@ -320,11 +320,10 @@ def near_duplicates(
                 F.min("id").alias("first"), F.count("*").alias("class_size"), F.first("n").alias("n"),
                 F.first("sketch").alias("sketch"), *[F.first(s).alias(s) for s in _SKETCH]), "classes")
 
-        found = texts.where("text is not null").mapInArrow(_keys(k, num, den, frequent), "key long, cls long")
-        per_key = Window.partitionBy("key")
-        shared = work.keep(
-            found.withColumn("lo", F.min("cls").over(per_key)).withColumn("hi", F.max("cls").over(per_key))
-            .where("lo != hi").select("key", "cls").distinct(), "shared")
+        # Keys of several classes are found by a partial minimum and maximum, so a hot key's classes never meet in a task.
+        found = work.keep(texts.where("text is not null").mapInArrow(_keys(k, num, den, frequent), "key long, cls long"), "keys")
+        several = found.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo != hi").select("key")
+        shared = work.keep(found.join(several, "key").select("key", "cls").distinct(), "shared")
         weight = (
             shared.join(shared.groupBy("key").agg(F.count("*").alias("size")), "key")
             .groupBy("cls").agg(F.sum("size").alias("weight")))
