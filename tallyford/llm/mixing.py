@@ -7,7 +7,7 @@ each whole number that its part of the sum crosses. So a document is taken the e
 rounded down or up, and the words taken come near the target, because the order runs from short to long texts.
 
 The sum over a source is not one task's work: the order is (class of size, salt, size, id), rows are counted by
-(source, class, salt), and only these counts are summed up ahead, first over classes, then over the 256 salts
+(source, class, salt), and only these counts are summed up ahead, first over classes, then over the 4,096 salts
 of a class. Rows are numbered within one (source, class, salt).
 
 A null text has size 0, a null source is a source of its own and comes last. Documents of size 0 are numbered
@@ -34,7 +34,7 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep: l
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-        size.alias("size"), F.coalesce(_hex(F.col(id_col).cast("string"), 1, 2), F.lit(0)).alias("salt"),
+        size.alias("size"), F.coalesce(_hex(F.col(id_col).cast("string"), 1, 3), F.lit(0)).alias("salt"),
     ).withColumn("step", F.floor(F.sqrt("size")))
 
 
@@ -103,7 +103,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 SQL = """
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 2))::BIGINT, 0) AS salt FROM documents),
+         coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 3))::BIGINT, 0) AS salt FROM documents),
 sums AS (SELECT source, sum(size)::DOUBLE AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM sums),
 weighed AS (SELECT *, [5, 2, 1][((rank - 1) % 3 + 1)::INT] AS weight, source_size * 2.0::DOUBLE AS cap,
