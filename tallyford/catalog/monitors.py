@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..monitors import call_volume, devices, licences, tables, volume
+from ..monitors import call_volume, common, devices, licences, tables, volume
 from ..session import shared_folder
 from .registry import query, table, with_text_time
 
@@ -93,7 +93,8 @@ SELECT orgid, '2024-01-24' AS pdate, max(n) FILTER (dt = DATE '2024-01-24') AS "
 FROM d GROUP BY 1""")
 def license_monitor(spark, sf):
     k = F.get_json_object("props", "$.k").cast("int")
-    facts = table(spark, sf, "events").select(
+    events = common.within(table(spark, sf, "events"), "ts", "2024-01-24", licences.HISTORY_DAYS)
+    facts = events.select(
         F.col("event_type").alias("orgid"), F.col("user_id").alias("userid"),
         F.date_format("ts", "yyyy-MM-dd").alias("pdate"), F.lit("license").alias("relation_name"),
         F.when(k % 3 != 0, "SUCCESS").otherwise("FAILED").alias("status"))
@@ -124,7 +125,8 @@ j AS (SELECT v.orgid, '1998-06-15' AS pdate, dev AS "deviceCount", round(incall,
 
 
 def _usage(spark, sf):
-    rows = table(spark, sf, "lineitem").select(
+    items = common.within(table(spark, sf, "lineitem"), "l_shipdate", BUSINESS_DAY, devices.HISTORY_DAYS)
+    rows = items.select(
         F.concat(F.lit("p"), F.col("l_partkey") % 20).alias("orgid"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("pdate"), F.col("l_suppkey").alias("deviceid"), F.col("l_quantity").alias("incall"),
         F.col("l_linenumber").alias("local_share_cable"), (F.col("l_quantity") * 2).alias("local_share_wireless"),
@@ -147,9 +149,9 @@ def usage_normal(spark, sf):
 
 
 def usage_facts(spark, sf):
-    """Facts of several relations, from line items."""
+    """Facts of several relations of one day, from line items."""
     kind = F.col("l_linenumber") % 3
-    return table(spark, sf, "lineitem").select(
+    return common.within(table(spark, sf, "lineitem"), "l_shipdate", BUSINESS_DAY).select(
         F.concat("l_returnflag", "l_linestatus").alias("orgid"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("pdate"),
         F.when(kind == 0, "callDuration").when(kind == 1, "callQuality").otherwise("rtUser").alias("relation_name"),
         F.when(F.col("l_suppkey") % 2 == 0, "bc").otherwise("other").alias("source"),
@@ -202,16 +204,11 @@ FROM f WHERE relation_name = 'callDuration' AND l_suppkey % 2 = 0 GROUP BY 1, 2,
 UNION ALL SELECT 'quality', orgid, pdate, sum(l_quantity), sum((l_quantity > 25)::INT)::BIGINT
 FROM f WHERE relation_name = 'callQuality' GROUP BY 1, 2, 3""")
 def daily_sums(spark, sf):
-    facts = usage_facts(spark, sf)
-    duration = tables.daily_duration(facts, ORGS, BUSINESS_DAY).select(
-        F.lit("duration").alias("kind"), "orgid", "pdate", F.col("legduration").cast("double").alias("total"))
-    quality = tables.daily_quality(facts, ORGS, BUSINESS_DAY).select(
-        F.lit("quality").alias("kind"), "orgid", "pdate", F.col("duration").alias("total"), "audio_is_good")
-    return duration.unionByName(quality, allowMissingColumns=True)
+    return tables.daily_sums(usage_facts(spark, sf), ORGS, BUSINESS_DAY)
 
 
 def call_records(spark, sf):
-    return table(spark, sf, "events").select(
+    return common.within(table(spark, sf, "events"), "ts", "2024-01-24", call_volume.HISTORY_DAYS).select(
         F.concat(F.lit("o"), F.col("user_id") % 30).alias("org_id"),
         F.when(F.col("event_id") % 20 == 0, "unreadable").otherwise(
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("locus_start_time"))

@@ -33,6 +33,12 @@ def like_days_before(day: str, days: int) -> list[str]:
     return [d for d in days_before(day, days) if business_day(d) == business_day(day)]
 
 
+def within(df: DataFrame, time: str, day: str, days: int = 1) -> DataFrame:
+    """Rows of the `days` up to and including a day, by a range of their time that a scan can skip data by."""
+    since, until = (F.lit(f"{add_days(day, n)} 00:00:00").cast(df.schema[time].dataType) for n in (1 - days, 1))
+    return df.where((F.col(time) >= since) & (F.col(time) < until))
+
+
 def of_orgs(df: DataFrame, orgs: Sequence[str], column: str = "orgid") -> DataFrame:
     return df.where(F.col(column).isin(list(orgs)))
 

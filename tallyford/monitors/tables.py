@@ -66,6 +66,17 @@ def daily_quality(facts: DataFrame, orgs: Sequence[str], day: str) -> DataFrame:
     return _sums(rows, ["orgid", "pdate"], {"duration": "duration", "audio_is_good": "audio_is_good"}, {})
 
 
+def daily_sums(facts: DataFrame, orgs: Sequence[str], day: str, source: str = "bc") -> DataFrame:
+    """`daily_duration` and `daily_quality` in one pass: (kind, orgid, pdate, total, audio_is_good)."""
+    is_duration = F.col("relation_name") == "callDuration"
+    rows = common.of_orgs(common.of_relations(facts, ["callDuration", "callQuality"]), orgs).where(
+        (F.col("pdate") == day) & (~is_duration | (F.col("source") == source)))
+    kind = F.when(is_duration, "duration").otherwise("quality")
+    return rows.groupBy(kind.alias("kind"), "orgid", "pdate").agg(
+        F.sum(F.when(is_duration, F.col("legduration").cast("double")).otherwise(F.col("duration"))).alias("total"),
+        F.sum(F.when(~is_duration, F.col("audio_is_good"))).alias("audio_is_good"))
+
+
 def table_messages(rows: DataFrame, time: str) -> DataFrame:
     """Messages of `data_sums` (time `pdate`) and `aggregate_sums` (time `time_stamp`)."""
     measures = [c for c in rows.columns if c not in ("relation_name", "orgid", "region", time)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import percent
-from ..functions.times import add_days, iso_day
+from ..functions.times import iso_day
 from ..operators.lookups import literal_rows
 from . import common
 
@@ -84,9 +84,7 @@ def flagged(counts: DataFrame, day: str, threshold: float) -> DataFrame:
 
 def run(aggregates: DataFrame, orgs: Sequence[str], day: str, threshold: float, org: str = "*") -> DataFrame:
     """Status per organisation and relation on the monitored day; reads only that day and its history."""
-    time = F.col("time_stamp")
-    since, until = (F.lit(add_days(day, n)).cast("timestamp") for n in (1 - HISTORY_DAYS, 1))
-    rows = aggregates.where((time >= since) & (time < until))
+    rows = common.within(aggregates, "time_stamp", day, HISTORY_DAYS)
     return flagged(all_counts(rows, orgs, day, org), day, threshold)
 
 

@@ -293,7 +293,8 @@ def run_plan(job: Job, stages: list[list[Mapping]]) -> list[Result]:
 
     A sink ends its branch; once no result is left, the next stage starts over from its sources.
     Returns the frames still live at the end and the streaming queries started. A batch frame that
-    several steps consume is persisted until the plan ends.
+    several steps consume is read again by each, with the columns and filters that step needs, unless the step that
+    makes it has `"persist": true`; then it is kept until the plan ends.
     """
     live: list[Result] = []
     queries: list[Result] = []
@@ -305,8 +306,7 @@ def run_plan(job: Job, stages: list[list[Mapping]]) -> list[Result]:
             if missing and not any(s["queryName"] in SOURCES for s in steps):
                 continue
             if len(steps) > 1 and not job.streaming:
-                for result in live:
-                    held.append(result.frame.persist())
+                held += [result.frame.persist() for result in live if result.step.get("persist")]
             results = [run_step(job, step, before) for before in (live or [None]) for step in steps]
             queries += [r for r in results if r.query is not None]
             live = [r for r in results if r.frame is not None]

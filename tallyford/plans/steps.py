@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +13,16 @@ from ..operators import shaping
 from ..reports import calls, content, devices, keys, licences, regions, usage
 
 
+# Steps that set a frame aside under a name, and the columns kept.
+VIEWS = {"activeUserView": ("activeUser", ["orgId", "pdate"]), "regionMapView": ("regionMap", ["orgId", "region"])}
+
+
 @dataclass
 class Lookups:
-    """The lists and mappings the reports join with, and the names that differ between installations."""
+    """The lists and mappings the reports join with, and the names that differ between installations.
+
+    `room_device_prefix` has no default: without the right one meetings of room systems would count as users.
+    """
 
     excluded_orgs: DataFrame
     test_users: DataFrame
@@ -23,15 +30,21 @@ class Lookups:
     endpoints: DataFrame
     regions: DataFrame | None = None
     tracking_id: str = "trackingId"
-    room_device_prefix: str | None = None
+    room_device_prefix: str = field(kw_only=True)
+    clients: DataFrame | None = field(default=None, kw_only=True)
+    onboard_methods: DataFrame | None = field(default=None, kw_only=True)
+    license_types: DataFrame | None = field(default=None, kw_only=True)
 
 
 def register_lookups(spark: SparkSession, lookups: Lookups) -> None:
     """The lists and mappings as functions of SQL texts."""
     sql_names.register_excluded_orgs(spark, lookups.excluded_orgs)
     sql_names.register_test_users(spark, lookups.test_users)
-    sql_names.register_mapping(spark, "uaCategory", lookups.agents)
-    sql_names.register_mapping(spark, "ep1", lookups.endpoints)
+    mappings = {"uaCategory": lookups.agents, "ep1": lookups.endpoints, "clientMapping": lookups.clients,
+                "onboardMethodMapping": lookups.onboard_methods, "licenseMapping": lookups.license_types}
+    for name, mapping in mappings.items():
+        if mapping is not None:
+            sql_names.register_mapping(spark, name, mapping)
 
 
 def split_data(df: DataFrame, p: Mapping) -> DataFrame:
@@ -53,7 +66,8 @@ def report_steps(lookups: Lookups) -> dict[str, Callable[[DataFrame, Mapping], D
 
     steps = {
         "activeUser": lambda df, p: usage.active_users(
-            df, orgs, lookups.test_users, lookups.agents, lookups.tracking_id, lookups.room_device_prefix),
+            df, orgs, lookups.test_users, lookups.agents, lookups.tracking_id,
+            room_device_prefix=lookups.room_device_prefix),
         "activeUserCount": counted(usage.active_user_count),
         "oneToOneCount": counted(usage.one_to_one_count),
         "spaceCount": counted(usage.space_count),
@@ -75,11 +89,37 @@ def report_steps(lookups: Lookups) -> dict[str, Callable[[DataFrame, Mapping], D
         "splitData": split_data,
         "selectDataToDeleteFromCassandra": plain(keys.keys_to_delete),
     }
-    if lookups.regions is not None:
-        known = lookups.regions.where(F.col("region").isNotNull())
-        steps.update({
-            "activeUserEU": plain(regions.in_region, known),
-            "activeUserUS": plain(regions.outside_region, known),
-            "orgIdNoRegion": plain(regions.without_region, known),
-        })
-    return steps
+    return steps | region_steps(lookups.regions)
+
+
+def region_steps(mapping: DataFrame | None) -> dict[str, Callable[[DataFrame, Mapping], DataFrame]]:
+    """Users by region. Users are the step's input or, where it has none, what `activeUserView` has set aside; the
+    regions are those of the lookups or what `regionMapView` has set aside."""
+    aside: dict[str, DataFrame] = {}
+
+    def view(step: str) -> Callable[[DataFrame, Mapping], DataFrame]:
+        name, columns = VIEWS[step]
+
+        def run(df: DataFrame, p: Mapping) -> DataFrame:
+            aside[name] = df.select(columns)
+            aside[name].createOrReplaceTempView(name)
+            return df.limit(0).select()
+
+        return run
+
+    def named(name: str) -> DataFrame:
+        if name not in aside:
+            raise ValueError(f"no step has set {name} aside")
+        return aside[name]
+
+    def report(make: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, Mapping], DataFrame]:
+        def run(df: DataFrame | None, p: Mapping) -> DataFrame:
+            users = df if df is not None and df.columns else named("activeUser")
+            known = mapping if mapping is not None else named("regionMap")
+            return make(users, known.where(F.col("region").isNotNull()))
+
+        return run
+
+    return {step: view(step) for step in VIEWS} | {
+        "activeUserEU": report(regions.in_region), "activeUserUS": report(regions.outside_region),
+        "orgIdNoRegion": report(regions.without_region)}

@@ -32,29 +32,29 @@ def _message_events() -> Column:
     return (F.col("appname") == v.MESSAGE_APP) & ~F.col("SM.uaType").isin(v.IGNORED_AGENTS) & activity
 
 
-def _call_events(room_device_prefix: str | None) -> Column:
+def _call_events(room_device_prefix: str) -> Column:
     metric, device = F.col("SM.metricType"), F.col("SM.deviceType")
     ended = F.col("SM.callType") == v.CALL_ENDED
     person = (
         (metric == "PARTICIPANT") & ended & F.col("SM.squared")
         & ~F.col("SM.locusType").isin(v.NOT_COUNTED_LOCUS_TYPES)
     )
-    counted_device = ~device.isin(v.NOT_COUNTED_DEVICES)
-    if room_device_prefix:
-        counted_device = counted_device & (F.substring(device, 1, len(room_device_prefix)) != room_device_prefix)
+    counted_device = ~device.isin(v.NOT_COUNTED_DEVICES) & ~F.startswith(device, F.lit(room_device_prefix))
     meeting = (metric == "DEVICE") & F.col("SM.locusType").isin(v.MEETING_TYPES) & ended & counted_device
     return (F.col("appname") == v.CALL_APP) & (person | meeting)
 
 
 def active_users(
     events: DataFrame, excluded_orgs: DataFrame, test_users: DataFrame, agents: DataFrame,
-    tracking_id: str = "trackingId", room_device_prefix: str | None = None,
+    tracking_id: str = "trackingId", *, room_device_prefix: str,
 ) -> DataFrame:
     """Classify message and call events per user; excluded organisations and test users drop out.
 
     `tracking_id` names the column with the event's id; `room_device_prefix` is the device type
     prefix of room systems, whose meeting events do not count.
     """
+    if not room_device_prefix:
+        raise ValueError("room_device_prefix must not be empty")
     one_to_one = F.col("SM.convOneOnOne")
     team = F.col("teamId").isNotNull()
     group = ~team & ~one_to_one

@@ -100,13 +100,16 @@ def test_sql_job_with_files(spark, tmp_path):
 
 def test_sql_texts_use_the_lookups(spark, tmp_path):
     found = Lookups(member_list(spark, ["bad"], "o"), member_list(spark, ["tester"], "u"),
-                    mapping_table(spark, {"mac": "DESKTOP"}), mapping_table(spark, {"D|mac": "Desktop"}))
+                    mapping_table(spark, {"mac": "DESKTOP"}), mapping_table(spark, {"D|mac": "Desktop"}), room_device_prefix="ROOM",
+                    clients=mapping_table(spark, {"mac": "app"}), license_types=mapping_table(spark, {"m": "paid"}),
+                    onboard_methods=mapping_table(spark, {"mac": "sync"}))
     j = job(spark, tmp_path, lookups=found, transforms={"src": lambda df, p: spark.createDataFrame(
         [("a", "u", "mac"), ("bad", "tester", None)], "o string, u string, ua string")}, sql={
-        "flags": "SELECT o, validOrg(o) AS bad, testUser(u) AS test, uaCategory(ua) AS kind, ep1('D', ua) AS ep FROM SOURCE_VIEW"})
+        "flags": "SELECT o, validOrg(o) AS bad, testUser(u) AS test, uaCategory(ua) AS kind, ep1('D', ua) AS ep, "
+                 "clientMapping(ua) AS c, onboardMethodMapping(ua) AS m, licenseMapping(ua) AS l FROM SOURCE_VIEW"})
     out = run_plan(j, [[step("src")], [step("flags")]])
     assert sorted(tuple(r) for r in out[0].frame.collect()) == [
-        ("a", "0", 0, "DESKTOP", "Desktop"), ("bad", "1", 1, "OTHER", "Other")]
+        ("a", "0", 0, "DESKTOP", "Desktop", "app", "sync", "Unknown"), ("bad", "1", 1, "OTHER", "Other", "OTHER", "Unknown", "Unknown")]
     assert "activeUser" in j.transforms
 
 
@@ -124,6 +127,23 @@ def test_views_join_later(spark, tmp_path):
     spark.catalog.clearCache()
 
 
+def test_region_views_join_later(spark, tmp_path):
+    """Regions, then users are set aside; after the first sink the reports have no input but those."""
+    found = Lookups(member_list(spark, [], "o"), member_list(spark, [], "u"), mapping_table(spark, {}),
+                    mapping_table(spark, {}), room_device_prefix="ROOM")
+    j = job(spark, tmp_path, lookups=found, transforms={
+        "r": lambda df, p: spark.createDataFrame([("a", "EU"), ("b", "US")], "orgId string, region string"),
+        "u": lambda df, p: spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x")], "orgId string, pdate string")})
+    write = {"queryName": "writeToFile", "parameters": {"dataLocation": str(tmp_path), "format": "json", "saveMode": "append"}}
+    names = ["activeUserUS", "activeUserEU", "orgIdNoRegion"]
+    stages = [[step("r")], [step("regionMapView")], [step("u")], [step("activeUserView")]]
+    for name in names:
+        stages += [[{"queryName": name, "parameters": {"output": name}}], [write]]
+    run_plan(j, stages)
+    got = [sorted(r.orgId for r in spark.read.json(str(tmp_path / name)).collect()) for name in names]
+    assert got == [["b", "c"], ["a"], ["c"]]
+
+
 def test_date_parameter_and_ids(spark):
     df = spark.createDataFrame([("2018-05-03",), ("2018-05-04",)], "d string")
     text = "CREATE OR REPLACE TEMPORARY VIEW v AS SELECT d, uuid(d) AS id FROM SOURCE_VIEW WHERE d = '$date'; SELECT * FROM v"

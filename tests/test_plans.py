@@ -130,3 +130,15 @@ def test_last_write_combines_before_the_shuffle(spark):
     text = plan(keyed.last_write(df, ["k"], F.col("v")))
     assert "partial_max_by" in text
     assert rows(keyed.last_write(df, ["k"], F.col("v"))) == ["(0, 999)", "(1, 997)", "(2, 998)"]
+
+
+@pytest.mark.parametrize("name, time, scans", [
+    ("license_monitor", "ts", 1), ("usage_anomaly", "l_shipdate", 1), ("usage_normal", "l_shipdate", 1),
+    ("table_monitor", "l_shipdate", 1), ("daily_sums", "l_shipdate", 1), ("call_volume_model", "ts", 1),
+    ("aggregate_monitor", "l_shipdate", 1)])
+def test_monitors_read_their_days_only(spark, sf_dir, name, time, scans):
+    """The range of days reaches each scan, and a monitor reads its table once."""
+    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(filters) == scans
+    assert all(f"GreaterThanOrEqual({time}," in line and f"LessThan({time}," in line or f"EqualTo({time}," in line for line in filters)
