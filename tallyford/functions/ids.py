@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .times import as_column
@@ -30,6 +30,18 @@ def name_uuid(text: Column | str) -> Column:
     )
 
 
+def given_id(dataid: Column | None) -> Column:
+    """The column `dataid`, null where `with_repeatable_id` is to fill it."""
+    return (F.lit(None).cast("string") if dataid is None else dataid).alias("dataid")
+
+
+def with_repeatable_id(rows: DataFrame, dataid: Column | None) -> DataFrame:
+    """`dataid` as given, or else named by the row's other columns: a retry repeats it, and equal rows share it."""
+    if dataid is not None:
+        return rows
+    return rows.withColumn("dataid", name_uuid(F.to_json(F.struct(*[f"`{c}`" for c in rows.columns if c != "dataid"]))))
+
+
 def random_uuid() -> Column:
     return F.expr("uuid()")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.histograms import average_of_minima
-from ..functions.ids import event_key, random_uuid
+from ..functions.ids import event_key, given_id, with_repeatable_id
 from ..functions.times import iso_day
 from ..operators import lookups, periods, ranking
 from . import vocabulary as v
@@ -19,7 +19,7 @@ def stamp(column: Column | str) -> Column:
 
 
 def call_duration(events: DataFrame, excluded_orgs: DataFrame, dataid: Column | None = None) -> DataFrame:
-    """Ended call legs. `dataid` is random unless a repeatable id is given."""
+    """Ended call legs. `dataid` names the row's columns unless an id is given."""
     fields = F.col("`@fields`")
     legs = events.where(
         (F.col("_appname") == v.CALL_APP) & (F.col("SM.uaType") != v.BRIDGE_AGENT)
@@ -40,11 +40,12 @@ def call_duration(events: DataFrame, excluded_orgs: DataFrame, dataid: Column |
         "raw",
     ).where(F.col("orgId") != v.UNKNOWN)
     legs = lookups.drop_members(legs, excluded_orgs, "orgId")
-    return legs.select(
+    facts = legs.select(
         "time_stamp", iso_day("time_stamp").alias("pdate"),
-        (random_uuid() if dataid is None else dataid).alias("dataid"),
+        given_id(dataid),
         "orgId", "userId", "uaVersion", "uaType", "legDuration", "SOURCE", "deviceType", "call_id", "relation_name",
         "raw")
+    return with_repeatable_id(facts, dataid)
 
 
 def _counted_legs(legs: DataFrame) -> DataFrame:
@@ -98,14 +99,15 @@ def call_quality(events: DataFrame, excluded_orgs: DataFrame, dataid: Column | N
         (media == v.AUDIO_END) & (F.col("audio_jitter") <= v.GOOD_JITTER) & (F.col("audio_rtt") <= v.GOOD_RTT)
         & (F.col("audio_packetloss") <= v.GOOD_LOSS)
     )
-    return calls.select(
+    facts = calls.select(
         "time_stamp", iso_day("time_stamp").alias("pdate"),
-        (random_uuid() if dataid is None else dataid).alias("dataid"),
+        given_id(dataid),
         "orgId", "userId", "duration", "mediaType", "call_id",
         "audio_jitter", "video_jitter", "audio_rtt", "video_rtt", "audio_packetloss", "video_packetloss",
         "uaVersion", "uaType", "source", "confId", "meetingId",
         flag(good_audio).alias("audio_is_good"), flag(media == v.VIDEO_END).alias("video_is_good"),
         F.lit("callQuality").alias("relation_name"), "raw")
+    return with_repeatable_id(facts, dataid)
 
 
 def bad_calls(quality: DataFrame, period: str) -> DataFrame:

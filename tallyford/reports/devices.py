@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import random_uuid
+from ..functions.ids import given_id, with_repeatable_id
 from ..functions.times import iso_day
 from ..operators import lookups, periods
 from . import vocabulary as v
@@ -30,11 +30,12 @@ def registered_endpoints(events: DataFrame, excluded_orgs: DataFrame, dataid: Co
         "raw",
     ).where(F.col("orgId") != v.UNKNOWN)
     rows = lookups.drop_members(rows, excluded_orgs, "orgId")
-    return rows.select(
+    facts = rows.select(
         "time_stamp", iso_day("time_stamp").alias("pdate"),
-        (random_uuid() if dataid is None else dataid).alias("dataid"),
+        given_id(dataid),
         "orgId", F.lit("NA").alias("userId"), "deviceId", "model", F.lit("registeredEndpoint").alias("relation_name"),
         "raw")
+    return with_repeatable_id(facts, dataid)
 
 
 def endpoint_count(facts: DataFrame, period: str) -> DataFrame:

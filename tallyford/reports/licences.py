@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import random_uuid
+from ..functions.ids import given_id, with_repeatable_id
 from ..functions.times import iso_day
 from .calls import stamp
 
@@ -18,13 +18,12 @@ def auto_licences(events: DataFrame, dataid: Column | None = None) -> DataFrame:
         (sm["provAction"] == "ADD") | (auto & (sm["provAction"] == "PATCH")))
     invite = (sm["className"] == "InviteMetricEvent") & ((sm["inviteType"] == "ADMIN_INVITE") | auto)
     time = stamp("`@timestamp`")
-    # The random id goes last: exploding after it would give all licences of an event the same one.
     rows = events.where(provision | invite).select(
         time.alias("time_stamp"), F.explode(sm["licenses"]).alias("_licence"), "SM", "raw")
-    return rows.select(
+    facts = rows.select(
         "time_stamp",
         iso_day("time_stamp").alias("pdate"),
-        (random_uuid() if dataid is None else dataid).alias("dataid"),
+        given_id(dataid),
         F.lit("license").alias("relation_name"),
         F.substring_index("_licence", "_", 1).alias("licenses"),
         sm["adminId"].alias("adminid"),
@@ -35,3 +34,4 @@ def auto_licences(events: DataFrame, dataid: Column | None = None) -> DataFrame:
         F.coalesce(sm["inviteeID"], sm["userId"]).alias("userid"),
         sm["orgId"].alias("orgid"),
         "raw")
+    return with_repeatable_id(facts, dataid)

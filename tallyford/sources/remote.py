@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import json
 import urllib.request
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from ..operators.shaping import parse_value
+from pyspark.sql.types import ArrayType, StructType
 
 BATCH_ROWS = 1000
 
@@ -32,7 +29,7 @@ def enrich_in_batches(
 ) -> DataFrame:
     """Send rows as JSON arrays, a bounded number at a time and from every task, and parse the replies.
 
-    A reply is a JSON array of rows, which replace the input. A call may be repeated when a task is
+    A reply is a JSON array of rows, which replace the input; one that is no such array fails the job. A call may be repeated when a task is
     retried, so the service has to be safe to call again.
     """
     if df.isStreaming:
@@ -42,8 +39,10 @@ def enrich_in_batches(
         for frame in frames:
             for start in range(0, len(frame), batch_rows):
                 part = frame["value"].iloc[start:start + batch_rows]
-                reply = json.loads(call("[" + ",".join(part) + "]"))
-                yield pd.DataFrame({"value": [json.dumps(row) for row in reply]}, dtype="object")
+                yield pd.DataFrame({"reply": [call("[" + ",".join(part) + "]")]}, dtype="object")
 
-    rows = df.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(ask, "value string")
-    return parse_value(rows, schema).drop("raw")
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    replies = df.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(ask, "reply string")
+    parsed = F.from_json("reply", ArrayType(schema))
+    return replies.select(F.inline(F.coalesce(parsed, F.raise_error(F.lit("a reply is no JSON array of rows")).cast(ArrayType(schema)))))

@@ -124,3 +124,8 @@ def test_document_write_skips_empty_frames(spark):
     from tallyford.sources.tables import write_documents
 
     assert write_documents(spark.range(0), {}) is False
+
+
+def test_enrich_refuses_other_replies(spark):
+    with pytest.raises(Exception, match="no JSON array of rows"):
+        remote.enrich_in_batches(spark.range(3), lambda body: "busy", "id BIGINT").collect()
