@@ -119,10 +119,10 @@ def test_events_are_filtered_without_parsing_again(spark, sf_dir):
     from tallyford.operators.shaping import parse_value, to_json_rows
 
     parsed = parse_value(to_json_rows(events), events.schema)
-    report = usage.active_users(parsed, derive.excluded(spark), derive.testers(spark), derive.agents(spark))
+    report = usage.active_users(parsed, derive.excluded(spark), derive.testers(spark), derive.agents(spark), room_device_prefix=derive.ROOM_PREFIX)
     assert report._jdf.queryExecution().optimizedPlan().toString().count("from_json(") <= 2
     assert rows(report) == rows(usage.active_users(
-        events, derive.excluded(spark), derive.testers(spark), derive.agents(spark)))
+        events, derive.excluded(spark), derive.testers(spark), derive.agents(spark), room_device_prefix=derive.ROOM_PREFIX))
 
 
 def test_last_write_combines_before_the_shuffle(spark):
