@@ -1,19 +1,26 @@
-"""Language-model scores by logistic mixing of hashed-context bit predictors.
+"""Language-model scores by logistic mixing of context bit predictors.
 
 Tokens are the lower-cased (A-Z) words of a text and one end. A token is predicted in two parts: the bits of its 8-bit
 code (four bits from its first letters, four from its last), one after the other, and the token among those of its code by
-counts. Each bit is predicted by several tables, indexed by a hash of a context and the bits so far: no context, the
-code before, the token before, the two codes before. The predictions are combined in the logistic domain with weights
+counts. Each bit is predicted by several tables that count codes by context: no context, the code before, the token
+before, the two codes before. The predictions are combined in the logistic domain with weights
 that a gate selects (bit number, how often the token before was seen), then refined by an adaptive map from the
 mixed probability to the observed one. The result is a probability of the whole text; `bits_per_byte` is its cost.
 
-Three passes: count tokens and table slots over all training documents; run the mixer online over all training
-documents, each task from the same start and with its own document's counts taken out, and average the weights; score
-all documents. Tables, weights and map have fixed sizes. The tokens that make up at least one in 2^22 of the training tokens,
-at most 2^22 by that definition, are sent to the tasks; all other counts come by a join on the token.
+Every context has counts of its own. The two codes before are at most 2^16 contexts; their counts are sent to the tasks. The
+tokens before grow with the corpus: Spark groups their counts by context. Those that make up at least one in 2^16 of the
+training tokens, at most 2^16 by that definition, are sent; tokens after any other context are rows that meet its
+counts in a join, and are learned from and scored where they meet.
+
+Passes: count tokens and contexts over all training documents; join the tokens after a context that was not sent; run the
+mixer online over all training tokens, each task from the same start and with the token's own count taken out, and
+average the weights; score all tokens. The tokens that make up at least one in 2^22 of the training tokens,
+at most 2^22 by that definition, are sent to the tasks; all other counts come by a join on the token. Rows after a join have
+no fixed order, so weights and scores of two runs may differ in late digits.
 
 A null text is empty and has the end only. A null id is not held out. Rows are scored one by one, also if equal; other
 columns are not read. Without training documents every token has the probability its code and one unknown leave.
+Tokens, contexts and texts are compared by hashes of 56 bits or more.
 """
 
 from __future__ import annotations
@@ -31,17 +38,18 @@ from .textscan import Texts, mix, mix_one, signed, slices
 from .work import Work, result
 
 BITS = 8
-TABLE_BITS = 18
 TABLES = 4
 SENT_TOKENS = 1 << 22
+SENT_CONTEXTS = 1 << 16
 GATES = BITS * 4
 STEPS = 25
 RATE = 0.02
 MINI_BATCH = 8192
-# Distinct tokens a task gathers before it passes their counts on.
+# Distinct tokens, or codes after a token, a task gathers before it passes their counts on.
 GATHERED = 1 << 20
+# Parts of the counts: tokens, codes after a token, codes after two codes.
+TOKEN, AFTER, PAGE = -1, 0, 1
 
-_SLOTS = 1 << TABLE_BITS
 _CODE = np.uint64((1 << BITS) - 1)
 END = (mix_one(0xE0D) & ~int(_CODE)) | 0xA5
 START = 0x57A7 << BITS
@@ -67,55 +75,156 @@ class Tokens:
         one[self.begins] = START
         two = np.concatenate((np.array([START], np.uint64), one))[:len(self.id)]
         two[self.begins] = START
-        self.contexts = [None, mix((one & _CODE) + np.uint64(1 << 32)), mix(one + np.uint64(2)),
-                         mix((one & _CODE) << np.uint64(8) | (two & _CODE) | np.uint64(1 << 40))]
+        self.before, self.two = (one & _CODE).astype(np.int64), (two & _CODE).astype(np.int64)
+        self.after = context(one)
 
-    def bit(self, depth: int) -> np.ndarray:
-        return (self.code >> (BITS - 1 - depth)) & 1
+    def page(self) -> np.ndarray:
+        return self.before << 8 | self.two
 
-    def slots(self, depth: int, rows: slice = slice(None)) -> list[np.ndarray]:
-        """For each table the slot that predicts the bit at this depth."""
-        node = (1 << depth) | (self.code[rows] >> (BITS - depth))
-        spread = node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return [node] + [((c[rows] ^ spread) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - TABLE_BITS)).astype(np.int64) for c in self.contexts[1:]]
 
+def context(tokens: np.ndarray) -> np.ndarray:
+    """Names of tokens as contexts; the low byte is free for a code."""
+    return mix(tokens + np.uint64(2)) & ~_CODE
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows `(part, key, zeros, ones)`: part -1 has token counts in `ones`, the others the slots of a table."""
-    seen = np.zeros((TABLES, 2 * _SLOTS), np.int64)
-    ids, held = [], 0
 
-    def tokens():
-        every = np.concatenate([x for x, _ in ids]) if ids else np.zeros(0, np.uint64)
-        times = np.concatenate([x for _, x in ids]) if ids else np.zeros(0, np.int64)
-        value, which = np.unique(every, return_inverse=True)
-        total = np.bincount(which, weights=times, minlength=len(value)).astype(np.int64)
-        return value, total
+def _summed(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the sum of each."""
+    value, which = np.unique(key, return_inverse=True)
+    return value, np.bincount(which, weights=times, minlength=len(value)).astype(np.int64)
+
+
+def _listed(part: int, key: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """Rows `(part, key, c, codes)`, one for each context of sorted keys `context | code`; `codes` has `times << 8 | code`."""
+    begin = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[1:] >> np.uint64(8) != key[:-1] >> np.uint64(8))))
+    codes = times << 8 | (key & _CODE).astype(np.int64)
+    c = np.add.reduceat(times, begin) if len(begin) else np.zeros(0, np.int64)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(key)), pa.int32()), pa.array(codes))
+    return pa.record_batch([pa.array(np.full(len(begin), part, np.int32)), pa.array(signed(key[begin] & ~_CODE)), pa.array(c), lists],
+                           ["part", "key", "c", "codes"])
+
+
+class Gathered:
+    """Counts of keys, merged whenever many have come in."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
 
-    def rows(part, key, zeros, ones):
-        return pa.record_batch([pa.array(np.full(len(key), part, np.int32)), pa.array(key), pa.array(zeros), pa.array(ones)], ["part", "key", "zeros", "ones"])
+    def add(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """The counts so far, if there are too many to be kept."""
+        self.held.append(np.unique(key, return_counts=True))
+        self.size += len(self.held[-1][0])
+        if self.size > 2 * GATHERED:
+            found = self.all()
+            if len(found[0]) > GATHERED:
+                return found
+            self.held, self.size = [found], len(found[0])
+        return None
 
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        held, self.held, self.size = self.held, [], 0
+        if not held:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return _summed(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows `(part, key, c, codes)`: counts of tokens, and for each context those of the codes that follow."""
+    def rows(part, found):
+        if part != TOKEN:
+            return _listed(part, *found)
+        n = len(found[0])
+        return pa.record_batch([pa.array(np.full(n, TOKEN, np.int32)), pa.array(signed(found[0])), pa.array(found[1]), pa.nulls(n, pa.list_(pa.int64()))],
+                               ["part", "key", "c", "codes"])
+
+    gathered = {part: Gathered() for part in (TOKEN, AFTER, PAGE)}
     for batch in slices(batches):
         found = Tokens(Texts(batch.column("text")))
-        for depth in range(BITS):
-            bit = found.bit(depth)
-            for t, slot in enumerate(found.slots(depth)):
-                seen[t] += np.bincount(slot * 2 + bit, minlength=2 * _SLOTS)
-        value, times = np.unique(found.id, return_counts=True)
-        ids.append((value, times))
-        held += len(value)
-        if held > GATHERED:
-            value, times = tokens()
-            ids, held = [(value, times)], len(value)
-            if held > GATHERED // 2:
-                yield rows(-1, signed(value), np.zeros(len(value), np.int64), times)
-                ids, held = [], 0
-    value, times = tokens()
-    yield rows(-1, signed(value), np.zeros(len(value), np.int64), times)
-    for t in range(TABLES):
-        pair = seen[t].reshape(-1, 2)
-        some = np.flatnonzero(pair.any(1))
-        yield rows(t, some, np.ascontiguousarray(pair[some, 0]), np.ascontiguousarray(pair[some, 1]))
+        code = found.id & _CODE
+        for part, key in ((TOKEN, found.id), (AFTER, found.after | code), (PAGE, found.page().astype(np.uint64) << np.uint64(8) | code)):
+            if (full := gathered[part].add(key)) is not None:
+                yield rows(part, full)
+    for part, held in gathered.items():
+        yield rows(part, held.all())
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each context of rows that come sorted by part and key."""
+    held: list[np.ndarray] | None = None
+
+    def whole(part, key, length, codes):
+        of = np.cumsum(np.concatenate(([False], (part[1:] != part[:-1]) | (key[1:] != key[:-1])))) if len(key) else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        both, times = _summed(np.repeat(of, length) << 8 | codes & 0xFF, codes >> 8)
+        group, codes = both >> 8, times << 8 | both & 0xFF
+        begin = np.searchsorted(group, np.arange(len(first) + 1))
+        lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(codes))
+        c = np.bincount(group, weights=times, minlength=len(first)).astype(np.int64)
+        return pa.record_batch([pa.array(part[first]), pa.array(key[first]), pa.array(c), lists], ["part", "key", "c", "codes"])
+
+    for batch in batches:
+        lists = batch.column("codes")
+        now = [batch.column("part").to_numpy(), batch.column("key").to_numpy(), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()]
+        if held is not None:
+            now = [np.concatenate(x) for x in zip(held, now)]
+        part, key, length, codes = now
+        if not len(key):
+            continue
+        other = np.flatnonzero((part != part[-1]) | (key != key[-1]))
+        stop = int(other[-1]) + 1 if len(other) else 0
+        cut = int(length[:stop].sum())
+        if stop:
+            yield whole(part[:stop], key[:stop], length[:stop], codes[:cut])
+        held = [part[stop:], key[stop:], length[stop:], codes[cut:]]
+    if held is not None:
+        yield whole(*held)
+
+
+class Counts:
+    """Counts of the sent contexts. A context is a row of a heap: node 1 has all its tokens, node `256 | code` those of a code."""
+
+    def __init__(self, names: np.ndarray, after: pa.ListArray, page: np.ndarray, pages: pa.ListArray):
+        """`names` are sorted, `after` has a list for each; `page` has a row of `pages` for each two codes."""
+        self.__setstate__((names, _sparse(after), page, _sparse(pages)))
+
+    def __getstate__(self):
+        # The lists are sent and become heaps in the tasks.
+        return self.state
+
+    def __setstate__(self, state):
+        self.state = self.names, after, self.page, pages = state
+        self.after, self.pages = _heaps(*after), _heaps(*pages)
+        # The contexts of fewer codes sum those of more.
+        self.before = np.stack([self.pages[rows].sum(0, dtype=np.float64) for rows in self.page.reshape(1 << BITS, -1)])
+        self.every = self.before.sum(0)
+
+    def sent(self, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The row of each context, and whether it was sent."""
+        at = np.minimum(np.searchsorted(self.names, after), max(len(self.names) - 1, 0))
+        return at, self.names[at] == after if len(self.names) else np.zeros(len(after), bool)
+
+    def paths(self, after: np.ndarray, before: np.ndarray, two: np.ndarray, code: np.ndarray) -> list[np.ndarray]:
+        """For each table the counts of the nodes from the root to a token's code; `after` are those of the token before."""
+        nodes = _nodes(code)
+        return [self.every[nodes], self.before[before[:, None], nodes], after, self.pages[self.page[before << 8 | two][:, None], nodes]]
+
+
+def _nodes(code: np.ndarray) -> np.ndarray:
+    return (1 << BITS | code)[:, None] >> np.arange(BITS, -1, -1)
+
+
+def _sparse(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lengths of the lists, the codes and how often each occurs."""
+    codes = lists.flatten().to_numpy()
+    return np.diff(lists.offsets.to_numpy()), (codes & 0xFF).astype(np.uint8), (codes >> 8).astype(np.float32)
+
+
+def _heaps(length: np.ndarray, code: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """A heap for each list of codes, and one of zeros."""
+    heaps = np.zeros((len(length) + 1, 2 << BITS), np.float32)
+    heaps[np.repeat(np.arange(len(length)), length), code.astype(np.int64) | 1 << BITS] = times
+    for depth in range(BITS - 1, -1, -1):
+        heaps[:, 1 << depth:2 << depth] = heaps[:, 2 << depth:4 << depth].reshape(len(heaps), -1, 2).sum(2)
+    return heaps
 
 
 def _stretch(p):
@@ -127,61 +236,129 @@ def _squash(x):
 
 
 class Mixer:
-    """Predictions of one depth at a time, from the slots' counts."""
-
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts  # (tables, slots, 2), float32
-        self.weights = np.full((GATES, TABLES), 1 / TABLES + 0.1, np.float32)
-
-    def inputs(self, found: Tokens, depth: int, rows: slice, without: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Stretched predictions (tables, rows) and the gate of each row; `without`: bits whose own count is taken out."""
-        slots = found.slots(depth, rows)
-        x = np.empty((TABLES, len(slots[0])), np.float32)
-        for t, slot in enumerate(slots):
-            zeros, ones = self.counts[t, slot, 0], self.counts[t, slot, 1]
-            if without is not None:
-                zeros, ones = zeros - (1 - without), ones - without
+    """Predictions of all bits of some tokens, from the counts on the paths to their codes."""
+
+    def __init__(self, weights: np.ndarray | None = None):
+        self.weights = np.full((GATES, TABLES), 1 / TABLES + 0.1, np.float32) if weights is None else weights
+
+    def inputs(self, paths: list[np.ndarray], code: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Stretched predictions (tables, tokens x bits), gates and bits; `own` of each token's counts are its own."""
+        bit = (code[:, None] >> np.arange(BITS - 1, -1, -1)) & 1
+        sign = (2 * bit - 1).astype(np.float32)
+        x = np.empty((TABLES, code.size * BITS), np.float32)
+        for t, path in enumerate(paths):
+            toward = path[:, 1:] - own
+            other = path[:, :-1] - path[:, 1:]
+            x[t] = (sign * np.log((toward + np.float32(0.4)) / (other + np.float32(0.4)))).ravel()
             if t == 2:
-                n = zeros + ones
-                gate = depth * 4 + (n > 0).astype(np.int64) + (n > 16) + (n > 256)
-            x[t] = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
-        return x, gate
+                n = toward + other
+                gate = np.arange(BITS) * 4 + (n > 0).astype(np.int64) + (n > 16) + (n > 256)
+        return x, gate.ravel(), bit.ravel()
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         return np.clip(np.einsum("tn,nt->n", x, self.weights[gate]), -14, 14)
 
-    def learn(self, x: np.ndarray, gate: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        """One online step for a mini-batch; the mixed predictions before it."""
+    def learn(self, x: np.ndarray, gate: np.ndarray, bit: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """One online step for a mini-batch; the mixed predictions before it. Gates of different bits do not touch."""
         before = self.mixed(x, gate)
-        error = bit - _squash(before)
-        n = np.maximum(np.bincount(gate, minlength=GATES), 1)
+        error = (bit - _squash(before)) * times
+        n = np.maximum(np.bincount(gate, weights=times, minlength=GATES), 1)
         for t in range(TABLES):
             self.weights[:, t] += RATE * np.bincount(gate, weights=error * x[t], minlength=GATES) / n
         return before
 
 
-def _step(mixed: np.ndarray, depth: int) -> np.ndarray:
+def _step(mixed: np.ndarray) -> np.ndarray:
+    depth = np.arange(len(mixed)) % BITS
     return depth * STEPS + np.clip(np.rint(mixed * 2) + STEPS // 2, 0, STEPS - 1).astype(np.int64)
 
 
-def _learn(counts):
-    """Rows `(part, key, value, weight)`: weights of the gates times their use, and the map's observed bits."""
+def _lookups(counts):
+    """Rows `(same, after, what)` of the tokens whose context was not sent; `what` packs times, held_out and three codes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(counts.value)
-        used = np.zeros(GATES, np.int64)
-        seen = np.zeros((BITS * STEPS, 2), np.int64)
         for batch in slices(batches):
             found = Tokens(Texts(batch.column("text")))
-            for begin in range(0, len(found.id), MINI_BATCH):
-                rows = slice(begin, begin + MINI_BATCH)
-                for depth in range(BITS):
-                    bit = found.bit(depth)[rows].astype(np.float32)
-                    x, gate = mixer.inputs(found, depth, rows, bit)
-                    mixed = mixer.learn(x, gate, bit)
-                    used += np.bincount(gate, minlength=GATES)
-                    at = _step(mixed, depth)
-                    seen[:, 1] += np.bincount(at, weights=bit, minlength=len(seen)).astype(np.int64)
-                    seen[:, 0] += np.bincount(at, weights=1 - bit, minlength=len(seen)).astype(np.int64)
+            of = np.repeat(np.arange(batch.num_rows), np.diff(np.append(found.begins, len(found.id))))
+            rest = np.flatnonzero(~counts.value.sent(found.after)[1])
+            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)[of[rest]]
+            what = 1 << 25 | held << 24 | found.before[rest] << 16 | found.two[rest] << 8 | found.code[rest]
+            yield pa.record_batch([batch.column("same").take(pa.array(of[rest])), pa.array(signed(found.after[rest])), pa.array(what)],
+                                  ["same", "after", "what"])
+
+    return run
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows again, in batches of at least MINI_BATCH but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= MINI_BATCH:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
+
+_PATH = [f"p{i}" for i in range(BITS + 1)]
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts on the path to each token's code, from the codes that followed its context."""
+    for batch in _together(batches):
+        lists, code = batch.column("codes"), batch.column("what").to_numpy() & 0xFF
+        length = np.diff(lists.offsets.to_numpy())
+        if lists.null_count:
+            length[lists.is_null().to_numpy(zero_copy_only=False)] = 0
+        codes = lists.flatten().to_numpy()
+        row = np.repeat(np.arange(len(code)), length)
+        # frexp tells how many low bits differ; the rest of the path is the same.
+        common = BITS - np.frexp(((codes & 0xFF) ^ code[row]).astype(np.float32))[1]
+        at = np.bincount(row * (BITS + 1) + common, weights=codes >> 8, minlength=len(code) * (BITS + 1)).reshape(-1, BITS + 1)
+        path = np.cumsum(at[:, ::-1], 1)[:, ::-1].astype(np.int32)
+        yield pa.record_batch([batch.column("same"), batch.column("what"), *[pa.array(np.ascontiguousarray(path[:, i])) for i in range(BITS + 1)]],
+                              ["same", "what", *_PATH])
+
+
+def _found_here(batches, counts, most):
+    """The tokens of documents whose context was sent: documents, places, paths and codes of some at a time."""
+    for batch in slices(batches):
+        texts = Texts(batch.column("text"))
+        found = Tokens(texts)
+        row, sent = counts.sent(found.after)
+        every = np.flatnonzero(sent)
+        for begin in range(0, len(every), most):
+            at = every[begin:begin + most]
+            code = found.code[at]
+            yield counts.paths(counts.after[row[at][:, None], _nodes(code)], found.before[at], found.two[at], code), code, np.ones(len(at))
+
+
+def _found_there(batches, counts, most):
+    """The same of rows that met their counts in the join."""
+    for batch in _together(batches):
+        what = batch.column("what").to_numpy()
+        after = np.column_stack([batch.column(p).to_numpy() for p in _PATH]).astype(np.float32)
+        for begin in range(0, len(what), most):
+            w = what[begin:begin + most]
+            code = w & 0xFF
+            yield counts.paths(after[begin:begin + most], w >> 16 & 0xFF, w >> 8 & 0xFF, code), code, (w >> 25).astype(float)
+
+
+def _learn(counts, tokens):
+    """Rows `(part, key, value, weight)`: weights of the gates times their use, and the map's observed bits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer = Mixer()
+        used = np.zeros(GATES)
+        seen = np.zeros((BITS * STEPS, 2))
+        for paths, code, times in tokens(batches, counts.value, MINI_BATCH):
+            x, gate, bit = mixer.inputs(paths, code, 1)
+            times = np.repeat(times, BITS)
+            mixed = mixer.learn(x, gate, bit, times)
+            used += np.bincount(gate, weights=times, minlength=GATES)
+            at = _step(mixed)
+            seen[:, 1] += np.bincount(at, weights=bit * times, minlength=len(seen))
+            seen[:, 0] += np.bincount(at, weights=(1 - bit) * times, minlength=len(seen))
         part = np.concatenate((np.repeat(np.arange(TABLES), GATES), np.full(len(seen), TABLES)))
         key = np.concatenate((np.tile(np.arange(GATES), TABLES), np.arange(len(seen))))
         value = np.concatenate(((mixer.weights * used[:, None]).T.ravel(), seen[:, 1]))
@@ -192,27 +369,59 @@ def _learn(counts):
     return run
 
 
-def _score(model):
+def _logs(mixer: Mixer, refined: np.ndarray, paths: list[np.ndarray], code: np.ndarray) -> np.ndarray:
+    """The log of each code's probability."""
+    x, gate, bit = mixer.inputs(paths, code, 0)
+    mixed = mixer.mixed(x, gate)
+    p = (_squash(mixed) + refined[_step(mixed)]) / 2
+    return np.log10(np.where(bit == 1, p, 1 - p)).reshape(-1, BITS).sum(1)
+
+
+def _score_joined(counts, model):
+    """Rows `(same, logs)`: what the joined tokens add to a text's score, over all its copies."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, refined = model.value[:2]
+        mixer = Mixer(weights)
+        held, size = [], 0
+
+        def summed():
+            same, which = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            logs = np.bincount(which, weights=np.concatenate([x for _, x in held]), minlength=len(same))
+            return pa.record_batch([pa.array(same), pa.array(logs)], ["same", "logs"])
+
+        for batch in _together(batches):
+            logs = [_logs(mixer, refined, paths, code) * times for paths, code, times in _found_there([batch], counts.value, MINI_BATCH)]
+            held.append((batch.column("same").to_numpy(), np.concatenate([np.zeros(0), *logs])))
+            size += batch.num_rows
+            if size > GATHERED:
+                yield summed()
+                held, size = [], 0
+        if held:
+            yield summed()
+
+    return run
+
+
+def _score(counts, model):
     """A row per document, and rows `(rid, token, times)` for tokens that were not sent."""
-    schema = pa.schema([("rid", pa.int64()), ("id", pa.string()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+    schema = pa.schema([("rid", pa.int64()), ("same", pa.int64()), ("id", pa.string()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_bytes", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()), ("mixed", pa.float64()), ("token", pa.int64()), ("times", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, weights, refined, sent, sent_logs, code_logs = model.value
-        mixer = Mixer(counts)
-        mixer.weights = weights
+        weights, refined, sent, sent_logs, code_logs = model.value
+        mixer = Mixer(weights)
         rid = TaskContext.get().partitionId() << 40
         for batch in slices(batches):
             texts = Texts(batch.column("text"))
             found = Tokens(texts)
             logs = np.zeros(len(found.id))
-            for begin in range(0, len(found.id), 1 << 16):
-                rows = slice(begin, begin + (1 << 16))
-                for depth in range(BITS):
-                    x, gate = mixer.inputs(found, depth, rows, None)
-                    mixed = mixer.mixed(x, gate)
-                    p = (_squash(mixed) + refined[_step(mixed, depth)]) / 2
-                    logs[rows] += np.log10(np.where(found.bit(depth)[rows] == 1, p, 1 - p))
+            row, here = counts.value.sent(found.after)
+            here = np.flatnonzero(here)
+            for begin in range(0, len(here), MINI_BATCH):
+                at = here[begin:begin + MINI_BATCH]
+                code = found.code[at]
+                after = counts.value.after[row[at][:, None], _nodes(code)]
+                logs[at] = _logs(mixer, refined, counts.value.paths(after, found.before[at], found.two[at], code), code)
             logs -= code_logs[found.code]
             value, which, times = np.unique(found.id, return_inverse=True, return_counts=True)
             at = np.minimum(np.searchsorted(sent, value), max(len(sent) - 1, 0))
@@ -228,14 +437,14 @@ def _score(model):
             rid += texts.n
             n_tokens = np.bincount(of, minlength=texts.n)
             yield pa.record_batch([
-                pa.array(rids), batch.column("id"), batch.column("held_out"), pa.array(n_tokens), pa.array(np.diff(texts.offset)),
+                pa.array(rids), batch.column("same"), batch.column("id"), batch.column("held_out"), pa.array(n_tokens), pa.array(np.diff(texts.offset)),
                 pa.array(sums(own).astype(np.int64)), pa.array(sums(count_logs)), pa.array(sums(logs)),
                 pa.nulls(texts.n, pa.int64()), pa.nulls(texts.n, pa.int64())], schema=schema)
             rest = ~own
             if rest.any():
                 pair, times = _pairs(of[rest], which[rest])
                 n = len(times)
-                nulls = [pa.nulls(n, schema.field(i).type) for i in range(1, 8)]
+                nulls = [pa.nulls(n, schema.field(i).type) for i in range(1, 9)]
                 yield pa.record_batch([pa.array(rids[pair[0]]), *nulls, pa.array(signed(value[pair[1]])), pa.array(times)], schema=schema)
 
     return run
@@ -254,17 +463,17 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     id_sql = dict(docs.select(id_col).dtypes)[id_col]
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = docs.select(
+        F.xxhash64(text_col).alias("same"), F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     train = rows.where("not held_out").select("text")
     with Work(spark, "language-model") as work:
-        counted = work.keep(
-            train.mapInArrow(_counts, "part int, key long, zeros long, ones long")
-            .groupBy("part", "key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")), "counts")
-        tables = np.zeros((TABLES, _SLOTS, 2), np.float32)
-        slots = counted.where("part >= 0").select("part", "key", F.col("zeros").cast("float"), F.col("ones").cast("float")).toArrow()
-        part, key = slots["part"].to_numpy(), slots["key"].to_numpy()
-        tables[part, key, 0], tables[part, key, 1] = slots["zeros"].to_numpy(), slots["ones"].to_numpy()
-        words = counted.where("part = -1").select(F.col("key").alias("token"), F.col("ones").alias("c"))
+        lists = "part int, key long, c long, codes array<long>"
+        gathered = work.keep(train.mapInArrow(_counts, lists), "gathered")
+        words = work.keep(gathered.where(F.col("part") == TOKEN).groupBy(F.col("key").alias("token")).agg(F.sum("c").alias("c")), "words")
+        contexts = work.keep(
+            gathered.where(F.col("part") != TOKEN).repartition("part", "key").sortWithinPartitions("part", "key").mapInArrow(_merged, lists), "contexts")
+        work.drop(gathered)
         per_code = words.groupBy(F.col("token").bitwiseAND(F.lit(int(_CODE))).alias("code")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
         n = sum(r.n for r in per_code)
         v = sum(r.v for r in per_code)
@@ -275,27 +484,47 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
         token, c = sent["token"].to_numpy().view(np.uint64), sent["c"].to_numpy()
         order = np.argsort(token)
 
-        shared = spark.sparkContext.broadcast(tables)
+        after = contexts.where(F.col("part") == AFTER)
+        often = F.col("c") * SENT_CONTEXTS >= n
+        found = after.where(often).select("key", "codes").toArrow().combine_chunks()
+        by_name = np.argsort(found["key"].to_numpy().view(np.uint64))
+        names = found["key"].to_numpy().view(np.uint64)[by_name]
+        codes = _list(found.take(pa.array(by_name)))
+        found = contexts.where(F.col("part") == PAGE).select("key", "codes").toArrow().combine_chunks()
+        page = np.full(1 << 2 * BITS, len(found), np.int32)
+        page[found["key"].to_numpy() >> 8] = np.arange(len(found))
+        shared = spark.sparkContext.broadcast(Counts(names, codes, page, _list(found)))
+        paths = work.keep(
+            rows.select("same", "text", "held_out").mapInArrow(_lookups(shared), "same long, after long, what long")
+            .join(after.where(~often).select(F.col("key").alias("after"), "codes"), "after", "left").select("same", "what", "codes")
+            .mapInArrow(_joined, "same long, what long, " + ", ".join(f"{p} int" for p in _PATH)), "paths")
+        values = "part long, key long, value double, weight double"
+        trained = paths.where(F.col("what").bitwiseAND(F.lit(1 << 24)) == 0).select("what", *_PATH)
         learned = (
-            train.mapInArrow(_learn(shared), "part long, key long, value double, weight double")
+            train.mapInArrow(_learn(shared, _found_here), values).unionByName(trained.mapInArrow(_learn(shared, _found_there), values))
             .groupBy("part", "key").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight")).collect())
-        mixer = Mixer(tables)
+        mixer = Mixer()
         refined = _squash((np.tile(np.arange(STEPS), BITS) - STEPS // 2) / 2)
         for r in learned:
             if r.part < TABLES and r.weight:
                 mixer.weights[r.key, r.part] = round(r.value / r.weight, 6)
             elif r.part == TABLES:
                 refined[r.key] = (r.value + 16 * refined[r.key]) / (r.weight + 16)
-        model = spark.sparkContext.broadcast((tables, mixer.weights, refined, token[order], np.log10(c[order] + 0.5), code_logs))
+        model = spark.sparkContext.broadcast((mixer.weights, refined, token[order], np.log10(c[order] + 0.5), code_logs))
         found = work.keep(rows.mapInArrow(
-            _score(model), "rid long, id string, held_out boolean, n_tokens long, n_bytes long, known long, logs double, mixed double, token long, times long"), "found")
+            _score(shared, model),
+            "rid long, same long, id string, held_out boolean, n_tokens long, n_bytes long, known long, logs double, mixed double, token long, times long"), "found")
         rest = (
             found.where("token is not null").join(words, "token", "left").groupBy("rid").agg(
                 F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("rest_logs"),
                 F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rest_known")))
+        # Copies of a text have the same share each.
+        copies = found.where("token is null").groupBy("same").agg(F.count("*").alias("copies"))
+        there = paths.mapInArrow(_score_joined(shared, model), "same long, logs double").groupBy("same").agg(F.sum("logs").alias("there"))
+        there = work.keep(there.join(copies, "same").select("same", (F.col("there") / F.col("copies")).alias("there")), "there")
         logs = F.col("logs") + F.coalesce("rest_logs", F.lit(0.0))
-        score = F.col("mixed") + logs
-        out = result(found.where("token is null").join(rest, "rid", "left").select(
+        score = F.col("mixed") + F.coalesce("there", F.lit(0.0)) + logs
+        out = result(found.where("token is null").join(rest, "rid", "left").join(there, "same", "left").select(
             F.col("id").cast(id_sql).alias(id_col), "held_out", "n_tokens", (F.col("known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
             F.lit(n).cast("long").alias("train_tokens"),
             (logs - F.col("n_tokens") * F.lit(float(np.log10(n + 0.5 * (v + 1))))).alias("base_score"), score.alias("score"),
@@ -305,6 +534,10 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
         return out
 
 
+def _list(rows: pa.Table) -> pa.ListArray:
+    return pa.concat_arrays(rows["codes"].chunks) if rows.num_rows else pa.array([], pa.list_(pa.int64()))
+
+
 @query("op6_language_model")
 def op6(spark, sf_dir):
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1

@@ -13,6 +13,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -278,6 +279,40 @@ def test_language_model_beats_counts(spark):
     assert got[0] > got[1]
 
 
+def test_language_model_counts_each_context():
+    texts = [" ".join(random.choices(NOUNS, k=3000)) for _ in range(8)] + [None, ""]
+    batches = [pa.record_batch([pa.array(texts[i:i + 5], pa.string())], ["text"]) for i in (0, 5)]
+    found = language_model.Tokens(textscan.Texts(pa.array(texts, pa.string())))
+    want = collections.Counter(zip(textscan.signed(found.after).tolist(), found.code.tolist()))
+    pages = collections.Counter(zip((found.page() << 8).tolist(), found.code.tolist()))
+    # Two tasks' rows, sorted as they arrive.
+    rows = pa.Table.from_batches([r for b in batches for r in language_model._counts([b])]).sort_by([("part", "ascending"), ("key", "ascending")])
+    rows = rows.filter(pa.compute.field("part") >= 0).combine_chunks().to_batches(max_chunksize=100)
+    merged = pa.Table.from_batches(language_model._merged(rows)).to_pylist()
+    got = {(r["part"], r["key"], x & 0xFF): x >> 8 for r in merged for x in r["codes"]}
+    assert got == {(0, *k): n for k, n in want.items()} | {(1, *k): n for k, n in pages.items()}
+    assert len(merged) == len({k for k, _ in want}) + len({k for k, _ in pages})
+    assert all(r["c"] == sum(x >> 8 for x in r["codes"]) for r in merged)
+
+
+def test_language_model_joins_rare_contexts(spark, odd, monkeypatch):
+    rows = [(300 + i, prose(200)) for i in range(100)]
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame([*rows, (900, "word " * 50), (901, "never " * 50)], "doc_id long, text string"))
+    held = F.pmod(F.col("doc_id"), F.lit(5)) == 1
+    got = {}
+    # Weights that are not learned do not depend on the order of rows; the tasks get the module as it is here.
+    monkeypatch.setattr(language_model, "RATE", 0.0)
+    cloudpickle.register_pickle_by_value(language_model)
+    try:
+        for most in (1 << 40, 1):
+            monkeypatch.setattr(language_model, "SENT_CONTEXTS", most)
+            got[most] = sorted(((r.doc_id, r.n_tokens, r.score) for r in language_model.scores(docs, held).collect()), key=key)
+    finally:
+        cloudpickle.unregister_pickle_by_value(language_model)
+    for sent, joined in zip(*got.values()):
+        assert sent[:2] == joined[:2] and abs(sent[2] - joined[2]) < 1e-4 * abs(sent[2])
+
+
 def test_classifiers(spark):
     labels = {r.doc_id: r for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
     kept = {r.doc_id: r.kept for r in QUERIES["op7_quality_classifier"](spark, DATA).collect()}
