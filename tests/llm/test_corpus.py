@@ -20,7 +20,7 @@ import corpus_pipeline
 import oracle
 from conftest import DATA
 from tallyford.llm import (
-    decontaminate, graph, language_model, mixing, ngram_join, pii, quality_classifier, quality_rules, textscan, token_files,
+    decontaminate, graph, language_model, linear, mixing, ngram_join, pii, quality_classifier, quality_rules, textscan, token_files,
     toxicity, warc)
 from tallyford.llm.queries import QUERIES, SQL
 from tallyford.llm.registry import ship
@@ -321,6 +321,40 @@ def test_classifiers(spark):
     assert np.mean([not toxic[i] for i, x in labels.items() if not x.toxic]) > 0.95
 
 
+def test_co_training_reaches_all_unlabelled(spark):
+    ship(spark)
+    rng = np.random.default_rng(3)
+    good = rng.random(20_000) < 0.5
+    texts = [" ".join(rng.choice(NOUNS[:200] if g else NOUNS[200:], 6)) for g in good]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "web" if g else "ads", 40) for i, (t, g) in enumerate(zip(texts, good.tolist()))],
+        "id long, text string, language string, source string, length long").repartition(5)
+    labels = docs.where("id < 2000").select("id", (F.col("source") == "web").cast("int").alias("quality"))
+    seen = {}
+
+    def counts(self, scale, history, weights, f=quality_classifier.Unlabelled.counts):
+        found = f(self, scale, history, weights)
+        seen[len(history)] = found.reshape(2, -1).sum(1).tolist()
+        return found
+
+    with Work(spark, "test") as work, pytest.MonkeyPatch.context() as m:
+        m.setattr(quality_classifier.Unlabelled, "counts", counts)
+        model = quality_classifier.train(docs, labels, work, id_col="id", label_col="quality", labelled=8000)
+    assert model is not None and seen[0] == [18_000, 18_000]
+    # Each round hands over a twentieth of all, where a pool of 8,000 allowed 400.
+    assert all(abs(seen[i][1] - seen[i + 1][1] - 900) < 150 for i in range(3)), seen
+
+
+def test_newton_steps_from_sums():
+    rng = np.random.default_rng(4)
+    x = [rng.normal(size=(500, 4)), rng.normal(size=(500, 3))]
+    y = (x[0][:, 0] + x[1][:, 0] + rng.normal(size=500) > 0).astype(int)
+    halves = slice(0, 200), slice(200, 500)
+    got = quality_classifier.refitted([np.zeros(5), np.zeros(4)], lambda w: [
+        sum(quality_classifier.derivatives(v[h], y[h], u) for h in halves) for v, u in zip(x, w)])
+    assert all(np.allclose(g, linear.fit(v, y, ridge=3.0), atol=1e-3) for g, v in zip(got, x))
+
+
 def test_classifiers_on_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (1, None, 1), (None, 0, 1), (12, 0, 1), (99, 0, 0)], "doc_id long, quality int, toxic int")
     chain = {"insult": toxicity.has_word("idiot"), "toxic": None}
