@@ -408,6 +408,12 @@ def test_personal_data(spark, odd):
     assert one.select(pii.redacted(F.col("t"), F.col("s"))).first()[0] == "mail [email] now"
 
 
+def test_spelled_addresses_in_capitals(spark):
+    docs = spark.createDataFrame([("JOHN [AT] EXAMPLE [DOT] COM",), ("john [at] example [dot] com",), ("none",)], "text string")
+    found = docs.select(F.size(pii.spans(F.col("text"), "spelled", pii.PROPOSED["spelled"])).alias("n")).collect()
+    assert [r.n for r in found] == [1, 1, 0]
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     assert oracle.difference(QUERIES[name](spark, DATA), oracle.connect(DATA), SQL[name]) is None
