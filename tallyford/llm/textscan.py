@@ -1,6 +1,6 @@
 """Words of whole texts as arrays: Arrow batches in, word places and 64-bit hashes out.
 
-A word is a maximal run of bytes other than `\\x20` and `\\x09`-`\\x0D`. Everything is done on the UTF-8
+A word is a maximal run of bytes other than `\\x20` and `\\x09`-`\\x0D`, or than those of a table of the caller's. Everything is done on the UTF-8
 bytes of many texts at once; a null text has no words.
 """
 
@@ -67,7 +67,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
 class Texts:
     """The bytes of texts and their words: `start` and `end` of each word, `first[d]:first[d + 1]` those of text d."""
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    def __init__(self, texts: pa.Array, lower: bool = True, space: np.ndarray = SPACE):
         texts = pc.fill_null(texts, "")
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
@@ -80,7 +80,7 @@ class Texts:
         self.data = LOWER[raw] if lower else raw
         self.offset = offset - offset[0]
         self.n = len(texts)
-        word = ~SPACE[raw]
+        word = ~space[raw]
         edge = self.offset[:-1][self.offset[:-1] < len(raw)]
         before = np.empty_like(word)
         before[:1] = False
