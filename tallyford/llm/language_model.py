@@ -7,28 +7,34 @@ before, the two codes before. The predictions are combined in the logistic domai
 that a gate selects (bit number, how often the token before was seen), then refined by an adaptive map from the
 mixed probability to the observed one. The result is a probability of the whole text; `bits_per_byte` is its cost.
 
-Every context has counts of its own. The two codes before are at most 2^16 contexts; their counts are sent to the tasks. The
-tokens before grow with the corpus: Spark groups their counts by context. Those that make up at least one in 2^16 of the
-training tokens, at most 2^16 by that definition, are sent; tokens after any other context are rows that meet its
-counts in a join, and are learned from and scored where they meet.
-
-Passes: count tokens and contexts over all training documents; join the tokens after a context that was not sent; run the
-mixer online over all training tokens, each task from the same start and with the token's own count taken out, and
-average the weights; score all tokens. The tokens that make up at least one in 2^22 of the training tokens,
-at most 2^22 by that definition, are sent to the tasks; all other counts come by a join on the token. Rows after a join have
-no fixed order, so weights and scores of two runs may differ in late digits.
-
-A null text is empty and has the end only. A null id is not held out. Rows are scored one by one, also if equal; other
-columns are not read. Without training documents every token has the probability its code and one unknown leave.
-Tokens, contexts and texts are compared by hashes of 56 bits or more.
+Every context has counts of its own, so what is gathered grows with the corpus. The codes before are at most 2^16 contexts, which
+are sent to the tasks. The tokens before are kept in buckets by their hash, about `BUCKET_TOKENS` training tokens to a bucket.
+
+Passes over the training texts and all texts:
+1. Count tokens and, for each token before, the (two codes before, code) that follow. Equal training tokens are one entry with its
+   number from here on.
+2. In each bucket, in the order of the hashes, run the mixer online over the entries, with one of each entry's own counts taken out.
+   A bucket's weights count by their use. Buckets and their order come from the corpus alone, and sums are of whole numbers, so the
+   model does not depend on how the input is split.
+3. Score all texts. Contexts that make up at least one in 2^15 of the training tokens, at most 2^15 by that
+   definition, are sent to the tasks. All other tokens go, packed by the thousand, to their context's bucket; there each
+   distinct (context, two codes, code) is looked up and scored once, and each pack brings its documents' sums back.
+The tokens that make up at least one in 2^22 of the training tokens, at most 2^22 by that definition, are sent to the tasks;
+the counts of others come by a join on the token.
+
+A null text is empty and has the end only. A null id is not held out. Texts may be of any length. Rows are scored one by one, also if equal;
+other columns are not read. Without training documents every token has the probability its code and one unknown leave.
+Tokens and texts are compared by hashes of 56 bits or more, contexts by 48.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,15 +46,23 @@ from .work import Work, result
 BITS = 8
 TABLES = 4
 SENT_TOKENS = 1 << 22
-SENT_CONTEXTS = 1 << 16
+SENT_CONTEXTS = 1 << 15
 GATES = BITS * 4
 STEPS = 25
 RATE = 0.02
 MINI_BATCH = 8192
-# Distinct tokens, or codes after a token, a task gathers before it passes their counts on.
+# Training tokens to a bucket of contexts; a hot context may bring more, in 2^16 entries at most.
+BUCKET_TOKENS = 1 << 20
+# Tokens of a pack for each bucket, and of a pack in all at most.
+PACKED, PACK_MOST = 4096, 1 << 21
+# Contexts whose counts are unpacked together.
+UNPACKED = 4096
+# Distinct tokens, or entries after a token, a task gathers before it passes their counts on.
 GATHERED = 1 << 20
-# Parts of the counts: tokens, codes after a token, codes after two codes.
+# Parts of the counts: tokens, entries after a token, codes after two codes.
 TOKEN, AFTER, PAGE = -1, 0, 1
+# Weights are summed as whole numbers of this fraction.
+UNIT = 1 << 16
 
 _CODE = np.uint64((1 << BITS) - 1)
 END = (mix_one(0xE0D) & ~int(_CODE)) | 0xA5
@@ -76,15 +90,12 @@ class Tokens:
         two = np.concatenate((np.array([START], np.uint64), one))[:len(self.id)]
         two[self.begins] = START
         self.before, self.two = (one & _CODE).astype(np.int64), (two & _CODE).astype(np.int64)
-        self.after = context(one)
+        # 40 bits of the token before's hash and its code, then the entry: the code before it and the token's own.
+        self.key = (mix(one + np.uint64(2)) >> np.uint64(24)) << np.uint64(24) | (one & _CODE) << np.uint64(16) | (two & _CODE) << np.uint64(8)
+        self.key |= self.id & _CODE
 
     def page(self) -> np.ndarray:
-        return self.before << 8 | self.two
-
-
-def context(tokens: np.ndarray) -> np.ndarray:
-    """Names of tokens as contexts; the low byte is free for a code."""
-    return mix(tokens + np.uint64(2)) & ~_CODE
+        return (self.before << 16 | self.two << 8 | self.code).astype(np.uint64)
 
 
 def _summed(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,14 +104,19 @@ def _summed(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return value, np.bincount(which, weights=times, minlength=len(value)).astype(np.int64)
 
 
-def _listed(part: int, key: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-    """Rows `(part, key, c, codes)`, one for each context of sorted keys `context | code`; `codes` has `times << 8 | code`."""
-    begin = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[1:] >> np.uint64(8) != key[:-1] >> np.uint64(8))))
-    codes = times << 8 | (key & _CODE).astype(np.int64)
+def _lists(begin: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(values, pa.int32()))
+
+
+def _listed(part: int, key: np.ndarray, times: np.ndarray, low: int) -> pa.RecordBatch:
+    """Rows `(part, key, c, codes, times)`, one for each context of sorted keys, whose last `low` bits are the entry."""
+    context = (key >> np.uint64(low)).astype(np.int64)
+    begin = np.flatnonzero(np.diff(context, prepend=-1))
+    ends = np.append(begin, len(key))
     c = np.add.reduceat(times, begin) if len(begin) else np.zeros(0, np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(key)), pa.int32()), pa.array(codes))
-    return pa.record_batch([pa.array(np.full(len(begin), part, np.int32)), pa.array(signed(key[begin] & ~_CODE)), pa.array(c), lists],
-                           ["part", "key", "c", "codes"])
+    codes = (key & np.uint64((1 << low) - 1)).astype(np.int64)
+    return pa.record_batch([pa.array(np.full(len(begin), part, np.int32)), pa.array(context[begin]), pa.array(c), _lists(ends, codes), _lists(ends, times)],
+                           ["part", "key", "c", "codes", "times"])
 
 
 class Gathered:
@@ -128,107 +144,142 @@ class Gathered:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows `(part, key, c, codes)`: counts of tokens, and for each context those of the codes that follow."""
+    """Rows `(part, key, c, codes, times)`: counts of tokens, and for each context those of the entries that follow."""
     def rows(part, found):
         if part != TOKEN:
-            return _listed(part, *found)
+            return _listed(part, *found, low=16 if part == AFTER else 8)
         n = len(found[0])
-        return pa.record_batch([pa.array(np.full(n, TOKEN, np.int32)), pa.array(signed(found[0])), pa.array(found[1]), pa.nulls(n, pa.list_(pa.int64()))],
-                               ["part", "key", "c", "codes"])
+        nothing = pa.nulls(n, pa.list_(pa.int32()))
+        return pa.record_batch([pa.array(np.full(n, TOKEN, np.int32)), pa.array(signed(found[0])), pa.array(found[1]), nothing, nothing],
+                               ["part", "key", "c", "codes", "times"])
 
     gathered = {part: Gathered() for part in (TOKEN, AFTER, PAGE)}
     for batch in slices(batches):
         found = Tokens(Texts(batch.column("text")))
-        code = found.id & _CODE
-        for part, key in ((TOKEN, found.id), (AFTER, found.after | code), (PAGE, found.page().astype(np.uint64) << np.uint64(8) | code)):
+        for part, key in ((TOKEN, found.id), (AFTER, found.key), (PAGE, found.page())):
             if (full := gathered[part].add(key)) is not None:
                 yield rows(part, full)
     for part, held in gathered.items():
         yield rows(part, held.all())
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each context of rows that come sorted by part and key."""
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """`(key, begin, codes, times)` of some contexts at a time, each once, from rows that come sorted by key."""
     held: list[np.ndarray] | None = None
 
-    def whole(part, key, length, codes):
-        of = np.cumsum(np.concatenate(([False], (part[1:] != part[:-1]) | (key[1:] != key[:-1])))) if len(key) else np.zeros(0, np.int64)
+    def merged(key, length, codes, times):
+        of = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
+        both, times = _summed(np.repeat(of, length) << 16 | codes, times)
+        group = both >> 16
         first = np.flatnonzero(np.diff(of, prepend=-1))
-        both, times = _summed(np.repeat(of, length) << 8 | codes & 0xFF, codes >> 8)
-        group, codes = both >> 8, times << 8 | both & 0xFF
-        begin = np.searchsorted(group, np.arange(len(first) + 1))
-        lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(codes))
-        c = np.bincount(group, weights=times, minlength=len(first)).astype(np.int64)
-        return pa.record_batch([pa.array(part[first]), pa.array(key[first]), pa.array(c), lists], ["part", "key", "c", "codes"])
+        return key[first], np.searchsorted(group, np.arange(len(first) + 1)), both & 0xFFFF, times
 
     for batch in batches:
-        lists = batch.column("codes")
-        now = [batch.column("part").to_numpy(), batch.column("key").to_numpy(), np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()]
+        codes, times = batch.column("codes"), batch.column("times")
+        now = [batch.column("key").to_numpy(), np.diff(codes.offsets.to_numpy()), codes.flatten().to_numpy(), times.flatten().to_numpy()]
         if held is not None:
             now = [np.concatenate(x) for x in zip(held, now)]
-        part, key, length, codes = now
+        key, length, codes, times = now
         if not len(key):
             continue
-        other = np.flatnonzero((part != part[-1]) | (key != key[-1]))
-        stop = int(other[-1]) + 1 if len(other) else 0
+        stop = int(np.searchsorted(key, key[-1]))
         cut = int(length[:stop].sum())
         if stop:
-            yield whole(part[:stop], key[:stop], length[:stop], codes[:cut])
-        held = [part[stop:], key[stop:], length[stop:], codes[cut:]]
+            yield merged(key[:stop], length[:stop], codes[:cut], times[:cut])
+        held = [key[stop:], length[stop:], codes[cut:], times[cut:]]
     if held is not None:
-        yield whole(*held)
-
-
-class Counts:
-    """Counts of the sent contexts. A context is a row of a heap: node 1 has all its tokens, node `256 | code` those of a code."""
+        yield merged(*held)
 
-    def __init__(self, names: np.ndarray, after: pa.ListArray, page: np.ndarray, pages: pa.ListArray):
-        """`names` are sorted, `after` has a list for each; `page` has a row of `pages` for each two codes."""
-        self.__setstate__((names, _sparse(after), page, _sparse(pages)))
 
-    def __getstate__(self):
-        # The lists are sent and become heaps in the tasks.
-        return self.state
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows `(key, codes, times)`, one for each context."""
+    for key, begin, codes, times in _whole(batches):
+        yield pa.record_batch([pa.array(key), _lists(begin, codes), _lists(begin, times)], ["key", "codes", "times"])
 
-    def __setstate__(self, state):
-        self.state = self.names, after, self.page, pages = state
-        self.after, self.pages = _heaps(*after), _heaps(*pages)
-        # The contexts of fewer codes sum those of more.
-        self.before = np.stack([self.pages[rows].sum(0, dtype=np.float64) for rows in self.page.reshape(1 << BITS, -1)])
-        self.every = self.before.sum(0)
 
-    def sent(self, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The row of each context, and whether it was sent."""
-        at = np.minimum(np.searchsorted(self.names, after), max(len(self.names) - 1, 0))
-        return at, self.names[at] == after if len(self.names) else np.zeros(len(after), bool)
+_NODES = ((1 << BITS | np.arange(1 << BITS))[:, None] >> np.arange(BITS, -1, -1)).astype(np.int64)
 
-    def paths(self, after: np.ndarray, before: np.ndarray, two: np.ndarray, code: np.ndarray) -> list[np.ndarray]:
-        """For each table the counts of the nodes from the root to a token's code; `after` are those of the token before."""
-        nodes = _nodes(code)
-        return [self.every[nodes], self.before[before[:, None], nodes], after, self.pages[self.page[before << 8 | two][:, None], nodes]]
 
+def _heaps(begin: np.ndarray, codes: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """A heap for each list of codes: node 1 has all its tokens, node `256 | code` those of a code."""
+    heaps = np.zeros((len(begin) - 1, 2 << BITS), np.float32)
+    heaps[np.repeat(np.arange(len(begin) - 1), np.diff(begin)), codes.astype(np.int64) | 1 << BITS] = times
+    for depth in range(BITS - 1, -1, -1):
+        heaps[:, 1 << depth:2 << depth] = heaps[:, 2 << depth:4 << depth].reshape(len(heaps), 1 << depth, 2).sum(2)
+    return heaps
 
-def _nodes(code: np.ndarray) -> np.ndarray:
-    return (1 << BITS | code)[:, None] >> np.arange(BITS, -1, -1)
 
+def _stretched(heaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At each inner node the stretched probability of a set bit, and the class of its count."""
+    left, right = heaps[:, 2::2], heaps[:, 3::2]
+    value = np.zeros((len(heaps), 1 << BITS), np.float32)
+    value[:, 1:] = np.log((right + np.float32(0.4)) / (left + np.float32(0.4)))
+    seen = np.zeros((len(heaps), 1 << BITS), np.uint8)
+    n = left + right
+    seen[:, 1:] = (n > 0).astype(np.uint8) + (n > 16) + (n > 256)
+    return value, seen
 
-def _sparse(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The lengths of the lists, the codes and how often each occurs."""
-    codes = lists.flatten().to_numpy()
-    return np.diff(lists.offsets.to_numpy()), (codes & 0xFF).astype(np.uint8), (codes >> 8).astype(np.float32)
 
+class Contexts:
+    """Lists of counted codes by context, unpacked in a task when it needs them."""
 
-def _heaps(length: np.ndarray, code: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """A heap for each list of codes, and one of zeros."""
-    heaps = np.zeros((len(length) + 1, 2 << BITS), np.float32)
-    heaps[np.repeat(np.arange(len(length)), length), code.astype(np.int64) | 1 << BITS] = times
-    for depth in range(BITS - 1, -1, -1):
-        heaps[:, 1 << depth:2 << depth] = heaps[:, 2 << depth:4 << depth].reshape(len(heaps), -1, 2).sum(2)
-    return heaps
+    def __init__(self, rows: pa.Table):
+        rows = rows.combine_chunks()
+        rows = rows.take(pa.array(np.argsort(rows["key"].to_numpy())))
+        self.key = rows["key"].to_numpy()
+        codes, times = (pa.concat_arrays(rows[c].chunks) if rows.num_rows else pa.array([], pa.list_(pa.int32())) for c in ("codes", "times"))
+        self.begin = np.append(0, np.cumsum(np.diff(codes.offsets.to_numpy()))).astype(np.int64)
+        self.codes, self.times = (codes.flatten().to_numpy() & 0xFF).astype(np.uint8), times.flatten().to_numpy().astype(np.float32)
 
+    def __getstate__(self):
+        return {k: self.__dict__[k] for k in ("key", "begin", "codes", "times")}
+
+    def some(self, first: int, last: int) -> np.ndarray:
+        a, b = self.begin[first], self.begin[last]
+        return _heaps(self.begin[first:last + 1] - a, self.codes[a:b], self.times[a:b])
+
+    @functools.cached_property
+    def stretched(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each context, and in the end one that was never seen."""
+        value = np.zeros((len(self.key) + 1, 1 << BITS), np.float32)
+        seen = np.zeros((len(self.key) + 1, 1 << BITS), np.uint8)
+        for at in range(0, len(self.key), UNPACKED):
+            to = min(at + UNPACKED, len(self.key))
+            value[at:to], seen[at:to] = _stretched(self.some(at, to))
+        return value, seen
+
+    def row(self, key: np.ndarray) -> np.ndarray:
+        """The place of each context, the last for one that is not here."""
+        at = np.searchsorted(self.key, key)
+        at[np.append(self.key, -1)[at] != key] = len(self.key)
+        return at
+
+
+class Pages(Contexts):
+    """Contexts of codes before. Those of fewer codes sum those of more."""
+
+    @functools.cached_property
+    def place(self) -> np.ndarray:
+        return self.row(np.arange(1 << 2 * BITS))
+
+    @functools.cached_property
+    def heaps(self) -> np.ndarray:
+        return np.concatenate([self.some(0, len(self.key)), np.zeros((1, 2 << BITS), np.float32)])
+
+    @functools.cached_property
+    def before(self) -> np.ndarray:
+        out = np.zeros((1 << BITS, 2 << BITS), np.float64)
+        for at in range(0, len(self.key), UNPACKED):
+            to = min(at + UNPACKED, len(self.key))
+            np.add.at(out, self.key[at:to] >> BITS, self.some(at, to).astype(np.float64))
+        return out
 
-def _stretch(p):
-    return np.log(p / (1 - p))
+    @functools.cached_property
+    def inputs(self) -> np.ndarray:
+        """(code before, code) to the inputs of the tables of no and one code before."""
+        every = _stretched(self.before.sum(0, keepdims=True))[0][0][_NODES[:, :-1]]
+        one = _stretched(self.before)[0][:, _NODES[:, :-1]]
+        return np.stack([np.broadcast_to(every, one.shape), one], 2).reshape(-1, 2, BITS)
 
 
 def _squash(x):
@@ -268,165 +319,184 @@ class Mixer:
         return before
 
 
+class Learner:
+    """The mixer of one bucket after the other, over entries of whole contexts in the order of their keys."""
+
+    def __init__(self, pages: Pages, bits: int):
+        self.pages, self.bits, self.bucket = pages, bits, None
+
+    def add(self, key: np.ndarray, begin: np.ndarray, codes: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Learn from some more contexts; what the buckets have come to that end here."""
+        of = key >> (48 - self.bits)
+        edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(key)] if len(key) else [0]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if of[a] != self.bucket:
+                yield from self.end()
+                self.bucket, self.mixer = of[a], Mixer()
+                self.used, self.seen = np.zeros(GATES), np.zeros((BITS * STEPS, 2))
+                self.held = [np.zeros(0, np.int64)] * 4
+            now = [key[a:b], np.diff(begin[a:b + 1]), codes[begin[a]:begin[b]], times[begin[a]:begin[b]]]
+            self.held = [np.concatenate(x) for x in zip(self.held, now)]
+            self.run(MINI_BATCH)
+
+    def run(self, least: int) -> None:
+        """Steps of the held contexts, each of the fewest with `least` entries."""
+        key, length, codes, times = self.held
+        ends, at, done = np.cumsum(length), 0, 0
+        while at < len(key):
+            to = int(np.searchsorted(ends, done + least)) + 1
+            if to > len(key):
+                break
+            self.step(key[at:to], length[at:to], codes[done:ends[to - 1]], times[done:ends[to - 1]])
+            at, done = to, int(ends[to - 1])
+        self.held = [key[at:], length[at:], codes[done:], times[done:]]
+
+    def step(self, key, length, codes, times) -> None:
+        row, code = np.repeat(np.arange(len(key)), length), codes & 0xFF
+        leaves = np.bincount(row << BITS | code, weights=times, minlength=len(key) << BITS)
+        begin = np.arange(len(key) + 1) << BITS
+        after = _heaps(begin, np.tile(np.arange(1 << BITS), len(key)), leaves)
+        before, nodes = (key & 0xFF)[row], _NODES[code]
+        pages = self.pages
+        every = pages.before.sum(0)
+        paths = [every[nodes], pages.before[before[:, None], nodes], after[row[:, None], nodes],
+                 pages.heaps[pages.place[before << 8 | codes >> 8][:, None], nodes]]
+        x, gate, bit = self.mixer.inputs(paths, code, 1)
+        times = np.repeat(times, BITS)
+        at = _step(self.mixer.learn(x, gate, bit, times))
+        self.used += np.bincount(gate, weights=times, minlength=GATES)
+        self.seen[:, 1] += np.bincount(at, weights=bit * times, minlength=len(self.seen))
+        self.seen[:, 0] += np.bincount(at, weights=(1 - bit) * times, minlength=len(self.seen))
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.bucket is None:
+            return
+        self.run(1)
+        self.bucket = None
+        table = np.concatenate((np.repeat(np.arange(TABLES), GATES), np.full(len(self.seen), TABLES)))
+        slot = np.concatenate((np.tile(np.arange(GATES), TABLES), np.arange(len(self.seen))))
+        value = np.concatenate(((self.mixer.weights * self.used[:, None] * UNIT).T.ravel(), self.seen[:, 1]))
+        weight = np.concatenate((np.tile(self.used, TABLES), self.seen.sum(1)))
+        nulls = [pa.nulls(len(slot), x) for x in (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))]
+        yield pa.record_batch([*nulls, *[pa.array(np.rint(x).astype(np.int64)) for x in (table, slot, value, weight)]], names=_LEARNED)
+
+
+_LEARNED = ["key", "c", "codes", "times", "part", "slot", "value", "weight"]
+
+
+def _learn(pages, bits: int):
+    """Rows `(key, c, codes, times)` of contexts, from entries sorted by key, and `(part, slot, value, weight)` of what is learned."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner = Learner(pages.value, bits)
+        for key, begin, codes, times in _whole(batches):
+            row = np.repeat(np.arange(len(key)), np.diff(begin))
+            both, n = _summed(row << BITS | codes & 0xFF, times)
+            ends = np.searchsorted(both >> BITS, np.arange(len(key) + 1))
+            c = np.bincount(both >> BITS, weights=n, minlength=len(key)).astype(np.int64)
+            nulls = [pa.nulls(len(key), pa.int64())] * 4
+            yield pa.record_batch([pa.array(key), pa.array(c), _lists(ends, both & 0xFF), _lists(ends, n), *nulls], names=_LEARNED)
+            yield from learner.add(key, begin, codes, times)
+        yield from learner.end()
+
+    return run
+
+
 def _step(mixed: np.ndarray) -> np.ndarray:
-    depth = np.arange(len(mixed)) % BITS
+    depth = np.arange(mixed.size).reshape(mixed.shape) % BITS
     return depth * STEPS + np.clip(np.rint(mixed * 2) + STEPS // 2, 0, STEPS - 1).astype(np.int64)
 
 
-def _lookups(counts):
-    """Rows `(same, after, what)` of the tokens whose context was not sent; `what` packs times, held_out and three codes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = Tokens(Texts(batch.column("text")))
-            of = np.repeat(np.arange(batch.num_rows), np.diff(np.append(found.begins, len(found.id))))
-            rest = np.flatnonzero(~counts.value.sent(found.after)[1])
-            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)[of[rest]]
-            what = 1 << 25 | held << 24 | found.before[rest] << 16 | found.two[rest] << 8 | found.code[rest]
-            yield pa.record_batch([batch.column("same").take(pa.array(of[rest])), pa.array(signed(found.after[rest])), pa.array(what)],
-                                  ["same", "after", "what"])
+def _logs(weights: np.ndarray, refined: np.ndarray, pages: Pages, after: tuple[np.ndarray, np.ndarray], row: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """The log of each code's probability. `row` is the context's place in `after`; `entry` has three codes, its own the last."""
+    out = np.empty(len(row))
+    value, seen = (x.reshape(-1) for x in after)
+    paged = pages.stretched[0].reshape(-1)
+    by_table = np.ascontiguousarray(weights.T)
+    for at in range(0, len(row), MINI_BATCH):
+        r, e = row[at:at + MINI_BATCH], entry[at:at + MINI_BATCH]
+        code = e & 0xFF
+        nodes = _NODES[code, :-1]
+        place = (r << BITS)[:, None] | nodes
+        gate = np.arange(BITS) * 4 + seen[place]
+        two = pages.inputs[(e >> 16) << BITS | code]
+        mixed = by_table[0][gate] * two[:, 0] + by_table[1][gate] * two[:, 1] + by_table[2][gate] * value[place]
+        mixed += by_table[3][gate] * paged[(pages.place[e >> 8] << BITS)[:, None] | nodes]
+        np.clip(mixed, -14, 14, out=mixed)
+        p = (_squash(mixed) + refined[_step(mixed)]) / 2
+        bit = (code[:, None] >> np.arange(BITS - 1, -1, -1)) & 1
+        out[at:at + MINI_BATCH] = np.log10(np.where(bit == 1, p, 1 - p).prod(1))
+    return out
 
-    return run
 
+_FOUND = {
+    "rid": "long", "id": "string", "held_out": "boolean", "n_tokens": "long", "n_bytes": "long", "known": "long", "logs": "double", "mixed": "double",
+    "token": "long", "count": "long", "bucket": "long", "keys": "array<long>", "docs": "array<int>", "times": "array<int>"}
+_ARROW = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
 
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows again, in batches of at least MINI_BATCH but for the last."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.num_rows
-        if size >= MINI_BATCH:
-            yield pa.concat_batches(held)
-            held, size = [], 0
-    if size:
-        yield pa.concat_batches(held)
-
-
-_PATH = [f"p{i}" for i in range(BITS + 1)]
-
-
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts on the path to each token's code, from the codes that followed its context."""
-    for batch in _together(batches):
-        lists, code = batch.column("codes"), batch.column("what").to_numpy() & 0xFF
-        length = np.diff(lists.offsets.to_numpy())
-        if lists.null_count:
-            length[lists.is_null().to_numpy(zero_copy_only=False)] = 0
-        codes = lists.flatten().to_numpy()
-        row = np.repeat(np.arange(len(code)), length)
-        # frexp tells how many low bits differ; the rest of the path is the same.
-        common = BITS - np.frexp(((codes & 0xFF) ^ code[row]).astype(np.float32))[1]
-        at = np.bincount(row * (BITS + 1) + common, weights=codes >> 8, minlength=len(code) * (BITS + 1)).reshape(-1, BITS + 1)
-        path = np.cumsum(at[:, ::-1], 1)[:, ::-1].astype(np.int32)
-        yield pa.record_batch([batch.column("same"), batch.column("what"), *[pa.array(np.ascontiguousarray(path[:, i])) for i in range(BITS + 1)]],
-                              ["same", "what", *_PATH])
-
-
-def _found_here(batches, counts, most):
-    """The tokens of documents whose context was sent: documents, places, paths and codes of some at a time."""
-    for batch in slices(batches):
-        texts = Texts(batch.column("text"))
-        found = Tokens(texts)
-        row, sent = counts.sent(found.after)
-        every = np.flatnonzero(sent)
-        for begin in range(0, len(every), most):
-            at = every[begin:begin + most]
-            code = found.code[at]
-            yield counts.paths(counts.after[row[at][:, None], _nodes(code)], found.before[at], found.two[at], code), code, np.ones(len(at))
-
-
-def _found_there(batches, counts, most):
-    """The same of rows that met their counts in the join."""
-    for batch in _together(batches):
-        what = batch.column("what").to_numpy()
-        after = np.column_stack([batch.column(p).to_numpy() for p in _PATH]).astype(np.float32)
-        for begin in range(0, len(what), most):
-            w = what[begin:begin + most]
-            code = w & 0xFF
-            yield counts.paths(after[begin:begin + most], w >> 16 & 0xFF, w >> 8 & 0xFF, code), code, (w >> 25).astype(float)
-
-
-def _learn(counts, tokens):
-    """Rows `(part, key, value, weight)`: weights of the gates times their use, and the map's observed bits."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer()
-        used = np.zeros(GATES)
-        seen = np.zeros((BITS * STEPS, 2))
-        for paths, code, times in tokens(batches, counts.value, MINI_BATCH):
-            x, gate, bit = mixer.inputs(paths, code, 1)
-            times = np.repeat(times, BITS)
-            mixed = mixer.learn(x, gate, bit, times)
-            used += np.bincount(gate, weights=times, minlength=GATES)
-            at = _step(mixed)
-            seen[:, 1] += np.bincount(at, weights=bit * times, minlength=len(seen))
-            seen[:, 0] += np.bincount(at, weights=(1 - bit) * times, minlength=len(seen))
-        part = np.concatenate((np.repeat(np.arange(TABLES), GATES), np.full(len(seen), TABLES)))
-        key = np.concatenate((np.tile(np.arange(GATES), TABLES), np.arange(len(seen))))
-        value = np.concatenate(((mixer.weights * used[:, None]).T.ravel(), seen[:, 1]))
-        weight = np.concatenate((np.tile(used, TABLES), seen.sum(1)))
-        yield pa.record_batch([pa.array(part), pa.array(key), pa.array(value.astype(np.float64)), pa.array(weight.astype(np.float64))],
-                              ["part", "key", "value", "weight"])
 
-    return run
+def _found(n: int, **columns) -> pa.RecordBatch:
+    """Rows of `_FOUND`; columns that are not given are null."""
+    schema = pa.schema([(name, _ARROW[kind]) for name, kind in _FOUND.items()])
+    return pa.record_batch([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _logs(mixer: Mixer, refined: np.ndarray, paths: list[np.ndarray], code: np.ndarray) -> np.ndarray:
-    """The log of each code's probability."""
-    x, gate, bit = mixer.inputs(paths, code, 0)
-    mixed = mixer.mixed(x, gate)
-    p = (_squash(mixed) + refined[_step(mixed)]) / 2
-    return np.log10(np.where(bit == 1, p, 1 - p)).reshape(-1, BITS).sum(1)
+class Packs:
+    """Tokens on their way to their contexts' buckets."""
 
+    def __init__(self, base: int, bits: int):
+        self.base, self.bits, self.keys, self.docs, self.size = base, bits, [], [], 0
 
-def _score_joined(counts, model):
-    """Rows `(same, logs)`: what the joined tokens add to a text's score, over all its copies."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, refined = model.value[:2]
-        mixer = Mixer(weights)
-        held, size = [], 0
-
-        def summed():
-            same, which = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            logs = np.bincount(which, weights=np.concatenate([x for _, x in held]), minlength=len(same))
-            return pa.record_batch([pa.array(same), pa.array(logs)], ["same", "logs"])
-
-        for batch in _together(batches):
-            logs = [_logs(mixer, refined, paths, code) * times for paths, code, times in _found_there([batch], counts.value, MINI_BATCH)]
-            held.append((batch.column("same").to_numpy(), np.concatenate([np.zeros(0), *logs])))
-            size += batch.num_rows
-            if size > GATHERED:
-                yield summed()
-                held, size = [], 0
-        if held:
-            yield summed()
+    def add(self, keys: np.ndarray, docs: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.docs.append(docs)
+        self.size += len(keys)
 
-    return run
+    def full(self) -> bool:
+        return self.size >= min(PACKED << self.bits, PACK_MOST)
+
+    def rows(self) -> pa.RecordBatch:
+        """A row for each bucket: distinct (key, document) and their number; documents count from `rid`."""
+        keys, docs = np.concatenate(self.keys), np.concatenate(self.docs)
+        order = np.argsort(keys, kind="stable")
+        keys, docs = keys[order], docs[order]
+        first = np.ones(len(keys), bool)
+        first[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
+        at = np.flatnonzero(first)
+        times = np.diff(np.append(at, len(keys)))
+        keys, docs = keys[at], docs[at]
+        of = _bucket(keys, self.bits)
+        begin = np.flatnonzero(np.diff(of, prepend=-1))
+        ends = np.append(begin, len(of))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(keys)))
+        return _found(len(begin), rid=pa.array(np.full(len(begin), self.base)), bucket=pa.array(of[begin]), keys=lists,
+                      docs=_lists(ends, docs), times=_lists(ends, times))
 
 
-def _score(counts, model):
-    """A row per document, and rows `(rid, token, times)` for tokens that were not sent."""
-    schema = pa.schema([("rid", pa.int64()), ("same", pa.int64()), ("id", pa.string()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                        ("n_bytes", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()), ("mixed", pa.float64()), ("token", pa.int64()), ("times", pa.int64())])
+def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys >> np.uint64(1)) >> np.uint64(63 - bits)).astype(np.int64)
 
+
+def _score(contexts, pages, model, bits: int):
+    """A row per document, rows `(rid, token, count)` for tokens that were not sent, and packs for contexts that were not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, refined, sent, sent_logs, code_logs = model.value
-        mixer = Mixer(weights)
         rid = TaskContext.get().partitionId() << 40
+        packs = Packs(rid, bits)
         for batch in slices(batches):
             texts = Texts(batch.column("text"))
             found = Tokens(texts)
+            of = np.repeat(np.arange(texts.n), np.diff(np.append(found.begins, len(found.id))))
+            row = contexts.value.row((found.key >> np.uint64(16)).astype(np.int64))
+            sent_here = row < len(contexts.value.key)
+            here, there = np.flatnonzero(sent_here), np.flatnonzero(~sent_here)
             logs = np.zeros(len(found.id))
-            row, here = counts.value.sent(found.after)
-            here = np.flatnonzero(here)
-            for begin in range(0, len(here), MINI_BATCH):
-                at = here[begin:begin + MINI_BATCH]
-                code = found.code[at]
-                after = counts.value.after[row[at][:, None], _nodes(code)]
-                logs[at] = _logs(mixer, refined, counts.value.paths(after, found.before[at], found.two[at], code), code)
+            entry = (found.key[here] & np.uint64(0xFFFFFF)).astype(np.int64)
+            logs[here] = _logs(weights, refined, pages.value, contexts.value.stretched, row[here], entry)
+            packs.add(found.key[there], of[there] + (rid - packs.base))
             logs -= code_logs[found.code]
-            value, which, times = np.unique(found.id, return_inverse=True, return_counts=True)
+            value, which = np.unique(found.id, return_inverse=True)
             at = np.minimum(np.searchsorted(sent, value), max(len(sent) - 1, 0))
             is_sent = sent[at] == value if len(sent) else np.zeros(len(value), bool)
-            of = np.repeat(np.arange(texts.n), np.diff(np.append(found.begins, len(found.id))))
             own = is_sent[which]
             count_logs = np.where(own, sent_logs[at][which] if len(sent) else 0.0, 0.0)
 
@@ -435,21 +505,63 @@ def _score(counts, model):
 
             rids = rid + np.arange(texts.n)
             rid += texts.n
-            n_tokens = np.bincount(of, minlength=texts.n)
-            yield pa.record_batch([
-                pa.array(rids), batch.column("same"), batch.column("id"), batch.column("held_out"), pa.array(n_tokens), pa.array(np.diff(texts.offset)),
-                pa.array(sums(own).astype(np.int64)), pa.array(sums(count_logs)), pa.array(sums(logs)),
-                pa.nulls(texts.n, pa.int64()), pa.nulls(texts.n, pa.int64())], schema=schema)
+            yield _found(
+                texts.n, rid=pa.array(rids), id=batch.column("id"), held_out=batch.column("held_out"), n_tokens=pa.array(np.bincount(of, minlength=texts.n)),
+                n_bytes=pa.array(np.diff(texts.offset)), known=pa.array(sums(own).astype(np.int64)), logs=pa.array(sums(count_logs)), mixed=pa.array(sums(logs)))
             rest = ~own
             if rest.any():
                 pair, times = _pairs(of[rest], which[rest])
-                n = len(times)
-                nulls = [pa.nulls(n, schema.field(i).type) for i in range(1, 9)]
-                yield pa.record_batch([pa.array(rids[pair[0]]), *nulls, pa.array(signed(value[pair[1]])), pa.array(times)], schema=schema)
+                yield _found(len(times), rid=pa.array(rids[pair[0]]), token=pa.array(signed(value[pair[1]])), count=pa.array(times))
+            if packs.full():
+                yield packs.rows()
+                packs = Packs(rid, bits)
+        if packs.size:
+            yield packs.rows()
 
     return run
 
 
+def _score_bucket(pages, model):
+    """Rows `(rid, bucket, docs, logs)`: what the tokens of a bucket add to their documents, a row for each pack."""
+    def flat(table: pa.Table, name: str) -> np.ndarray:
+        column = table.column(name)
+        return pa.concat_arrays(column.chunks).flatten().to_numpy() if column.num_chunks else np.zeros(0, np.int64)
+
+    def run(packs: pa.Table, contexts: pa.Table) -> pa.Table:
+        weights, refined = model.value[:2]
+        packs = packs.sort_by("rid")
+        keys, which = np.unique(flat(packs, "keys").view(np.uint64), return_inverse=True)
+        known = Contexts(contexts)
+        context, logs = (keys >> np.uint64(16)).astype(np.int64), np.zeros(len(keys))
+        entry = (keys & np.uint64(0xFFFFFF)).astype(np.int64)
+        starts = list(range(0, len(known.key), UNPACKED)) or [0]
+        cuts = [0, *np.searchsorted(context, known.key[starts[1:]]).tolist(), len(keys)]
+        for at, a, b in zip(starts, cuts[:-1], cuts[1:]):
+            to = min(at + UNPACKED, len(known.key))
+            heaps = np.concatenate([known.some(at, to), np.zeros((1, 2 << BITS), np.float32)])
+            row = known.row(context[a:b]) - at
+            row[(row < 0) | (row > to - at)] = to - at
+            logs[a:b] = _logs(weights, refined, pages.value, _stretched(heaps), row, entry[a:b])
+        pack = np.repeat(np.arange(packs.num_rows), pc.list_value_length(packs.column("keys")).to_numpy())
+        place, of = np.unique(pack << 32 | flat(packs, "docs"), return_inverse=True)
+        sums = np.bincount(of, weights=logs[which] * flat(packs, "times"), minlength=len(place))
+        ends = np.searchsorted(place >> 32, np.arange(packs.num_rows + 1))
+        return pa.table({
+            "rid": packs.column("rid"), "bucket": packs.column("bucket"), "docs": _lists(ends, place & 0xFFFFFFFF),
+            "logs": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sums))})
+
+    return run
+
+
+def _brought_back(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """Rows `(rid, there)`: the sums of all buckets for the documents of a pack."""
+    rows = rows.sort_by("bucket")
+    docs, logs = (pa.concat_arrays(rows.column(c).chunks).flatten().to_numpy() for c in ("docs", "logs"))
+    there = np.bincount(docs, weights=logs)
+    some = np.flatnonzero(np.bincount(docs))
+    return pa.table({"rid": pa.array(key[0].as_py() + some), "there": pa.array(there[some])})
+
+
 def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
     """Distinct pairs of small numbers and how often each occurs."""
     both, times = np.unique(a.astype(np.int64) << 32 | b, return_counts=True)
@@ -464,80 +576,65 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     id_sql = dict(docs.select(id_col).dtypes)[id_col]
     rows = docs.select(
-        F.xxhash64(text_col).alias("same"), F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
-        F.coalesce(held_out, F.lit(False)).alias("held_out"))
+        F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     train = rows.where("not held_out").select("text")
     with Work(spark, "language-model") as work:
-        lists = "part int, key long, c long, codes array<long>"
-        gathered = work.keep(train.mapInArrow(_counts, lists), "gathered")
+        lists = "key long, codes array<int>, times array<int>"
+        gathered = work.keep(train.mapInArrow(_counts, "part int, key long, c long, codes array<int>, times array<int>"), "gathered")
         words = work.keep(gathered.where(F.col("part") == TOKEN).groupBy(F.col("key").alias("token")).agg(F.sum("c").alias("c")), "words")
-        contexts = work.keep(
-            gathered.where(F.col("part") != TOKEN).repartition("part", "key").sortWithinPartitions("part", "key").mapInArrow(_merged, lists), "contexts")
-        work.drop(gathered)
         per_code = words.groupBy(F.col("token").bitwiseAND(F.lit(int(_CODE))).alias("code")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
         n = sum(r.n for r in per_code)
         v = sum(r.v for r in per_code)
+        bits = max(n // BUCKET_TOKENS, 1).bit_length() - 1
         code_logs = np.full(1 << BITS, np.log10(0.5))
         for r in per_code:
             code_logs[r.code] = np.log10(r.n + 0.5 * (r.v + 1))
-        sent = words.where(F.col("c") * SENT_TOKENS >= n).toArrow()
-        token, c = sent["token"].to_numpy().view(np.uint64), sent["c"].to_numpy()
-        order = np.argsort(token)
 
-        after = contexts.where(F.col("part") == AFTER)
-        often = F.col("c") * SENT_CONTEXTS >= n
-        found = after.where(often).select("key", "codes").toArrow().combine_chunks()
-        by_name = np.argsort(found["key"].to_numpy().view(np.uint64))
-        names = found["key"].to_numpy().view(np.uint64)[by_name]
-        codes = _list(found.take(pa.array(by_name)))
-        found = contexts.where(F.col("part") == PAGE).select("key", "codes").toArrow().combine_chunks()
-        page = np.full(1 << 2 * BITS, len(found), np.int32)
-        page[found["key"].to_numpy() >> 8] = np.arange(len(found))
-        shared = spark.sparkContext.broadcast(Counts(names, codes, page, _list(found)))
-        paths = work.keep(
-            rows.select("same", "text", "held_out").mapInArrow(_lookups(shared), "same long, after long, what long")
-            .join(after.where(~often).select(F.col("key").alias("after"), "codes"), "after", "left").select("same", "what", "codes")
-            .mapInArrow(_joined, "same long, what long, " + ", ".join(f"{p} int" for p in _PATH)), "paths")
-        values = "part long, key long, value double, weight double"
-        trained = paths.where(F.col("what").bitwiseAND(F.lit(1 << 24)) == 0).select("what", *_PATH)
-        learned = (
-            train.mapInArrow(_learn(shared, _found_here), values).unionByName(trained.mapInArrow(_learn(shared, _found_there), values))
-            .groupBy("part", "key").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight")).collect())
-        mixer = Mixer()
+        by_page = gathered.where(F.col("part") == PAGE).select("key", "codes", "times").repartition("key").sortWithinPartitions("key")
+        pages = spark.sparkContext.broadcast(Pages(by_page.mapInArrow(_merged, lists).toArrow()))
+        bucket = F.shiftright("key", 48 - bits)
+        entries = gathered.where(F.col("part") == AFTER).select("key", "codes", "times", bucket.alias("bucket"))
+        learned = work.keep(
+            entries.repartition("bucket").sortWithinPartitions("key").drop("bucket")
+            .mapInArrow(_learn(pages, bits), "key long, c long, codes array<int>, times array<int>, part long, slot long, value long, weight long"), "contexts")
+        work.drop(gathered)
+        weights = Mixer().weights
         refined = _squash((np.tile(np.arange(STEPS), BITS) - STEPS // 2) / 2)
-        for r in learned:
+        for r in learned.where("key is null").groupBy("part", "slot").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight")).collect():
             if r.part < TABLES and r.weight:
-                mixer.weights[r.key, r.part] = round(r.value / r.weight, 6)
+                weights[r.slot, r.part] = r.value / UNIT / r.weight
             elif r.part == TABLES:
-                refined[r.key] = (r.value + 16 * refined[r.key]) / (r.weight + 16)
-        model = spark.sparkContext.broadcast((mixer.weights, refined, token[order], np.log10(c[order] + 0.5), code_logs))
-        found = work.keep(rows.mapInArrow(
-            _score(shared, model),
-            "rid long, same long, id string, held_out boolean, n_tokens long, n_bytes long, known long, logs double, mixed double, token long, times long"), "found")
+                refined[r.slot] = (r.value + 16 * refined[r.slot]) / (r.weight + 16)
+
+        after = learned.where("key is not null").select("key", "c", "codes", "times")
+        often = F.col("c") * SENT_CONTEXTS >= n
+        contexts = spark.sparkContext.broadcast(Contexts(after.where(often).select("key", "codes", "times").toArrow()))
+        sent = words.where(F.col("c") * SENT_TOKENS >= n).toArrow()
+        token, c = sent["token"].to_numpy().view(np.uint64), sent["c"].to_numpy()
+        order = np.argsort(token)
+        model = spark.sparkContext.broadcast((weights, refined, token[order], np.log10(c[order] + 0.5), code_logs))
+        found = work.keep(rows.mapInArrow(_score(contexts, pages, model, bits), ", ".join(f"{a} {b}" for a, b in _FOUND.items())), "found")
+        packs = found.where("bucket is not null").select("rid", "bucket", "keys", "docs", "times").groupBy("bucket")
+        others = after.where(~often).select(bucket.alias("bucket"), "key", "codes", "times").groupBy("bucket")
+        there = work.keep(
+            packs.cogroup(others).applyInArrow(_score_bucket(pages, model), "rid long, bucket long, docs array<int>, logs array<double>"), "packs")
+        there = there.groupBy("rid").applyInArrow(_brought_back, "rid long, there double")
         rest = (
             found.where("token is not null").join(words, "token", "left").groupBy("rid").agg(
-                F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("rest_logs"),
-                F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rest_known")))
-        # Copies of a text have the same share each.
-        copies = found.where("token is null").groupBy("same").agg(F.count("*").alias("copies"))
-        there = paths.mapInArrow(_score_joined(shared, model), "same long, logs double").groupBy("same").agg(F.sum("logs").alias("there"))
-        there = work.keep(there.join(copies, "same").select("same", (F.col("there") / F.col("copies")).alias("there")), "there")
+                F.sum(F.col("count") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("rest_logs"),
+                F.sum(F.when(F.col("c") > 0, F.col("count")).otherwise(0)).alias("rest_known")))
         logs = F.col("logs") + F.coalesce("rest_logs", F.lit(0.0))
         score = F.col("mixed") + F.coalesce("there", F.lit(0.0)) + logs
-        out = result(found.where("token is null").join(rest, "rid", "left").join(there, "same", "left").select(
+        out = result(found.where("n_tokens is not null").join(rest, "rid", "left").join(there, "rid", "left").select(
             F.col("id").cast(id_sql).alias(id_col), "held_out", "n_tokens", (F.col("known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
             F.lit(n).cast("long").alias("train_tokens"),
             (logs - F.col("n_tokens") * F.lit(float(np.log10(n + 0.5 * (v + 1))))).alias("base_score"), score.alias("score"),
             F.when(F.col("n_bytes") > 0, -score / F.lit(float(np.log10(2))) / F.col("n_bytes")).alias("bits_per_byte")))
-        shared.destroy()
-        model.destroy()
+        for shared in (pages, contexts, model):
+            shared.destroy()
         return out
 
 
-def _list(rows: pa.Table) -> pa.ListArray:
-    return pa.concat_arrays(rows["codes"].chunks) if rows.num_rows else pa.array([], pa.list_(pa.int64()))
-
-
 @query("op6_language_model")
 def op6(spark, sf_dir):
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1

@@ -283,34 +283,100 @@ def test_language_model_counts_each_context():
     texts = [" ".join(random.choices(NOUNS, k=3000)) for _ in range(8)] + [None, ""]
     batches = [pa.record_batch([pa.array(texts[i:i + 5], pa.string())], ["text"]) for i in (0, 5)]
     found = language_model.Tokens(textscan.Texts(pa.array(texts, pa.string())))
-    want = collections.Counter(zip(textscan.signed(found.after).tolist(), found.code.tolist()))
-    pages = collections.Counter(zip((found.page() << 8).tolist(), found.code.tolist()))
+    want = {language_model.AFTER: collections.Counter(found.key.tolist()), language_model.PAGE: collections.Counter(found.page().tolist())}
     # Two tasks' rows, sorted as they arrive.
-    rows = pa.Table.from_batches([r for b in batches for r in language_model._counts([b])]).sort_by([("part", "ascending"), ("key", "ascending")])
-    rows = rows.filter(pa.compute.field("part") >= 0).combine_chunks().to_batches(max_chunksize=100)
-    merged = pa.Table.from_batches(language_model._merged(rows)).to_pylist()
-    got = {(r["part"], r["key"], x & 0xFF): x >> 8 for r in merged for x in r["codes"]}
-    assert got == {(0, *k): n for k, n in want.items()} | {(1, *k): n for k, n in pages.items()}
-    assert len(merged) == len({k for k, _ in want}) + len({k for k, _ in pages})
-    assert all(r["c"] == sum(x >> 8 for x in r["codes"]) for r in merged)
+    rows = pa.Table.from_batches([r for b in batches for r in language_model._counts([b])]).sort_by([("key", "ascending")])
+    for part, low in ((language_model.AFTER, 16), (language_model.PAGE, 8)):
+        some = rows.filter(pa.compute.field("part") == part).combine_chunks().to_batches(max_chunksize=100)
+        merged = pa.Table.from_batches(language_model._merged(some)).to_pylist()
+        assert {r["key"] << low | x: n for r in merged for x, n in zip(r["codes"], r["times"])} == want[part]
+        assert len(merged) == len({k >> low for k in want[part]})
 
 
-def test_language_model_joins_rare_contexts(spark, odd, monkeypatch):
-    rows = [(300 + i, prose(200)) for i in range(100)]
-    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame([*rows, (900, "word " * 50), (901, "never " * 50)], "doc_id long, text string"))
-    held = F.pmod(F.col("doc_id"), F.lit(5)) == 1
-    got = {}
-    # Weights that are not learned do not depend on the order of rows; the tasks get the module as it is here.
-    monkeypatch.setattr(language_model, "RATE", 0.0)
+def scored(docs, held):
+    """By id, with the module as it is here in the tasks."""
     cloudpickle.register_pickle_by_value(language_model)
     try:
-        for most in (1 << 40, 1):
-            monkeypatch.setattr(language_model, "SENT_CONTEXTS", most)
-            got[most] = sorted(((r.doc_id, r.n_tokens, r.score) for r in language_model.scores(docs, held).collect()), key=key)
+        return sorted(((r.doc_id, r.n_tokens, r.n_known, r.score) for r in language_model.scores(docs, held).collect()), key=key)
     finally:
         cloudpickle.unregister_pickle_by_value(language_model)
-    for sent, joined in zip(*got.values()):
-        assert sent[:2] == joined[:2] and abs(sent[2] - joined[2]) < 1e-4 * abs(sent[2])
+
+
+def test_language_model_joins_rare_contexts(spark, odd, monkeypatch):
+    rows = [(300 + i, prose(200)) for i in range(100)]
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame([*rows, (900, "word " * 50), (901, "never " * 50)], "doc_id long, text string"))
+    held = F.pmod(F.col("doc_id"), F.lit(5)) == 1
+    # Many buckets, and packs and unpacked counts of several sizes.
+    monkeypatch.setattr(language_model, "BUCKET_TOKENS", 1000)
+    want = scored(docs, held)
+    for name, value in (("SENT_CONTEXTS", 1), ("PACKED", 3), ("UNPACKED", 5), ("SENT_TOKENS", 1)):
+        monkeypatch.setattr(language_model, name, value)
+        for sent, joined in zip(want, scored(docs, held)):
+            assert sent[:3] == joined[:3] and abs(sent[3] - joined[3]) < 1e-6 * abs(sent[3])
+
+
+def test_language_model_does_not_depend_on_tasks(spark, odd, monkeypatch):
+    monkeypatch.setattr(language_model, "BUCKET_TOKENS", 1000)
+    monkeypatch.setattr(language_model, "MINI_BATCH", 100)
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame([(300 + i, prose(150)) for i in range(200)], "doc_id long, text string"))
+    held = F.pmod(F.col("doc_id"), F.lit(5)) == 1
+    two, twelve = (scored(docs.repartition(n), held) for n in (2, 12))
+    for a, b in zip(two, twelve):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-6 * abs(a[3])
+
+
+def test_language_model_scores_by_definition(spark, monkeypatch):
+    """Scores against a plain mixer over dictionaries that uses the learned weights and map."""
+    monkeypatch.setattr(language_model, "RATE", 0.0)  # the weights stay as they begin
+    texts = [prose(80) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r[0]: r[3] for r in scored(docs, F.col("doc_id") % 4 == 1)}
+    tokens = [language_model.Tokens(textscan.Texts(pa.array([t]))) for t in texts]
+    train = [t for i, t in enumerate(tokens) if i % 4 != 1]
+
+    def contexts(t, i):
+        entry = int(t.key[i])
+        before, two, code = entry >> 16 & 0xFF, entry >> 8 & 0xFF, entry & 0xFF
+        return [(0,), (1, before), (2, entry >> 16), (3, before, two)], code
+
+    count = collections.Counter()
+    for t in train:
+        for i in range(len(t.id)):
+            of, code = contexts(t, i)
+            count.update((c, (256 | code) >> j) for c in of for j in range(9))
+
+    def inputs(of, code, own):
+        for depth in range(8):
+            node = (256 | code) >> (8 - depth)
+            bit = code >> (7 - depth) & 1
+            x = []
+            for c in of:
+                right, left = count[c, 2 * node + 1] - own * bit, count[c, 2 * node] - own * (1 - bit)
+                x.append(math.log((right + 0.4) / (left + 0.4)))
+            mixed = max(-14, min(14, sum(0.35 * v for v in x)))
+            yield depth * 25 + max(0, min(24, round(mixed * 2) + 12)), mixed, bit
+
+    squash = lambda x: 1 / (1 + math.exp(-x))
+    seen = np.zeros((200, 2))
+    for t in train:
+        for i in range(len(t.id)):
+            for at, _, bit in inputs(*contexts(t, i), 1):
+                seen[at] += 1, bit
+    refined = [(seen[j, 1] + 16 * squash((j % 25 - 12) / 2)) / (seen[j, 0] + 16) for j in range(200)]
+    number = collections.Counter(x for t in train for x in t.id.tolist())
+    of_code = collections.defaultdict(list)
+    for x, n in number.items():
+        of_code[x & 0xFF].append(n)
+    for doc, t in enumerate(tokens):
+        total = 0
+        for i, x in enumerate(t.id.tolist()):
+            of, code = contexts(t, i)
+            for at, mixed, bit in inputs(of, code, 0):
+                p = (squash(mixed) + refined[at]) / 2
+                total += math.log10(p if bit else 1 - p)
+            held = of_code.get(x & 0xFF, [])
+            total += math.log10((number[x] + 0.5) / (sum(held) + 0.5 * (len(held) + 1)))
+        assert abs(total - out[doc]) < 1e-3 * abs(total)
 
 
 def test_classifiers(spark):
