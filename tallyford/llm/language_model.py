@@ -580,7 +580,7 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
     train = rows.where("not held_out").select("text")
     with Work(spark, "language-model") as work:
         lists = "key long, codes array<int>, times array<int>"
-        gathered = work.keep(train.mapInArrow(_counts, "part int, key long, c long, codes array<int>, times array<int>"), "gathered")
+        gathered = work.keep(train.mapInArrow(_counts, "part int, key long, c long, codes array<int>, times array<int>"), "gathered", "zstd")
         words = work.keep(gathered.where(F.col("part") == TOKEN).groupBy(F.col("key").alias("token")).agg(F.sum("c").alias("c")), "words")
         per_code = words.groupBy(F.col("token").bitwiseAND(F.lit(int(_CODE))).alias("code")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
         n = sum(r.n for r in per_code)
@@ -596,7 +596,7 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
         entries = gathered.where(F.col("part") == AFTER).select("key", "codes", "times", bucket.alias("bucket"))
         learned = work.keep(
             entries.repartition("bucket").sortWithinPartitions("key").drop("bucket")
-            .mapInArrow(_learn(pages, bits), "key long, c long, codes array<int>, times array<int>, part long, slot long, value long, weight long"), "contexts")
+            .mapInArrow(_learn(pages, bits), "key long, c long, codes array<int>, times array<int>, part long, slot long, value long, weight long"), "contexts", "zstd")
         work.drop(gathered)
         weights = Mixer().weights
         refined = _squash((np.tile(np.arange(STEPS), BITS) - STEPS // 2) / 2)
@@ -613,7 +613,7 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
         token, c = sent["token"].to_numpy().view(np.uint64), sent["c"].to_numpy()
         order = np.argsort(token)
         model = spark.sparkContext.broadcast((weights, refined, token[order], np.log10(c[order] + 0.5), code_logs))
-        found = work.keep(rows.mapInArrow(_score(contexts, pages, model, bits), ", ".join(f"{a} {b}" for a, b in _FOUND.items())), "found")
+        found = work.keep(rows.mapInArrow(_score(contexts, pages, model, bits), ", ".join(f"{a} {b}" for a, b in _FOUND.items())), "found", "zstd")
         packs = found.where("bucket is not null").select("rid", "bucket", "keys", "docs", "times").groupBy("bucket")
         others = after.where(~often).select(bucket.alias("bucket"), "key", "codes", "times").groupBy("bucket")
         there = work.keep(

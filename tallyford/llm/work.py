@@ -37,9 +37,9 @@ class Work:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
         path = self.path(name)
-        df.write.parquet(path)
+        (df.write.option("compression", codec) if codec else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:
