@@ -14,11 +14,13 @@ documents link when `intersection / union >= threshold`; both numbers are whole,
 3. Within each key, documents are compared with two centres: the one that shares most keys and a random one.
    Pairs whose parity sketches, of two to four bits per shingle, differ in more than d bits are dropped, the
    others verified on the full sets. Keys whose documents then are in one component need nothing more. In the others all pairs of
-   documents of different components are tested by sketches folded to 512 bits, block against block, and what
-   passes goes the same way. So no link between components is missed, and no group is expanded into its pairs.
+   documents of different components and like size are tested inside a task, block against block, by their sketches folded
+   to 512 bits, then to ever more, at last by the whole sketches. Only pairs that pass leave the task and go the same way. A sketch's
+   width follows the set's size, so unrelated texts of any length fail. No link between components is missed.
 
 Nulls and texts without words have an empty set, link with nothing and are components of their own. Equal
-rows and repeated ids stay rows of their own; only the id and text columns are read.
+rows and repeated ids, null ones too, stay rows of their own: a class's text is found by its id and its text's hash.
+Texts count whole, whatever their length; only the id and text columns are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,12 +41,14 @@ from .work import Work, result
 FREQUENT_SHARE = 1 / 1024
 # Documents of which a task counts shingles together.
 COUNTED_TOGETHER = 8192
-SKETCH_LONGS = 8
+SKETCH_BYTES = 64
+# Folds of a sketch that pairs of a block are tested by before the whole one: each has so many times the bytes of the one before.
+FOLDED = 8
+# Bytes of sketches that are compared at once.
+COMPARED = 1 << 22
 # Documents of one key that a task tests against as many others.
 BLOCK = 4096
 
-_SKETCH = [f"s{i}" for i in range(SKETCH_LONGS)]
-
 
 def class_id(hashes: np.ndarray) -> int:
     """A 64-bit name of a set of shingles."""
@@ -53,7 +57,7 @@ def class_id(hashes: np.ndarray) -> int:
 
 def parity(hashes: np.ndarray) -> bytes:
     """Each shingle flips one bit; there are two to four bits for each shingle, 512 at least."""
-    size = max(64 * SKETCH_LONGS, 2 << (len(hashes) - 1).bit_length())
+    size = max(8 * SKETCH_BYTES, 2 << (len(hashes) - 1).bit_length())
     bits = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
@@ -110,7 +114,7 @@ def keys(hashes: np.ndarray, frequent: np.ndarray, num: int, den: int) -> list[n
 
 def _summaries(id_type: pa.DataType, k: int):
     """Per document its class, size and sketch; per some thousand documents the shingles that are frequent in them."""
-    schema = pa.schema([("id", id_type), ("n", pa.int64()), ("cls", pa.int64()), ("sketch", pa.binary()), *[(s, pa.int64()) for s in _SKETCH],
+    schema = pa.schema([("id", id_type), ("text_hash", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("sketch", pa.binary()),
                         ("shingle", pa.int64()), ("docs", pa.int64())])
 
     def run(batches):
@@ -130,16 +134,10 @@ def _summaries(id_type: pa.DataType, k: int):
             found = shingles(Texts(batch.column("text")), k)
             full = [x for x in found if len(x)]
             full_sketch = [parity(x) if len(x) else None for x in found]
-            sketch = np.zeros((len(found), SKETCH_LONGS), np.int64)
-            name = np.zeros(len(found), np.int64)
-            for i, x in enumerate(found):
-                if len(x):
-                    name[i] = class_id(x)
-                    sketch[i] = folded(np.frombuffer(full_sketch[i], np.uint8), 8 * SKETCH_LONGS).view(np.int64)
+            name = np.array([class_id(x) if len(x) else 0 for x in found], np.int64)
             size = np.array([len(x) for x in found], np.int64)
             yield pa.record_batch([
-                batch.column("id"), pa.array(size), pa.array(name, mask=size == 0), pa.array(full_sketch, pa.binary()),
-                *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_LONGS)],
+                batch.column("id"), batch.column("text_hash"), pa.array(size), pa.array(name, mask=size == 0), pa.array(full_sketch, pa.binary()),
                 pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64())], schema=schema)
             sets += full
             if len(sets) >= COUNTED_TOGETHER:
@@ -205,25 +203,54 @@ def _verified(num: int, den: int):
 
 def _block_pairs(num: int, den: int):
     """Pairs of different components in each (key, block, block) whose sketches allow a link; rows come sorted by group."""
-    names = ["key", "low", "high", "block", "cls", "label", "n", *_SKETCH]
+    names = ["key", "low", "high", "block", "cls", "label", "n", "sketch"]
 
     def tested(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         one, other = g["block"] == g["low"][0], g["block"] == g["high"][0]
         left, right = np.flatnonzero(one), np.flatnonzero(other)
-        sketch = np.stack([g[s].view(np.uint64) for s in _SKETCH], 1)
+        right = right[np.argsort(g["n"][right], kind="stable")]
+        sizes = g["n"][right]
+        width = np.array([len(x) for x in g["sketch"]])
+        folds: dict[int, np.ndarray] = {}
+
+        def at_width(size: int, rows: np.ndarray) -> np.ndarray:
+            """The sketches of some rows, folded to one size that none is below."""
+            if size == SKETCH_BYTES:
+                if size not in folds:
+                    folds[size] = np.stack([folded(np.frombuffer(x, np.uint8), size) for x in g["sketch"]]).view(np.uint64)
+                return folds[size][rows]
+            value, which = np.unique(rows, return_inverse=True)
+            return np.stack([folded(np.frombuffer(g["sketch"][i], np.uint8), size) for i in value]).view(np.uint64)[which]
+
         out_a, out_b = [], []
         for begin in range(0, len(left), 256):
+            # Of each row on the left, the rows on the right of a size that could link.
             part = left[begin:begin + 256]
-            rows, cols = np.nonzero(g["label"][part][:, None] != g["label"][right][None, :])
-            x, y = part[rows], right[cols]
-            keep = g["cls"][x] < g["cls"][y] if g["low"][0] == g["high"][0] else np.ones(len(x), bool)
-            size_x, size_y = g["n"][x], g["n"][y]
-            keep &= den * np.minimum(size_x, size_y) >= num * np.maximum(size_x, size_y)
+            n = g["n"][part]
+            first = np.searchsorted(sizes, -(-n * num // den))
+            last = np.searchsorted(sizes, n * den // num, "right")
+            most = np.maximum(last - first, 0)
+            x = np.repeat(part, most)
+            y = right[np.arange(len(x)) - np.repeat(np.cumsum(most) - most, most) + np.repeat(first, most)]
+            keep = g["label"][x] != g["label"][y]
+            if g["low"][0] == g["high"][0]:
+                keep &= g["cls"][x] < g["cls"][y]
             x, y = x[keep], y[keep]
-            apart = np.zeros(len(x), np.int64)
-            for i in range(SKETCH_LONGS):
-                apart += np.bitwise_count(sketch[x, i] ^ sketch[y, i])
-            keep = apart <= (g["n"][x] + g["n"][y]) * (den - num) // (den + num)
+            allowed = (g["n"][x] + g["n"][y]) * (den - num) // (den + num)
+            whole = np.minimum(width[x], width[y])
+            size, alive, passed = SKETCH_BYTES, np.arange(len(x)), []
+            while len(alive):
+                near = np.zeros(len(alive), bool)
+                step = max(COMPARED // size, 1)
+                for i in range(0, len(alive), step):
+                    some = alive[i:i + step]
+                    differ = np.bitwise_count(at_width(size, x[some]) ^ at_width(size, y[some])).sum(1, dtype=np.int64)
+                    near[i:i + step] = differ <= allowed[some]
+                alive = alive[near]
+                passed.append(alive[whole[alive] == size])
+                alive = alive[whole[alive] > size]
+                size = min(size * FOLDED, int(whole[alive].min(initial=size * FOLDED)))
+            keep = np.concatenate(passed) if passed else np.zeros(0, np.int64)
             out_a.append(g["cls"][x[keep]])
             out_b.append(g["cls"][y[keep]])
         return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.zeros(0, np.int64),) * 2
@@ -281,9 +308,9 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, work: Work, k
     """The pairs that link, by their full sets."""
     pairs = work.keep(pairs, "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    needed = work.keep(needed.join(classes, "cls").select("cls", F.col("first").alias("id")), "needed")
+    needed = work.keep(needed.join(classes, "cls").select("cls", F.col("one.id").alias("one_id"), F.col("one.text_hash").alias("one_text")), "needed")
     sets = (
-        texts.join(needed, "id").select("cls", "text").mapInArrow(_sets(k), "cls long, set binary")
+        texts.join(needed, (texts.text_hash == needed.one_text) & texts.id.eqNullSafe(needed.one_id)).select("cls", "text").mapInArrow(_sets(k), "cls long, set binary")
         .groupBy("cls").agg(F.first("set").alias("set")))
     sets = work.keep(sets, "sets")
     both = (
@@ -295,9 +322,10 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, work: Work, k
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100,
 ) -> DataFrame:
-    """Per document `(id_col, n_shingles, component_id, class_size)`; links need `den * intersection >= num * union`.
+    """Per document `(id_col, n_shingles, component_id, class_size, text_hash, component)`; links need `den * intersection >= num * union`.
 
-    `component_id` is the smallest id that links reach, `class_size` the number of documents with the same set.
+    `component_id` is the smallest id that links reach, `class_size` the number of documents with the same set. `component` names
+    the documents that links join, also where ids repeat or are null; it is null without words. `text_hash` tells rows of one id apart.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -305,11 +333,11 @@ def near_duplicates(
     if id_type == pa.string():
         texts = texts.withColumn("id", F.col("id").cast("string"))
     id_sql = dict(texts.dtypes)["id"]
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
     with Work(spark, "ngram-join") as work:
-        longs = ", ".join(f"{s} long" for s in _SKETCH)
         summary = work.keep(
-            texts.mapInArrow(_summaries(id_type, k), f"id {id_sql}, n long, cls long, sketch binary, {longs}, shingle long, docs long"), "summary")
-        rows = summary.where("shingle is null").select("id", "n", "cls", "sketch", *_SKETCH)
+            texts.mapInArrow(_summaries(id_type, k), f"id {id_sql}, text_hash long, n long, cls long, sketch binary, shingle long, docs long"), "summary")
+        rows = summary.where("shingle is null").select("id", "text_hash", "n", "cls", "sketch")
         n_docs = rows.count()
         known = (
             summary.where("shingle is not null").groupBy("shingle").agg(F.sum("docs").alias("docs"))
@@ -317,8 +345,8 @@ def near_duplicates(
         frequent = spark.sparkContext.broadcast(np.sort(known["shingle"].to_numpy(np.int64).view(np.uint64)))
         classes = work.keep(
             rows.where("cls is not null").groupBy("cls").agg(
-                F.min("id").alias("first"), F.count("*").alias("class_size"), F.first("n").alias("n"),
-                F.first("sketch").alias("sketch"), *[F.first(s).alias(s) for s in _SKETCH]), "classes")
+                F.min("id").alias("first"), F.max(F.struct("id", "text_hash")).alias("one"), F.count("*").alias("class_size"),
+                F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
 
         # Keys of several classes are found by a partial minimum and maximum, so a hot key's classes never meet in a task.
         found = work.keep(texts.where("text is not null").mapInArrow(_keys(k, num, den, frequent), "key long, cls long"), "keys")
@@ -342,15 +370,15 @@ def near_duplicates(
             labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
             .where("lo != hi").select("key", F.ceil(F.col("size") / BLOCK).alias("blocks")))
         dealt = (
-            labelled.join(mixed, "key").join(classes.select("cls", "n", *_SKETCH), "cls")
+            labelled.join(mixed, "key").join(classes.select("cls", "n", "sketch"), "cls")
             .withColumn("block", F.pmod(F.xxhash64("cls"), "blocks"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block",
-                    "cls", "label", "n", *_SKETCH))
+                    "cls", "label", "n", "sketch"))
         crossing = (
             dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
             .mapInArrow(_block_pairs(num, den), "a long, b long").distinct())
-        more = _links(_plausible(work.keep(crossing, "crossing"), classes, num, den), classes, texts, work, k, num, den)
+        more = _links(crossing, classes, texts, work, k, num, den)
         label = labels.select(F.col("node"), F.col("component"))
         bridges = (
             more.join(label.toDF("a", "la"), "a", "left").join(label.toDF("b", "lb"), "b", "left")
@@ -361,11 +389,12 @@ def near_duplicates(
             .withColumn("label", F.coalesce("label", "cls"))
             .join(joined.toDF("label", "top"), "label", "left").withColumn("top", F.coalesce("top", "label")))
         named = final.groupBy("top").agg(F.min("first").alias("component_id"))
-        member = work.keep(final.join(named, "top").select("cls", "component_id", "class_size"), "member")
+        member = work.keep(final.join(named, "top").select("cls", "component_id", "class_size", "top"), "member")
         out = result(
-            rows.select("id", "n", "cls").join(member, "cls", "left")
+            rows.select("id", "text_hash", "n", "cls").join(member, "cls", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "id").alias("component_id"), F.coalesce("class_size", F.lit(1)).alias("class_size")))
+                    F.coalesce("component_id", "id").alias("component_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"),
+                    "text_hash", F.col("top").alias("component")))
         frequent.destroy()
         return out
 

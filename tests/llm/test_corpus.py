@@ -126,6 +126,51 @@ def test_ngram_join(spark, odd, k, num):
     assert ngram_join.near_duplicates(docs.limit(0)).count() == 0
 
 
+def near_copy(text, n):
+    some = text.split()
+    for at in random.sample(range(len(some)), n):
+        some[at] = f"n{at}x{n}"
+    return " ".join(some)
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_ngram_join_of_odd_ids_and_long_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    text, other, seven = prose(200), prose(300), prose(250)
+    rows = [(1, text), (1, other), (2, near_copy(other, 2)), (None, seven), (7, near_copy(seven, 2)), (5, near_copy(seven, 2)), (None, None), (None, "")]
+    # A text without an id between two that link only through it.
+    bridge = [f"b{i}" for i in range(400)]
+    rows += [(50, " ".join(["x"] * 12 + bridge[12:])), (None, " ".join(bridge)), (40, " ".join(bridge[:388] + ["y"] * 12))]
+    # Long texts that share a passage, from far below the threshold to above it.
+    passage = prose(4000).split()
+    for i, own in enumerate([200, 300, 420, 440, 460, 700, 2000, 9000] * 2):
+        rows.append((100 + i, " ".join(passage + [f"o{i}w{j}" for j in range(own)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = ngram_join.near_duplicates(docs, k=4, num=85, den=100).collect()
+    assert sorted((tuple(r[:3]) for r in got), key=key) == sorted(brute_components([(*r, None) for r in rows], 4, 85, 100), key=key)
+    assert {r.component is None for r in got if not r.n_shingles} == {True}
+
+
+def test_block_pairs_leave_unrelated_long_texts():
+    """The pairs that leave a block are those whose whole sketches allow a link, and no unrelated text passes."""
+    generator = np.random.default_rng(3)
+    common = generator.integers(0, 1 << 62, 9000).astype(np.uint64)
+    sets = [np.unique(np.concatenate([common[:9000 - i % 3 * 60], generator.integers(0, 1 << 62, own).astype(np.uint64)]))
+            for i, own in enumerate([100, 150, 400, 2500, 2600, 5000] * 4)]
+    sets += [np.unique(generator.integers(0, 1 << 62, n).astype(np.uint64)) for n in (9300, 9400, 9500, 400, 420, 40, 41) for _ in range(4)]
+    n = np.array([len(x) for x in sets])
+    one = np.ones(len(sets), np.int64)
+    batch = pa.record_batch([
+        pa.array(one), pa.array(one * 0), pa.array(one * 0), pa.array(one * 0), pa.array(np.arange(len(sets))), pa.array(np.arange(len(sets))), pa.array(n),
+        pa.array([ngram_join.parity(x) for x in sets])], ["key", "low", "high", "block", "cls", "label", "n", "sketch"])
+    got = {tuple(p.values()) for b in ngram_join._block_pairs(85, 100)([batch.slice(0, 20), batch.slice(20)]) for p in b.to_pylist()}
+    pairs = list(itertools.combinations(range(len(sets)), 2))
+    near = {(i, j) for i, j in pairs if 100 * min(n[i], n[j]) >= 85 * max(n[i], n[j])
+            and ngram_join.apart(ngram_join.parity(sets[i]), ngram_join.parity(sets[j])) <= ngram_join.differing(int(n[i]), int(n[j]), 85, 100)}
+    linked = {(i, j) for i, j in pairs if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+    assert linked <= got == near and all(i < 24 and j < 24 for i, j in got)
+
+
 def test_sketches_bound_the_difference():
     for n, gone in ((5, 1), (400, 30), (3000, 200)):
         a = np.unique(np.random.default_rng(n).integers(0, 1 << 62, n).astype(np.uint64))
@@ -499,6 +544,32 @@ def test_pipeline(spark, odd, tmp_path):
     assert corpus_pipeline.run(spark, DATA).count() == n[5]
     plain = odd.select("doc_id", "text", "lang", "source", "n_chars")
     rest = corpus_pipeline.near_duplicates(spark, plain, DATA)
-    assert sorted([r.doc_id for r in rest.collect()], key=lambda x: (x is None, x)) == [1, 4, 5, 6, 7, 9, 11, 12, None, None]
+    assert sorted([r.doc_id for r in rest.collect()], key=lambda x: (x is None, x)) == [1, 4, 5, 6, 7, 9, 11, 12, None]
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, plain.limit(0), DATA).count() == 0
+
+
+def test_pipeline_keeps_rows_not_ids(spark):
+    """The stages that drop rows against brute force, where ids repeat or are null."""
+    items = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    copied, first, second, third = prose(120), prose(90), prose(100), prose(110)
+    rows = [
+        (1, copied), (2, copied), (None, copied), (2, near_copy(copied, 1)), (3, first), (3, second), (3, second), (None, third), (None, near_copy(third, 1)),
+        (4, f"{first} {items[0]} {second}"), (4, prose(80)), (None, f"{third} {items[1]} {copied}"), (None, prose(70)), (5, None), (5, None), (6, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    components = brute_components([(i, t, None) for i, (_, t) in enumerate(rows)], 5, 80, 100)
+    stays = {}
+    for (i, n, component), (doc, text) in zip(components, rows):
+        if n:
+            stays.setdefault(component, []).append((doc is None, doc or 0, text, i))
+    kept = corpus_pipeline.near_duplicates(spark, docs, DATA)
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    assert sum(got.values()) == len(stays) + sum(not n for _, n, _ in components)
+    for members in stays.values():
+        least = min(m[:2] for m in members)
+        assert sum(got[rows[i][0], text] for text, i in {(m[2], min(x[3] for x in members if x[:3] == m[:3])) for m in members if m[:2] == least}) == 1
+    assert got[3, first] == got[3, second] == 1 and got[5, None] == 2 and got[6, " "] == 1
+    clean = corpus_pipeline.without_benchmark(spark, docs, DATA)
+    left = collections.Counter((r.doc_id, r.text) for r in clean.collect())
+    want = collections.Counter(r for r in rows if not any(item in (r[1] or "") for item in items))
+    assert left == want
