@@ -1,16 +1,17 @@
 """A training corpus from raw documents, in five stages; each reads what the one before has written.
 
 1. `quality`: the co-trained classifier; documents that it rejects go.
-2. `near_duplicates`: of each component of near duplicates (five-word shingles, similarity 0.8) the smallest id stays;
-   of rows that share that id, the first by text.
-3. `decontaminate`: documents that hold a passage of the benchmark go.
+2. `near_duplicates`: of each component of near duplicates (five-word shingles, similarity 0.8) the row with the smallest id stays, null
+   last; of a component's rows that share that id, the first by the hash of its text. A row is its id and text, so two different
+   texts of one id, or without an id, are two documents. Rows without a word all stay.
+3. `decontaminate`: rows that hold a passage of the benchmark go, whatever other rows their id has.
 4. `mix`: documents are taken as often as their source's target asks.
 5. `tokens`: the corpus as token files, read back as one row per document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyford.llm import decontaminate, mixing, ngram_join, quality_classifier, token_files
@@ -24,15 +25,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.near_duplicates(ship_frame(spark, docs), k=5, num=80, den=100)
-    # The ids that go grow with the corpus: a merge join at every size. Documents with a null id all stay.
-    gone = found.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct().hint("merge")
-    place = "row"
-    while place in docs.columns:
-        place += "_"
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    rest = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").withColumn(place, first).where(F.col(place) == 1)
-    return rest.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    found = ngram_join.near_duplicates(ship_frame(spark, docs), k=5, num=80, den=100).where("component is not null")
+    # A row's key is its id and its text, so that two texts of one id, or without an id, are two documents.
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    stays = found.groupBy("component").agg(F.min(row).alias("stays"))
+    gone = (
+        found.withColumn("row", row).join(stays, "component").where(~F.col("row").eqNullSafe(F.col("stays")))
+        .select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct().hint("merge"))
+    rest = docs.join(gone, docs.doc_id.eqNullSafe(gone.gone_id) & (F.xxhash64(docs.text) == gone.gone_text), "left_anti")
+    # Equal rows of one id are copies too; rows without a word are nobody's copy.
+    worded = F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
+    return rest.where(worded).dropDuplicates(["doc_id", "text"]).unionByName(rest.where(~worded))
 
 
 def ship_frame(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -41,8 +44,11 @@ def ship_frame(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contaminated(ship_frame(spark, docs), table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    # Found by row, not by id, which may repeat or be null.
+    key = F.xxhash64("doc_id", "text")
+    keyed = ship_frame(spark, docs).select(key.alias("row_key"), "text")
+    found = decontaminate.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col="row_key")
+    return docs.join(found.select("row_key").distinct(), key == F.col("row_key"), "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
