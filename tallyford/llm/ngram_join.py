@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from . import graph
 from .registry import query, table
+from .sieve import passes, sieve
 from .textscan import Texts, mix, shingles, signed, slices
 from .work import Work, result
 
@@ -46,6 +47,8 @@ SKETCH_BYTES = 64
 FOLDED = 8
 # Bytes of sketches that are compared at once.
 COMPARED = 1 << 22
+# The filter that keeps texts of no pair from the join has 2 ** 23 bits.
+NEEDED_BITS = 23
 # Documents of one key that a task tests against as many others.
 BLOCK = 4096
 
@@ -185,6 +188,14 @@ def _sets(k: int):
     return run
 
 
+def _sieved(sent):
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(passes(sent.value, batch.column("text_hash").to_numpy().view(np.uint64))))
+
+    return run
+
+
 def _verified(num: int, den: int):
     def run(batches):
         for batch in batches:
@@ -309,10 +320,15 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, work: Work, k
     pairs = work.keep(pairs, "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     needed = work.keep(needed.join(classes, "cls").select("cls", F.col("one.id").alias("one_id"), F.col("one.text_hash").alias("one_text")), "needed")
+    # Texts are long and few are needed: most stay where they are.
+    spark = texts.sparkSession
+    sent = spark.sparkContext.broadcast(sieve(needed, "one_text", NEEDED_BITS))
+    texts = texts.mapInArrow(_sieved(sent), texts.schema)
     sets = (
         texts.join(needed, (texts.text_hash == needed.one_text) & texts.id.eqNullSafe(needed.one_id)).select("cls", "text").mapInArrow(_sets(k), "cls long, set binary")
         .groupBy("cls").agg(F.first("set").alias("set")))
     sets = work.keep(sets, "sets")
+    sent.destroy()
     both = (
         pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("a_set")), "a")
         .join(sets.select(F.col("cls").alias("b"), F.col("set").alias("b_set")), "b"))

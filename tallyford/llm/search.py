@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .registry import query, table
+from .sieve import passes, sieve
 from .textscan import Texts, signed, slices
 from .work import Work, result
 
@@ -71,14 +72,6 @@ def item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return named.mapInArrow(run, "items long, item int, item_id long, term long")
 
 
-def _filter(terms: DataFrame) -> np.ndarray:
-    """One bit for each of 2 ** FILTER_BITS slots, packed: set where a term falls. Never more slots than that come to the driver."""
-    slots = terms.select(F.shiftrightunsigned("term", 64 - FILTER_BITS).cast("int").alias("slot")).distinct().toArrow()
-    there = np.zeros(1 << FILTER_BITS, bool)
-    there[slots.column("slot").to_numpy()] = True
-    return np.packbits(there)
-
-
 class _Block:
     """Postings of the documents read so far, until they become a block's lists."""
 
@@ -87,8 +80,7 @@ class _Block:
 
     def add(self, ids: pa.Array, texts: Texts, passed: np.ndarray) -> None:
         words, doc = texts.words(), texts.text_of_word()
-        slot = (words >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-        kept = (passed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
+        kept = passes(passed, words)
         words, doc = words[kept], doc[kept]
         order = np.lexsort((doc, words))
         words, doc = words[order], doc[order]
@@ -228,7 +220,7 @@ def search(
     """`(items, item, item_id, rank, doc_id, score)`: the k best documents of each row of `items`; the first two name the row."""
     spark = docs.sparkSession
     terms = work.keep(item_terms(items, item_col, item_text), "terms")
-    lists = work.keep(inverted(docs, _filter(terms), id_col, text_col), "lists")
+    lists = work.keep(inverted(docs, sieve(terms, "term", FILTER_BITS), id_col, text_col), "lists")
     blocks = lists.where("term is null")
     size = blocks.select(F.explode("lengths").alias("length")).where("length > 0").agg(
         F.count("*").alias("n"), F.sum("length").alias("total")).first()
