@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..monitors import call_volume, common, devices, licences, tables, volume
-from ..session import shared_folder
+from ..functions.times import add_days
+from ..plans.jobs import Job, run_plan
+from ..plans.monitor_steps import Monitors
+from ..session import fresh_path, shared_folder
 from .registry import query, table, with_text_time
 
 ORGS = ["AF", "AO", "NF", "NO", "RF"]
@@ -14,7 +17,11 @@ BUSINESS_DAY, DAY_OFF = "1998-06-15", "1998-06-14"
 
 def usage_aggregates(spark, sf):
     """Daily aggregates of five relations per organisation, from line items."""
-    per_day = table(spark, sf, "lineitem").groupBy(
+    return aggregates_of(table(spark, sf, "lineitem"))
+
+
+def aggregates_of(items):
+    per_day = items.groupBy(
         F.concat("l_returnflag", "l_linestatus").alias("orgid"), F.col("l_shipdate").alias("time_stamp")).agg(
         F.sum("l_quantity").cast("bigint").alias("q"), F.count(F.lit(1)).alias("n"))
     cells = F.array(*[F.lit(r) for r in volume.COUNTED])
@@ -238,3 +245,24 @@ def call_volume_alert(spark, sf):
     averages = call_volume.model(calls, "2024-01-25", orgs=12).checkpoint()
     rows = call_volume.alerts(calls, averages, "2024-01-24", 0.8, orgs=12).drop("eventTimestamp")
     return rows.withColumn("historyAvg", F.round("historyAvg", 6))
+
+
+@query("job_monitor", f"""SELECT 'crs' AS component, 'metrics' AS eventtype, 'Spark' AS "pipeLine", 'DataProcess' AS phase,
+  pdate || 'T00:00:00Z' AS "sendTime", orgid || '_' || relation_name AS name, pdate AS "reportDate", orgid, relation_name AS type,
+  "count" AS volume, avg AS "historicalAverageVolume", percentage, status
+FROM ({_AGG.format(day=BUSINESS_DAY, like=_BUSINESS)})""")
+def job_monitor(spark, sf):
+    """The volume monitor as a job: aggregates, monitor, a sink for its messages."""
+    root = fresh_path(spark, "messages")
+    job = Job(
+        spark, settings={"dataLocation": sf}, monitors=Monitors(ORGS), run_day=add_days(BUSINESS_DAY, 1),
+        transforms={"aggregates": lambda df, p: aggregates_of(df.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")))})
+    run_plan(job, [
+        [{"queryName": "readFromFile", "parameters": {"input": "lineitem.parquet", "format": "parquet"}}],
+        [{"queryName": "aggregates"}],
+        [{"queryName": "volumeMonitor", "parameters": {"threshold": 0.5}}],
+        [{"queryName": "writeToFile", "parameters": {"dataLocation": root, "output": "volume", "format": "parquet", "saveMode": "append"}}],
+    ])
+    sent = spark.read.parquet(f"{root}/volume")
+    return sent.select("component", "eventtype", "metrics.pipeLine", "metrics.phase", "metrics.sendTime", "metrics.data.*").withColumn(
+        "historicalAverageVolume", F.round("historicalAverageVolume", 6))

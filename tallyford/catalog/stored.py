@@ -7,12 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.times import period_start_day
 from ..operators import periods
 from ..plans.backfill import backfill
 from ..plans.jobs import Job, run_plan
 from ..session import fresh_path
 from ..sinks.files import write_files
 from ..sinks.tables import KeyedTable, insert_overwrite
+from ..sinks.versions import VersionedFiles
 from ..sources.files import read_period
 from ..streaming import sinks
 from .aggregates import _ACTIVE, _START, VISITORS_SQL, VISITORS_TWIN
@@ -169,3 +171,45 @@ def stream_user_rollup(spark, sf):
         F.count(F.lit(1)).alias("events"), F.sum((F.col("event_type") == "click").cast("bigint")).alias("clicks"))
     drained(sinks.to_keyed_table(rows, target, f"rollup_{uuid.uuid4().hex}", trigger=None))
     return with_text_time(target.read(spark))
+
+
+_ROLLUP = ("time_stamp", "user_id")
+
+
+@query("stream_files_update", """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS time_stamp, user_id, count(*) AS events,
+  count(DISTINCT event_type) AS kinds FROM events GROUP BY 1, 2""")
+def stream_files_update(spark, sf):
+    """Counts that later events raise, as files: each batch rewrites the days it touches. One file of the table makes a batch."""
+    path, name = fresh_path(spark, "updates"), f"updates_{uuid.uuid4().hex}"
+    rows = periods.cut(event_stream(spark, sf), "daily", ["user_id", "event_type"], "ts").groupBy(*_ROLLUP).agg(
+        F.count(F.lit(1)).alias("events"), F.size(F.collect_set("event_type")).cast("bigint").alias("kinds"))
+    drained(sinks.to_files(rows, path, "parquet", name, "update", "time_stamp", trigger=None, keys=_ROLLUP))
+    return with_text_time(VersionedFiles(path).read(spark))
+
+
+@query("stream_files_complete", """
+SELECT event_type, count(*) AS events, max(value) AS most FROM events GROUP BY 1""")
+def stream_files_complete(spark, sf):
+    path, name = fresh_path(spark, "complete"), f"complete_{uuid.uuid4().hex}"
+    rows = event_stream(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.max("value").alias("most"))
+    drained(sinks.to_files(rows, path, "parquet", name, "complete", trigger=None))
+    return VersionedFiles(path).read(spark)
+
+
+@query("job_backfill", """
+SELECT strftime(ts::DATE - dayofweek(ts)::INT, '%Y-%m-%d') AS week, event_type AS kind, count(*) AS events,
+  count(DISTINCT user_id) AS users FROM events
+WHERE ts::DATE BETWEEN DATE '2024-01-07' AND DATE '2024-01-27' GROUP BY 1, 2""")
+def job_backfill(spark, sf):
+    """A job over three weeks of dated files, which one scan reads; the weeks stay apart by their start."""
+    root = fresh_path(spark, "dated")
+    write_files(_dated_events(spark, sf).withColumn("day", F.col("pdate")), f"{root}/events", "parquet", "append", "pdate")
+    week = F.date_format(period_start_day(F.col("day"), "weekly"), "yyyy-MM-dd")
+    job = Job(spark, settings={"dataLocation": root}, transforms={"weeks": lambda df, p: df.groupBy(
+        week.alias("week"), F.col("event_type").alias("kind")).agg(
+        F.count("event_id").alias("events"), F.count_distinct("user_id").alias("users"))})
+    read = {"queryName": "readFromFile", "dateRange": {"startDate": "2024-01-10", "endDate": "2024-01-25", "oneScan": True},
+            "parameters": {"input": "events", "format": "parquet", "period": "weekly", "partitionKey": "pdate"}}
+    [made] = run_plan(job, [[read], [{"queryName": "weeks", "parameters": {"aggregatePeriod": "weekly"}}]])
+    return made.frame

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import percent
 from ..functions.times import iso_day
-from ..operators.lookups import literal_rows
 from . import common
 
 # Relations of the organisation count, history length, floors, alerting relations.
@@ -25,17 +24,8 @@ def dated(aggregates: DataFrame) -> DataFrame:
     return aggregates.withColumn("pdate", iso_day("time_stamp"))
 
 
-def org_counts(aggregates: DataFrame, day: str) -> DataFrame:
-    """How many organisations reported each relation per day; on the monitored day 0 when none did."""
-    reported = aggregates.where(F.col("period") == "daily").select("relation_name", "pdate", F.lit(1).alias("_n"))
-    expected = literal_rows(aggregates.sparkSession, {"relation_name": COUNTED}).select(
-        "relation_name", F.lit(day).alias("pdate"), F.lit(0).alias("_n"))
-    counts = reported.unionAll(expected).groupBy("relation_name", "pdate").agg(F.sum("_n").alias("count"))
-    return counts.select(F.lit("orgCount").alias("orgid"), "relation_name", "pdate", "count")
-
-
-def counts_per_org(aggregates: DataFrame) -> DataFrame:
-    """The monitored measure of each relation as (orgid, relation_name, pdate, count), in one pass."""
+def measures() -> tuple[Column, Column]:
+    """The monitored measure of a row: its name, with the period where that is not daily, and its count."""
     relation = F.col("relation_name")
     cases: list[tuple[Column, str, Column]] = [
         (relation == "fileUsed", "fileUsed", F.col("files")),
@@ -51,24 +41,48 @@ def counts_per_org(aggregates: DataFrame) -> DataFrame:
         name = F.when(condition, shown).otherwise(name)
         count = F.when(condition, measure.cast("bigint")).otherwise(count)
     # A missing period reads as not daily and makes the name null, as text concatenation does.
-    suffixed = F.when(F.col("period") == "daily", F.col("_name")).otherwise(
-        F.concat(F.col("_name"), F.lit("-"), F.col("period")))
-    rows = aggregates.select("orgid", "pdate", "period", name.alias("_name"), count.alias("count"))
-    return rows.where(F.col("_name").isNotNull()).select("orgid", suffixed.alias("relation_name"), "pdate", "count")
-
-
-def all_counts(aggregates: DataFrame, orgs: Sequence[str], day: str, org: str = "*") -> DataFrame:
-    rows = dated(aggregates)
-    data = rows if org == "*" else rows.where(F.col("orgid") == org)
-    return org_counts(rows, day).unionByName(counts_per_org(common.of_orgs(data, orgs)))
-
-
-def flagged(counts: DataFrame, day: str, threshold: float) -> DataFrame:
-    """Rows of the monitored day with the average of like days, the percentage and the status."""
-    like_days = F.col("pdate").isin(common.like_days_before(day, HISTORY_DAYS))
-    past = counts.where(like_days & F.col("count").isNotNull())
-    average = past.groupBy("orgid", "relation_name").agg(F.avg("count").alias("avg"))
-    joined = counts.where(F.col("pdate") == day).join(average, ["orgid", "relation_name"])
+    return F.when(F.col("period") == "daily", name).otherwise(F.concat(name, F.lit("-"), F.col("period"))), count
+
+
+def counts(aggregates: DataFrame, orgs: Sequence[str], org: str = "*") -> DataFrame:
+    """`(of_all, orgid, relation_name, pdate, count)`: each row as a report of its organisation, and as one more organisation
+    that reported its relation. One pass: a row is expanded into both."""
+    ours = F.col("orgid").isin(list(orgs))
+    if org != "*":
+        ours = ours & (F.col("orgid") == org)
+    name, count = measures()
+    reported = F.struct(
+        F.lit(True).alias("of_all"), F.lit("orgCount").alias("orgid"),
+        F.when(F.col("period") == "daily", F.col("relation_name")).alias("relation_name"), F.lit(1).cast("bigint").alias("count"))
+    measured = F.struct(
+        F.lit(False).alias("of_all"), F.col("orgid").alias("orgid"), F.when(ours, name).alias("relation_name"), count.alias("count"))
+    return dated(aggregates).select("pdate", F.explode(F.array(reported, measured)).alias("row")).where(
+        F.col("row.relation_name").isNotNull()).select("row.of_all", "row.orgid", "row.relation_name", "pdate", "row.count")
+
+
+def flagged(rows: DataFrame, day: str, threshold: float) -> DataFrame:
+    """The monitored day of `counts` with the average of like days, the percentage and the status.
+
+    Day and history come from the same sums. A relation is counted as 0 on the day when no organisation reported it.
+    """
+    today = F.col("pdate") == day
+    past = F.col("pdate").isin(common.like_days_before(day, HISTORY_DAYS))
+    # Reports of the day stay apart by their count; equal ones are one row with a number.
+    value = F.when(today & ~F.col("of_all"), F.col("count"))
+    sums = rows.where(today | past).groupBy("of_all", "orgid", "relation_name", "pdate", value.alias("value")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("count").alias("sum"), F.count("count").alias("known"))
+    known = F.when(past, F.when(F.col("of_all"), 1).otherwise(F.col("known")))
+    shown = F.when(F.col("of_all"), F.col("sum")).otherwise(F.col("value"))
+    groups = sums.groupBy("of_all", "orgid", "relation_name").agg(
+        F.sum(F.when(past, F.col("sum"))).alias("sum"), F.sum(known).alias("known"),
+        F.collect_list(F.when(today, F.struct(
+            shown.alias("count"), F.when(F.col("of_all"), 1).otherwise(F.col("rows")).cast("int").alias("times")))).alias("reports"))
+    silent_day = F.col("of_all") & F.col("relation_name").isin(COUNTED) & (F.size("reports") == 0)
+    zero = F.array(F.struct(F.lit(0).cast("bigint").alias("count"), F.lit(1).alias("times")))
+    joined = groups.where(F.col("known") > 0).select(
+        "orgid", "relation_name", F.lit(day).alias("pdate"), (F.col("sum").cast("double") / F.col("known")).alias("avg"),
+        F.explode(F.when(silent_day, zero).otherwise(F.col("reports"))).alias("report")).select(
+        "orgid", "relation_name", "pdate", "avg", F.explode(F.array_repeat(F.col("report.count"), F.col("report.times"))).alias("count"))
     relation, count, avg = F.col("relation_name"), F.col("count"), F.col("avg")
     ratio = F.try_divide(count, avg)
     like_period = F.lit(False)
@@ -83,9 +97,8 @@ def flagged(counts: DataFrame, day: str, threshold: float) -> DataFrame:
 
 
 def run(aggregates: DataFrame, orgs: Sequence[str], day: str, threshold: float, org: str = "*") -> DataFrame:
-    """Status per organisation and relation on the monitored day; reads only that day and its history."""
-    rows = common.within(aggregates, "time_stamp", day, HISTORY_DAYS)
-    return flagged(all_counts(rows, orgs, day, org), day, threshold)
+    """Status per organisation and relation on the monitored day; reads that day and its history, once."""
+    return flagged(counts(common.within(aggregates, "time_stamp", day, HISTORY_DAYS), orgs, org), day, threshold)
 
 
 def messages(rows: DataFrame) -> DataFrame:

@@ -22,12 +22,15 @@ from ..sinks.tables import KeyedTable, insert_overwrite
 from ..sources import files, jdbc, kafka, remote, tables
 from ..sources.modes import save_mode
 from ..streaming import sinks as streams
+from .monitor_steps import Monitors, monitor_steps
 from .sql_stage import sql_stage
 from .steps import Lookups, register_lookups, report_steps
 
 BATCH, STREAM = "batch", "stream"
 # Fixed value: tables whose day is in their time column.
 TIME_KEYED = ["spark_agg_v2"]
+# Days lie within weeks, but weeks not within months.
+PERIODS_BY_LENGTH = ["daily", "weekly", "monthly"]
 
 
 @dataclass
@@ -36,7 +39,8 @@ class Job:
 
     `settings` holds defaults that a step's parameters override. `transforms` maps a step name to
     a function of (frame, parameters); `sql` maps it to SQL text. `tables` are keyed tables by name.
-    With `lookups` the reports are steps, and SQL texts have the mapping and list functions.
+    With `lookups` the reports are steps, and SQL texts have the mapping and list functions. With `monitors` the monitors are
+    steps; they look at the day before `run_day`.
     """
 
     spark: SparkSession
@@ -48,6 +52,7 @@ class Job:
     tables: dict[str, KeyedTable] = field(default_factory=dict)
     connections: dict[str, Callable] = field(default_factory=dict)
     lookups: Lookups | None = None
+    monitors: Monitors | None = None
     run_day: str | None = None
     preview: int = 0
     _registered: bool = field(default=False, repr=False)
@@ -57,6 +62,8 @@ class Job:
             raise ValueError(f"mode must be {BATCH!r} or {STREAM!r}, not {self.mode!r}")
         if self.lookups:
             self.transforms = {**report_steps(self.lookups), **self.transforms}
+        if self.monitors:
+            self.transforms = {**monitor_steps(self.monitors, lambda: self.run_day), **self.transforms}
 
     def register_functions(self) -> None:
         """Make the scalar functions known to SQL texts, once."""
@@ -114,11 +121,17 @@ def inherited_output(parameters: Mapping) -> str | None:
 
 
 def backfilled(step: Mapping) -> list[dict]:
-    """A dated read as one step per period start of its date range."""
+    """A dated read as one step per period start of its date range.
+
+    With `"oneScan": true` in the range it stays one step that reads all periods: right where the steps after it group by their
+    `aggregatePeriod`, which must not be longer than the read's, so that no result spans two reads.
+    """
     if step["queryName"] != "readFromFile" or "dateRange" not in step:
         return [dict(step)]
     parameters, dates = step["parameters"], step["dateRange"]
     starts = period_starts(dates["startDate"], dates["endDate"], parameters["period"])
+    if dates.get("oneScan"):
+        return [{**step, "parameters": {**parameters, "date": starts[0], "periodStarts": starts}}]
     return [{**step, "parameters": {**parameters, "date": day}} for day in starts]
 
 
@@ -135,7 +148,7 @@ def _read_file(job: Job, frame, p: Mapping):
         return files.stream_period(job.spark, root, inputs, fmt, day, p.get("period"), p.get("partitionKey"),
                                    schema=schema, multiline=multiline)
     return files.read_period(
-        job.spark, root, inputs, fmt, day, p.get("period"), p.get("partitionKey"), schema,
+        job.spark, root, inputs, fmt, p.get("periodStarts", day), p.get("period"), p.get("partitionKey"), schema,
         p.get("enableBasePath", False), p.get("alias"), p.get("aliasColumn"), multiline, p.get("tabDelimited", False))
 
 
@@ -143,7 +156,7 @@ def _write_file(job: Job, frame: DataFrame, p: Mapping):
     path = f"{p['dataLocation'].rstrip('/')}/{p['output']}"
     if job.streaming:
         return streams.to_files(frame, path, p["format"], p["output"], p["saveMode"], p.get("partitionKey"),
-                                _trigger(p), _checkpoints(p))
+                                _trigger(p), _checkpoints(p), _names(p.get("keys", "")))
     file_sinks.write_files(frame, path, p["format"], p["saveMode"], p.get("partitionKey"))
 
 
@@ -207,9 +220,13 @@ def _write_hive(job: Job, frame: DataFrame, p: Mapping):
     insert_overwrite(frame, hive["table"], columns, job.sql_text(hive["schema"]))
 
 
+def _names(text: str) -> list[str]:
+    return [k for k in "".join(text.split()).split(",") if k]
+
+
 def _write_jdbc(job: Job, frame: DataFrame, p: Mapping):
     settings = p["oracle"]
-    keys = [k for k in "".join(settings.get("pk", "").split()).split(",") if k]
+    keys = _names(settings.get("pk", ""))
     if job.streaming:
         return streams.to_jdbc(frame, job.connections.get(settings["dbtable"]), settings["dbtable"], keys, p["output"],
                                settings.get("saveMode", "update"), _trigger(p), _checkpoints(p))
@@ -288,6 +305,19 @@ def run_step(job: Job, step: Mapping, before: Result | None) -> Result:
     return Result(step, frame=out)
 
 
+def check_one_scan(stages: list[list[Mapping]]) -> None:
+    """Refuse periods that a backfill of one scan would not give as a read per period does."""
+    read: str | None = None
+    for stage in stages:
+        steps = [s for s in stage if not s.get("disable")]
+        if any(s["queryName"] in SOURCES for s in steps):
+            read = next((s["parameters"]["period"] for s in steps if s.get("dateRange", {}).get("oneScan")), None)
+        for step in steps:
+            period = step.get("parameters", {}).get("aggregatePeriod")
+            if read and period and PERIODS_BY_LENGTH.index(period) > PERIODS_BY_LENGTH.index(read):
+                raise ValueError(f"{step['queryName']} groups by {period} what is read by {read}: read it {period} as well")
+
+
 def run_plan(job: Job, stages: list[list[Mapping]]) -> list[Result]:
     """Feed every live result of a stage to every step of the next.
 
@@ -296,6 +326,7 @@ def run_plan(job: Job, stages: list[list[Mapping]]) -> list[Result]:
     several steps consume is read again by each, with the columns and filters that step needs, unless the step that
     makes it has `"persist": true`; then it is kept until the plan ends.
     """
+    check_one_scan(stages)
     live: list[Result] = []
     queries: list[Result] = []
     held: list[DataFrame] = []

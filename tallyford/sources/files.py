@@ -81,18 +81,21 @@ def read_files(
 
 
 def read_period(
-    spark: SparkSession, root: str, inputs: str | Sequence[str], fmt: str, day: str, period: str | None = None,
+    spark: SparkSession, root: str, inputs: str | Sequence[str], fmt: str, day: str | Sequence[str], period: str | None = None,
     partition_key: str | None = None, schema: StructType | None = None, base_path: bool = False,
     alias: str | None = None, alias_column: str | None = None, multiline: bool = False, tab: bool = False,
 ) -> DataFrame | None:
-    """The dated folders of the period around a day, absent ones left out.
+    """The dated folders of the period around a day, or around each of several days, absent ones left out.
 
     A folder is `key=<date>`, `<date>` or `alias % <date>`. All folders of an input are one scan.
     `base_path` brings back the partition column; otherwise `alias_column` adds the day as text.
     """
+    days = [day] if isinstance(day, str) else list(day)
+    if alias_column and not base_path and len(days) > 1:
+        raise ValueError("one day cannot be added to the rows of several periods; use the base path")
     folders = [
         alias.replace("%s", d) if alias else f"{partition_key}={d}" if partition_key else d
-        for d in period_days(day, period)
+        for d in dict.fromkeys(d for one in days for d in period_days(one, period))
     ]
     frames = []
     for name in input_names(inputs):
@@ -104,7 +107,7 @@ def read_period(
         return None
     result = balanced_union(frames[::-1])
     if alias_column and not base_path:
-        result = result.withColumn(alias_column, F.lit(day))
+        result = result.withColumn(alias_column, F.lit(days[0]))
     return result
 
 

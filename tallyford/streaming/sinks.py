@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..session import shared_folder
 from ..sinks.tables import KeyedTable
+from ..sinks.versions import VersionedFiles
 from ..sources import jdbc, kafka
 
 # Fixed value: default trigger interval.
@@ -33,11 +34,17 @@ def _start(
 
 def to_files(
     df: DataFrame, path: str, fmt: str, output: str, mode: str = "append", partition_key: str | None = None,
-    trigger: str | None = TRIGGER, checkpoint_root: str | None = None,
+    trigger: str | None = TRIGGER, checkpoint_root: str | None = None, keys: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Files of a stream; Spark's file sink appends only, so other modes belong into a keyed table."""
-    if mode != "append":
-        raise ValueError("files of a stream can only be appended to; use a keyed table for updates")
+    """Files of a stream. Appended rows are plain files; `update` and `complete` make versions, read by `VersionedFiles`.
+
+    Updates are merged by `keys`, and rewrite only the partitions of `partition_key` that a batch touches.
+    """
+    if mode in ("update", "complete"):
+        target = VersionedFiles(path, fmt, keys, partition_key)
+        if mode == "update" and not keys:
+            raise ValueError("files of a stream in update mode need the keys that rows are merged by")
+        return each_batch(df, lambda batch, number: target.write(batch, number, mode), f"sinkToFile_{output}", mode, trigger, checkpoint_root)
     writer = df.writeStream.format(fmt).option("path", path)
     if fmt == "csv":
         writer = writer.option("header", "true")

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyford.functions import sql_names
+from tallyford.functions import sql_names, times
+from tallyford.plans import jobs
 from tallyford.plans.jobs import Job, backfilled, inherited_output, load_job, merged, run_plan
 from tallyford.operators.lookups import mapping_table, member_list
+from tallyford.plans.monitor_steps import Monitors
 from tallyford.plans.sql_stage import sql_stage
 from tallyford.plans.steps import Lookups
 from tallyford.session import fresh_path
@@ -220,3 +222,52 @@ def test_refusals(spark, tmp_path):
 
 def test_merged():
     assert merged({"a": {"b": 1, "c": 2}, "d": 3}, {"a": {"b": 9}, "e": 4}) == {"a": {"b": 9, "c": 2}, "d": 3, "e": 4}
+
+
+def test_backfill_of_one_scan_has_the_rows_of_a_run_per_period(spark, tmp_path):
+    rows = [(f"2024-01-{d:02d}", f"u{d % 5}", d) for d in range(1, 32) if d != 17]
+    spark.createDataFrame(rows, "day string, user string, n long").withColumn("pdate", F.col("day")).write.partitionBy("pdate").parquet(
+        str(tmp_path / "in"))
+    start = F.date_format(times.period_start_day(F.col("day"), "weekly"), "yyyy-MM-dd")
+    count = lambda df, p: df.groupBy(start.alias("week"), "user").agg(F.sum("n").alias("n"))
+    job = jobs.Job(spark, settings={"dataLocation": str(tmp_path)}, transforms={"count": count})
+
+    def run(one_scan, period="weekly", start_day="2024-01-10"):
+        read = {"queryName": "readFromFile", "dateRange": {"startDate": start_day, "endDate": "2024-01-25", "oneScan": one_scan},
+                "parameters": {"input": "in", "format": "parquet", "period": "weekly", "partitionKey": "pdate"}}
+        return [r.frame for r in jobs.run_plan(job, [[read], [{"queryName": "count", "parameters": {"aggregatePeriod": period}}]])]
+
+    many, [one] = run(False), run(True)
+    assert len(many) == 3
+    assert sorted(map(tuple, one.collect())) == sorted(tuple(r) for df in many for r in df.collect())
+    with pytest.raises(ValueError):
+        run(True, "monthly")
+
+
+def test_monitors_are_steps(spark):
+    facts = spark.sql("""SELECT * FROM VALUES ('a', '2024-01-16', 'callDuration', 'bc', 5L, 0D, 0), ('a', '2024-01-16', 'callQuality', 'x', 0L, 2D, 1),
+        ('b', '2024-01-16', 'callDuration', 'bc', 9L, 0D, 0) AS t(orgid, pdate, relation_name, source, legduration, duration, audio_is_good)""")
+    job = jobs.Job(spark, monitors=Monitors(["a"]), run_day="2024-01-17", transforms={"facts": lambda df, p: facts})
+    [rows] = jobs.run_plan(job, [[{"queryName": "facts"}], [{"queryName": "durationMonitor", "parameters": {"rows": True}}]])
+    assert [tuple(r) for r in rows.frame.collect()] == [("a", "2024-01-16", 5)]
+    [sent] = jobs.run_plan(job, [[{"queryName": "facts"}], [{"queryName": "qualityMonitor"}]])
+    message = sent.frame.first()
+    assert (message.component, message.metrics.pipeLine, message.metrics.data.duration) == ("crs", "BCQuality", 2.0)
+    [none] = jobs.run_plan(job, [[{"queryName": "facts"}], [{"queryName": "durationMonitor", "parameters": {"date": "2024-01-15", "rows": True}}]])
+    assert none.frame.count() == 0
+    own = jobs.Job(spark, monitors=Monitors(["a"]), transforms={"durationMonitor": lambda df, p: df})
+    assert own.transforms["durationMonitor"](7, {}) == 7
+
+
+def test_call_volume_model_and_monitor_are_steps(spark):
+    calls = spark.sql("""SELECT org_id, day || 'T10:00:00.000Z' AS locus_start_time FROM VALUES ('A', '2024-01-10', 4), ('A', '2024-01-11', 4),
+        ('A', '2024-01-12', 1), ('B', '2024-01-10', 2) AS t(org_id, day, n) LATERAL VIEW explode(sequence(1, n)) e AS i""")
+    job = jobs.Job(spark, monitors=Monitors([]), transforms={"calls": lambda df, p: calls})
+    averages = {"queryName": "callVolumeModel", "parameters": {"date": "2024-01-11", "orgNum": 5}}
+    jobs.run_plan(job, [[{"queryName": "calls"}], [averages], [{"queryName": "callVolumeView"}]])
+    alert = {"queryName": "callVolumeMonitor", "parameters": {"date": "2024-01-12", "threshold": 0.5, "rows": True}}
+    [found] = jobs.run_plan(job, [[{"queryName": "calls"}], [alert]])
+    assert {(r.org_id, r.currentAvg, r.historyAvg, r.status) for r in found.frame.collect()} == {("A", 1.0, 4.0, "true"), ("B", 0.0, 2.0, "true")}
+    fresh = jobs.Job(spark, monitors=Monitors([]), transforms={"calls": lambda df, p: calls})
+    with pytest.raises(ValueError):
+        jobs.run_plan(fresh, [[{"queryName": "calls"}], [alert]])

@@ -84,14 +84,25 @@ def test_volume_flags(spark):
 
 def test_org_count_is_zero_without_rows(spark):
     rows = aggregates(spark, [("a", "activeUser", "daily", "2019-01-14", 1), ("a", "fileUsed", "daily", "2019-01-11", 1)])
-    got = volume.org_counts(volume.dated(rows), "2019-01-14").where("pdate = '2019-01-14'").collect()
-    assert {r.relation_name: r["count"] for r in got} == {
-        "activeUser": 1, "fileUsed": 0, "callDuration": 0, "callQuality": 0, "messageSent": 0}
+    got = volume.run(rows, ["a"], "2019-01-14", 0.5).where("orgid = 'orgCount'").collect()
+    # Four relations nobody reported on the day: only the one with a history has an average to stand beside.
+    assert [(r.relation_name, r["count"], r.avg) for r in got] == [("fileUsed", 0, 1.0)]
+
+
+def test_volume_reports_of_a_day_stay_rows(spark):
+    """Two reports of one day are two rows, equal ones too, and a missing count is a row without one."""
+    rows = [("a", "activeUser", "daily", "2019-01-11", n) for n in (10, 20, None)]
+    rows += [("a", "activeUser", "daily", "2019-01-14", n) for n in (7, 7, 8, None)]
+    got = volume.run(aggregates(spark, rows), ["a"], "2019-01-14", 0.5).collect()
+    assert sorted((r["count"] is None, r["count"], r.avg) for r in got if r.orgid == "a") == [
+        (False, 7, 15.0), (False, 7, 15.0), (False, 8, 15.0), (True, None, 15.0)]
+    assert [(r["count"], r.avg) for r in got if r.orgid == "orgCount"] == [(4, 3.0)]
+    assert volume.run(aggregates(spark, rows), ["a"], "2019-01-14", 0.5, org="b").where("orgid = 'a'").count() == 0
 
 
 def test_volume_names_and_messages(spark):
     rows = aggregates(spark, [("a", r, p, "2019-01-14", 7) for r in volume.COUNTED for p in ("daily", "weekly")])
-    got = {r.relation_name: r["count"] for r in volume.counts_per_org(volume.dated(rows)).collect()}
+    got = {r.relation_name: r["count"] for r in volume.counts(rows, ["a"]).where("not of_all").collect()}
     names = ["fileUsed", "activeUser", "messageSent", "number_of_total_calls", "number_of_good_calls"]
     assert got == {n + s: 7 for n in names for s in ("", "-weekly")}
     flagged = spark.sql("SELECT 'a' orgid, 'fileUsed' relation_name, '2019-01-14' pdate, 1L count, 2D avg, "

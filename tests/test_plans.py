@@ -18,7 +18,8 @@ def plan(df):
 
 
 STORED = {"table_upsert", "table_delete", "insert_overwrite", "partitioned_files", "backfill", "job_plan",
-          "stream_active_users", "stream_distinct_tuples", "stream_user_rollup", "call_volume_alert"}
+          "stream_active_users", "stream_distinct_tuples", "stream_user_rollup", "call_volume_alert", "stream_files_update",
+          "stream_files_complete", "job_backfill", "job_monitor"}
 REMOTE = {"remote_enrichment"}
 
 
@@ -38,6 +39,12 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan(events)
 
 
+@pytest.mark.parametrize("name", ["volume_monitor", "volume_monitor_day_off", "volume_messages", "job_backfill"])
+def test_one_scan(spark, sf_dir, name):
+    tree = plan(entry.queries()[name](spark, sf_dir)).split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and "Join" not in tree
+
+
 def test_counts_shuffle_partial_results(spark, sf_dir):
     """One shuffle on (period, org, user), one on (period, org) after a partial count."""
     text = plan(entry.queries()["period_active_users_daily"](spark, sf_dir))

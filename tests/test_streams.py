@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import os
+import re
 import uuid
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyford.operators import periods
 from tallyford.session import fresh_path
 from tallyford.sinks.tables import KeyedTable
+from tallyford.sinks.versions import VersionedFiles
 from tallyford.streaming import progress, sinks
 
 SCHEMA = "time_stamp timestamp, orgId string, userId string"
@@ -101,7 +104,7 @@ def test_windows_start_on_sunday(spark):
     assert [(str(r.time_stamp)[:10], r.n) for r in months.collect()] == [("2024-01-01", 200)]
 
 
-def test_file_sink_appends_only(spark):
+def test_file_sink_appends(spark):
     folder, out = fresh_path(spark, "in"), fresh_path(spark, "out")
     add_file(spark, folder, events(10))
     df = stream(spark, folder)
@@ -142,3 +145,68 @@ def test_catalog_table_and_progress(spark):
 def test_await_all(spark):
     sinks.await_all(spark, timeout=1)
     assert not spark.streams.active
+
+
+def files_below(folder):
+    """Paths of all files of a versioned folder, without their random part, and the bytes of its pointers."""
+    root = folder.removeprefix("file:")
+    found = [os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(root) for f in names if not f.endswith(".crc")]
+    return sorted(re.sub(r"part-(\d+)-.*?(\.|$)", r"part-\1\2", f) for f in found)
+
+
+def rollup(df):
+    return periods.cut(df, "daily", ["orgId", "userId"], "time_stamp").groupBy("time_stamp", "orgId").agg(F.count(F.lit(1)).alias("n"))
+
+
+@pytest.mark.parametrize("mode, fmt", [("update", "parquet"), ("complete", "json"), ("update", "csv")])
+def test_stream_files_update_and_complete(spark, mode, fmt):
+    folder, out, root = fresh_path(spark, "in"), fresh_path(spark, "out"), fresh_path(spark, "ck")
+    name, rows, target = f"v{uuid.uuid4().hex}", events(), VersionedFiles(out, fmt, ["time_stamp", "orgId"], "time_stamp")
+
+    def go():
+        query = sinks.to_files(rollup(stream(spark, folder)), out, fmt, name, mode, "time_stamp", None, root, ["time_stamp", "orgId"])
+        query.awaitTermination()
+
+    for i in range(0, 150, 50):
+        add_file(spark, folder, rows[i:i + 50])
+    go()
+    add_file(spark, folder, rows[150:])
+    go()  # a restart goes on
+    want = {tuple(r) for r in rollup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    # The end of the input may make batches without rows; each version is whole.
+    assert {tuple(r) for r in target.read(spark).select("time_stamp", "orgId", "n").collect()} == want
+    totals = [target.read(spark, v).agg(F.sum("n")).first()[0] for v in target.versions(spark)]
+    assert totals == sorted(totals) and totals[0] == 50 and totals[-1] == 200
+    target.expire(spark, 1)
+    assert target.versions(spark) == target.versions(spark)[-1:] and {tuple(r) for r in target.read(spark).select("time_stamp", "orgId", "n").collect()} == want
+
+
+def test_versioned_files_bear_repetition(spark):
+    """A repeated batch, whole or after a crash before its pointer, leaves the same files; only touched partitions are written."""
+    target = VersionedFiles(fresh_path(spark, "out"), "parquet", ["k"], "p")
+
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), "p string, k long, v string")
+
+    a = "a: 1/2"  # not a folder's name as it is
+    target.write(batch((a, 1, "x"), (a, 5, "x"), ("b", 2, "x"), (None, 3, "x")), 0, "update")
+    target.write(batch((a, 1, "y"), (a, 4, "y"), (a, 4, "y")), 1, "update")
+    before, first = files_below(target.path), target.pointer(spark, 1)
+    zero = target.pointer(spark, 0)["parts"]
+    assert {name: folder == zero[name] for name, folder in first["parts"].items()} == {"b": True, "null": True, "a%3A 1%2F2": False}
+    target.write(batch((a, 1, "y"), (a, 4, "y")), 1, "update")
+    assert files_below(target.path) == before
+    os.remove(f"{target.path.removeprefix('file:')}/_versions/{1:012d}.json")
+    assert {r.v for r in target.read(spark).collect()} == {"x"}  # the batch was never there
+    target.write(batch((a, 1, "y"), (a, 4, "y")), 1, "update")
+    assert files_below(target.path) == before and target.pointer(spark, 1) == first
+    want = {(a, 1, "y"), (a, 4, "y"), (a, 5, "x"), ("b", 2, "x"), (None, 3, "x")}
+    assert {tuple(r) for r in target.read(spark).collect()} == want and target.read(spark).count() == 5
+    target.write(batch(("c", 9, "z")), 2, "append")
+    assert {tuple(r) for r in target.read(spark).collect()} == want | {("c", 9, "z")}
+    target.write(batch(("d", 8, "w")), 3, "complete")
+    assert [tuple(r) for r in target.read(spark).collect()] == [("d", 8, "w")]
+    with pytest.raises(ValueError):
+        VersionedFiles(target.path).write(batch(("a", 1, "x")), 9, "update")
+    with pytest.raises(ValueError):
+        VersionedFiles(fresh_path(spark, "none")).read(spark)
