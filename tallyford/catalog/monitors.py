@@ -8,7 +8,7 @@ from ..monitors import call_volume, common, devices, licences, tables, volume
 from ..functions.times import add_days
 from ..plans.jobs import Job, run_plan
 from ..plans.monitor_steps import Monitors
-from ..session import fresh_path, shared_folder
+from ..session import fresh_path
 from .registry import query, table, with_text_time
 
 ORGS = ["AF", "AO", "NF", "NO", "RF"]
@@ -241,9 +241,9 @@ SELECT m.org_id, coalesce(n, 0)::DOUBLE AS "currentAvg", round(avg, 6) AS "histo
 FROM m LEFT JOIN (SELECT * FROM d WHERE dt = DATE '2024-01-24') t ON m.org_id = t.org_id""")
 def call_volume_alert(spark, sf):
     calls = call_records(spark, sf)
-    shared_folder(spark)
-    averages = call_volume.model(calls, "2024-01-25", orgs=12).checkpoint()
-    rows = call_volume.alerts(calls, averages, "2024-01-24", 0.8, orgs=12).drop("eventTimestamp")
+    stored = fresh_path(spark, "model")
+    call_volume.model(calls, "2024-01-25", orgs=12).write.parquet(stored)
+    rows = call_volume.alerts(calls, spark.read.parquet(stored), "2024-01-24", 0.8, orgs=12).drop("eventTimestamp")
     return rows.withColumn("historyAvg", F.round("historyAvg", 6))
 
 

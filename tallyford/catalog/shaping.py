@@ -290,9 +290,9 @@ UNION ALL SELECT l_orderkey, l_linenumber FROM lineitem WHERE strftime(l_shipdat
 def keyed_read(spark, sf):
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
     facts = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", day.alias("pdate"), F.col("l_returnflag").alias("relation_name"))
-    first = tables.select_rows(facts, "1997-03-05", "A, N")
-    second = facts.where(tables.any_key("1997-03-06", "R"))
+        "l_orderkey", "l_linenumber", "l_shipdate", day.alias("pdate"), F.col("l_returnflag").alias("relation_name"))
+    first = tables.select_rows(facts, "1997-03-05", "A, N", time_column="l_shipdate")
+    second = tables.in_days(facts, "l_shipdate", "1997-03-06", "1997-03-07").where(tables.any_key("1997-03-06", "R"))
     return first.unionAll(second).select("l_orderkey", "l_linenumber")
 
 
@@ -301,8 +301,8 @@ SELECT strftime(l_shipdate, '%Y-%m-%d') AS pdate, count(*) AS rows FROM lineitem
 WHERE strftime(l_shipdate, '%Y-%m') = '1997-03' GROUP BY 1""")
 def month_read(spark, sf):
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
-    facts = table(spark, sf, "lineitem").select(day.alias("pdate"), F.substring(day, 1, 7).alias("month"))
-    return tables.select_rows(facts, month="1997-03").groupBy("pdate").agg(F.count(F.lit(1)).alias("rows"))
+    facts = table(spark, sf, "lineitem").select("l_shipdate", day.alias("pdate"), F.substring(day, 1, 7).alias("month"))
+    return tables.select_rows(facts, month="1997-03", time_column="l_shipdate").groupBy("pdate").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("row_count", "SELECT count(*) AS rows FROM lineitem")

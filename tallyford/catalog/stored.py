@@ -9,13 +9,14 @@ from pyspark.sql.types import StructType
 
 from ..functions.times import period_start_day
 from ..operators import periods
+from ..operators.shaping import normalize_time
 from ..plans.backfill import backfill
 from ..plans.jobs import Job, run_plan
 from ..session import fresh_path
 from ..sinks.files import write_files
 from ..sinks.tables import KeyedTable, insert_overwrite
 from ..sinks.versions import VersionedFiles
-from ..sources.files import read_period
+from ..sources.files import read_period, stream_files
 from ..streaming import sinks
 from .aggregates import _ACTIVE, _START, VISITORS_SQL, VISITORS_TWIN
 from .registry import query, table, with_text_time
@@ -140,7 +141,8 @@ def drained(query_):
 
 @query("stream_active_users", _ACTIVE.format(period="daily", start=_START["daily"]))
 def stream_active_users(spark, sf):
-    target = KeyedTable(fresh_path(spark, "active"), _AGGREGATE, ["eventKey", "time_stamp"])
+    # A batch rewrites the periods it touches.
+    target = KeyedTable(fresh_path(spark, "active"), _AGGREGATE, ["eventKey", "time_stamp"], ["time_stamp"])
     facts = event_stream(spark, sf).selectExpr("ts AS time_stamp", "event_type AS orgId", "user_id AS userId")
     counts = periods.distinct_count(facts, "daily", ["orgId"], "userId", "userCountByOrg", "activeUser")
     name = f"active_{uuid.uuid4().hex}"
@@ -213,3 +215,22 @@ def job_backfill(spark, sf):
             "parameters": {"input": "events", "format": "parquet", "period": "weekly", "partitionKey": "pdate"}}
     [made] = run_plan(job, [[read], [{"queryName": "weeks", "parameters": {"aggregatePeriod": "weekly"}}]])
     return made.frame
+
+
+@query("stream_chain", _ACTIVE.format(period="weekly", start=_START["weekly"]))
+def stream_chain(spark, sf):
+    """Two streams, one behind the other: facts become messages of a topic, for which a folder stands in, and the second stream counts them.
+
+    Each has a checkpoint of its own. Both are started again where they left off, which changes nothing.
+    """
+    root, name = fresh_path(spark, "chain"), uuid.uuid4().hex
+    target = KeyedTable(f"{root}/counts", _AGGREGATE, ["eventKey", "time_stamp"], ["time_stamp"])
+    facts = event_stream(spark, sf).selectExpr(
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\") AS time_stamp", "event_type AS orgId", "CAST(user_id AS STRING) AS userId")
+    schema = StructType.fromDDL("time_stamp STRING, orgId STRING, userId STRING")
+    for _ in range(2):
+        drained(sinks.to_files(facts, f"{root}/facts", "json", f"facts_{name}", trigger=None, checkpoint_root=f"{root}/checkpoints"))
+        rows = normalize_time(stream_files(spark, root, "facts", "json", schema), "time_stamp")
+        counts = periods.distinct_count(rows, "weekly", ["orgId"], "userId", "userCountByOrg", "activeUser")
+        drained(sinks.to_keyed_table(counts, target, f"counts_{name}", trigger=None, checkpoint_root=f"{root}/checkpoints"))
+    return with_text_time(target.read(spark))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.times import add_days
+
 WIDE_COLUMN_FORMAT = "org.apache.spark.sql.cassandra"
 DOCUMENT_FORMAT = "org.elasticsearch.spark.sql"
 
@@ -52,20 +54,37 @@ def any_key(day: str, relations: str | Sequence[str]) -> Column:
     return functools.reduce(operator.or_, keys)
 
 
+def in_days(df: DataFrame, time_column: str, first: str, until: str) -> DataFrame:
+    """Rows of a time from one day up to before another: a range that a scan skips data by, unlike a day worked out from the time."""
+    since, end = (F.lit(f"{day} 00:00:00").cast(df.schema[time_column].dataType) for day in (first, until))
+    return df.where((F.col(time_column) >= since) & (F.col(time_column) < end))
+
+
+def month_after(month: str) -> str:
+    year, number = map(int, month.split("-"))
+    return f"{year + number // 12:04d}-{number % 12 + 1:02d}"
+
+
 def select_rows(
     df: DataFrame, day: str | None = None, relations: str | Sequence[str] | None = None, month: str | None = None,
-    month_partition: bool = False, whole_month: bool = False, day_column: str = "pdate",
+    month_partition: bool = False, whole_month: bool = False, day_column: str = "pdate", time_column: str | None = None,
 ) -> DataFrame:
     """Rows by month, day and relation, as predicates on the partition columns.
 
     `month_partition` selects month and day without relations; `whole_month` the relations of all
     days. Several relations are one scan. A table keyed by month and time takes
-    `day_column='time_stamp'`.
+    `day_column='time_stamp'`. Where day and month are worked out from a time the frame still has, `time_column` names it, and
+    the day or month is also asked for as a range of that time.
     """
     if month:
         df = df.where(F.col("month") == month)
+        if time_column:
+            df = in_days(df, time_column, f"{month}-01", f"{month_after(month)}-01")
     if day is None:
         return df
+    if time_column:
+        df = (in_days(df, time_column, f"{day[:7]}-01", f"{month_after(day[:7])}-01") if whole_month
+              else in_days(df, time_column, day, add_days(day, 1)))
     if month_partition:
         return df.where((F.col("month") == day[:7]) & (F.col("pdate") == day))
     if relations is None:

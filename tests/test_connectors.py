@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tallyford.sources import jdbc, kafka, remote
+from tallyford.sources import jdbc, kafka, remote, tables
 
 SETTINGS = {"broker": "b:1", "topic": "conv, locus", "env": "e", "topicPrefix": "_p_", "topicPostfix": "_x",
             "maxOffsetsPerTrigger": 5, "retries": 1, "lingerMs": 3, "fetchOffsetNumRetries": 9, "failOnDataLoss": False}
@@ -129,3 +129,16 @@ def test_document_write_skips_empty_frames(spark):
 def test_enrich_refuses_other_replies(spark):
     with pytest.raises(Exception, match="no JSON array of rows"):
         remote.enrich_in_batches(spark.range(3), lambda body: "busy", "id BIGINT").collect()
+
+
+def test_days_of_a_time_column(spark):
+    df = spark.sql("SELECT timestamp(d) AS t, substring(d, 1, 10) AS pdate, substring(d, 1, 7) AS month, 'r' AS relation_name "
+                   "FROM VALUES ('2023-12-31 23:59:59'), ('2024-01-01 00:00:00'), ('2023-12-01 00:00:00'), ('2023-11-30 23:00:00') AS v(d)")
+
+    def got(**more):
+        return sorted(r.pdate for r in tables.select_rows(df, time_column="t", **more).collect())
+
+    assert got(day="2023-12-31", relations="r") == ["2023-12-31"]
+    assert got(month="2023-12") == ["2023-12-01", "2023-12-31"]
+    assert got(day="2023-12-05", relations="r", whole_month=True) == ["2023-12-01", "2023-12-31"]
+    assert got(day="2024-01-01", month_partition=True) == ["2024-01-01"]

@@ -19,7 +19,7 @@ def plan(df):
 
 STORED = {"table_upsert", "table_delete", "insert_overwrite", "partitioned_files", "backfill", "job_plan",
           "stream_active_users", "stream_distinct_tuples", "stream_user_rollup", "call_volume_alert", "stream_files_update",
-          "stream_files_complete", "job_backfill", "job_monitor"}
+          "stream_files_complete", "job_backfill", "job_monitor", "stream_chain"}
 REMOTE = {"remote_enrichment"}
 
 
@@ -142,7 +142,8 @@ def test_last_write_combines_before_the_shuffle(spark):
 @pytest.mark.parametrize("name, time, scans", [
     ("license_monitor", "ts", 1), ("usage_anomaly", "l_shipdate", 1), ("usage_normal", "l_shipdate", 1),
     ("table_monitor", "l_shipdate", 1), ("daily_sums", "l_shipdate", 1), ("call_volume_model", "ts", 1),
-    ("aggregate_monitor", "l_shipdate", 1)])
+    ("aggregate_monitor", "l_shipdate", 1), ("volume_monitor", "l_shipdate", 1), ("keyed_read", "l_shipdate", 2),
+    ("month_read", "l_shipdate", 1)])
 def test_monitors_read_their_days_only(spark, sf_dir, name, time, scans):
     """The range of days reaches each scan, and a monitor reads its table once."""
     plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

@@ -11,6 +11,7 @@ from tallyford.operators import periods
 from tallyford.session import fresh_path
 from tallyford.sinks.tables import KeyedTable
 from tallyford.sinks.versions import VersionedFiles
+from tallyford.sources import files as files_source
 from tallyford.streaming import progress, sinks
 
 SCHEMA = "time_stamp timestamp, orgId string, userId string"
@@ -210,3 +211,44 @@ def test_versioned_files_bear_repetition(spark):
         VersionedFiles(target.path).write(batch(("a", 1, "x")), 9, "update")
     with pytest.raises(ValueError):
         VersionedFiles(fresh_path(spark, "none")).read(spark)
+
+
+def test_batches_rewrite_the_periods_they_touch(spark):
+    folder, root, name = fresh_path(spark, "in"), fresh_path(spark, "ck"), f"s{uuid.uuid4().hex}"
+    table = KeyedTable(fresh_path(spark, "out"), AGGREGATE, ["eventKey", "time_stamp"], ["time_stamp"])
+
+    def files():
+        top = table.path.removeprefix("file:")
+        return {day: sorted(f for f in os.listdir(f"{top}/{day}") if f.startswith("part")) for day in os.listdir(top) if "=" in day}
+
+    add_file(spark, folder, [(at(1), "o", "a"), (at(2), "o", "a")])
+    run(spark, counts(stream(spark, folder)), table, name, root)
+    before = files()
+    add_file(spark, folder, [(at(2), "o", "b"), (at(3), "o", "a")])
+    run(spark, counts(stream(spark, folder)), table, name, root)
+    after = files()
+    assert [before[day] == after[day] for day in sorted(before)] == [True, False] and len(after) == 3
+    assert [n for _, n in plain(table.read(spark))] == [1, 2, 1]
+
+
+def test_a_chain_of_streams_goes_on_after_a_restart(spark):
+    """Messages of the first stream reach the second, each from where its own checkpoint stands."""
+    folder, root, name = fresh_path(spark, "in"), fresh_path(spark, "chain"), uuid.uuid4().hex
+    table = KeyedTable(f"{root}/counts", AGGREGATE, ["eventKey", "time_stamp"], ["time_stamp"])
+
+    def first():
+        sinks.to_files(stream(spark, folder), f"{root}/facts", "json", f"a{name}", trigger=None, checkpoint_root=root).awaitTermination()
+
+    def second():
+        rows = files_source.stream_files(spark, root, "facts", "json", spark.read.parquet(folder).schema)
+        run(spark, counts(rows), table, f"b{name}", root)
+
+    add_file(spark, folder, [(at(1), "o", "a"), (at(1), "o", "b")])
+    first()
+    add_file(spark, folder, [(at(1), "o", "b"), (at(2), "o", "a")])
+    second()
+    assert [n for _, n in plain(table.read(spark))] == [2]
+    first()
+    second()
+    second()
+    assert [n for _, n in plain(table.read(spark))] == [2, 1]
