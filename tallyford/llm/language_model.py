@@ -591,13 +591,16 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
             code_logs[r.code] = np.log10(r.n + 0.5 * (r.v + 1))
 
         by_page = gathered.where(F.col("part") == PAGE).select("key", "codes", "times").repartition("key").sortWithinPartitions("key")
-        pages = spark.sparkContext.broadcast(Pages(by_page.mapInArrow(_merged, lists).toArrow()))
+        found = Pages(by_page.mapInArrow(_merged, lists).toArrow())
+        # Two copies: what a worker unpacks to learn goes with the first, before it unpacks the second to score.
+        learning, pages = spark.sparkContext.broadcast(found), spark.sparkContext.broadcast(found)
         bucket = F.shiftright("key", 48 - bits)
         entries = gathered.where(F.col("part") == AFTER).select("key", "codes", "times", bucket.alias("bucket"))
         learned = work.keep(
             entries.repartition("bucket").sortWithinPartitions("key").drop("bucket")
-            .mapInArrow(_learn(pages, bits), "key long, c long, codes array<int>, times array<int>, part long, slot long, value long, weight long"), "contexts", "zstd")
+            .mapInArrow(_learn(learning, bits), "key long, c long, codes array<int>, times array<int>, part long, slot long, value long, weight long"), "contexts", "zstd")
         work.drop(gathered)
+        learning.destroy()
         weights = Mixer().weights
         refined = _squash((np.tile(np.arange(STEPS), BITS) - STEPS // 2) / 2)
         for r in learned.where("key is null").groupBy("part", "slot").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight")).collect():
