@@ -142,11 +142,17 @@ def test_last_write_combines_before_the_shuffle(spark):
 @pytest.mark.parametrize("name, time, scans", [
     ("license_monitor", "ts", 1), ("usage_anomaly", "l_shipdate", 1), ("usage_normal", "l_shipdate", 1),
     ("table_monitor", "l_shipdate", 1), ("daily_sums", "l_shipdate", 1), ("call_volume_model", "ts", 1),
-    ("aggregate_monitor", "l_shipdate", 1), ("volume_monitor", "l_shipdate", 1), ("keyed_read", "l_shipdate", 2),
-    ("month_read", "l_shipdate", 1)])
+    ("aggregate_monitor", "l_shipdate", 1), ("volume_monitor", "l_shipdate", 1)])
 def test_monitors_read_their_days_only(spark, sf_dir, name, time, scans):
     """The range of days reaches each scan, and a monitor reads its table once."""
     plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     filters = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(filters) == scans
     assert all(f"GreaterThanOrEqual({time}," in line and f"LessThan({time}," in line or f"EqualTo({time}," in line for line in filters)
+
+
+@pytest.mark.parametrize("name, scans", [("keyed_read", 2), ("month_read", 1)])
+def test_days_reach_the_scan_as_a_range(spark, sf_dir, name, scans):
+    pushed = [line for line in plan(entry.queries()[name](spark, sf_dir)).splitlines() if line.startswith("PushedFilters")]
+    assert len(pushed) == scans
+    assert all("GreaterThanOrEqual(l_shipdate," in line and "LessThan(l_shipdate," in line for line in pushed)
