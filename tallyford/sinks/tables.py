@@ -9,14 +9,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..operators.keyed import delete_by_key, last_write, merge_by_key
 from ..operators.shaping import lower_names, table_rows
 from ..session import fresh_path, leaf_folders, path_exists, remove_path, replace_path
 
 _TURNS: dict[str, threading.Lock] = {}
-TOMBSTONE = "_deleted"
 
 
 def _turn(path: str) -> threading.Lock:
@@ -38,8 +37,8 @@ class KeyedTable:
     values included, are the partitions to read and rewrite, however many there are. A partition value
     cannot be an empty text, which a folder name cannot tell from null.
 
-    A partition that loses all its rows keeps one hidden tombstone row, since an overwrite by
-    partition cannot leave a partition empty.
+    An overwrite by partition leaves a partition without new rows as it was, so a delete then removes the
+    folders of the partitions that it emptied. A delete that is cut short in between is repeated.
     """
 
     path: str
@@ -59,9 +58,7 @@ class KeyedTable:
         path = next((p for p in (self.path, self._old_path) if path_exists(spark, p)), None)
         if path is None:
             return spark.createDataFrame([], self.schema)
-        stored = StructType([*self.schema.fields, StructField(TOMBSTONE, BooleanType())])
-        rows = spark.read.schema(stored).format(self.fmt).load(path)
-        return rows.where(F.col(TOMBSTONE).isNull()).select(self.schema.fieldNames())
+        return spark.read.schema(self.schema).format(self.fmt).load(path).select(self.schema.fieldNames())
 
     def upsert(self, df: DataFrame, order: Column | None = None) -> None:
         """Merge rows by key and column; where a key repeats, the highest order is the last write."""
@@ -87,10 +84,13 @@ class KeyedTable:
             if target is None:
                 return
             kept = delete_by_key(target, doomed, self.keys)
-            if self.partition_by:
-                marks = target.select(*self.partition_by).distinct().withColumn(TOMBSTONE, F.lit(True))
-                kept = kept.unionByName(marks, allowMissingColumns=True)
-            self._replace(kept)
+            if not self.partition_by:
+                return self._replace(kept)
+            filled = kept.select(*self.partition_by).distinct().withColumn("_filled", F.lit(True))
+            with self._staged(filled, "filled") as (_, left):
+                self._replace(kept)
+                for name in set(folders) - set(left):
+                    remove_path(spark, f"{self.path.rstrip('/')}/{name}")
 
     @property
     def _old_path(self) -> str:
@@ -127,9 +127,8 @@ class KeyedTable:
         paths = [f"{self.path.rstrip('/')}/{name}" for name in folders if name in there]
         if not paths:
             return None
-        stored = StructType([*self.schema.fields, StructField(TOMBSTONE, BooleanType())])
-        rows = spark.read.schema(stored).format(self.fmt).option("basePath", self.path).load(paths)
-        return rows.where(F.col(TOMBSTONE).isNull()).select(self.schema.fieldNames())
+        rows = spark.read.schema(self.schema).format(self.fmt).option("basePath", self.path).load(paths)
+        return rows.select(self.schema.fieldNames())
 
     def _replace(self, rows: DataFrame) -> None:
         if not self.partition_by:

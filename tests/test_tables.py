@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyford.operators import keyed
-from tallyford.session import fresh_path
+from tallyford.session import fresh_path, leaf_folders
 from tallyford.sinks.files import write_files, write_summary
 from tallyford.sinks.tables import KeyedTable, create_bucketed_table, insert_overwrite
 from tallyford.sources import files, tables
@@ -62,8 +62,12 @@ def test_delete(spark, partitioned):
     doomed = spark.createDataFrame([("d1", 1), ("d2", 2), ("d9", 9)], "pdate string, k int")
     table.delete(doomed)
     assert rows(table.read(spark)) == [("d2", 1, 1, "x")]
+    if partitioned:  # nothing is left of the emptied day
+        assert leaf_folders(spark, table.path, 1) == ["pdate=d2"]
     table.upsert(spark.createDataFrame([("d1", 7, 7, "w")], SCHEMA))
     assert rows(table.read(spark)) == [("d1", 7, 7, "w"), ("d2", 1, 1, "x")]
+    table.delete(table.read(spark))
+    assert rows(table.read(spark)) == []
 
 
 def test_null_keys_match_themselves(spark):
@@ -124,6 +128,9 @@ def test_files(spark, tmp_path):
     assert files.read_files(spark, root, "in, gone", "parquet").count() == 3
     write_summary(df, f"{root}/summary")
     assert len(list((tmp_path / "summary").glob("part-*.csv"))) == 1
+    with pytest.raises(ValueError):
+        write_summary(df, f"{root}/summary", max_rows=2)
+    assert spark.read.csv(f"{root}/summary").count() == 3 and not (tmp_path / "summary.new").exists()
 
 
 def test_json_files_plain_and_wrapped(spark, tmp_path):
