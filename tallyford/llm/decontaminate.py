@@ -8,11 +8,14 @@ document is contaminated where `window` words in a row (the whole item, if that
 of their places equal. The same passage hit by several seeds is one row.
 
 In 13 words in a row, any two may be substituted: some placement of a mask avoids both (a test tries all pairs).
+Shorter items have lighter masks of their own, so that every substitution which the check allows them (one in 6 to 9
+words, two in 10 to 12) is found as well; documents are searched by those only where there are such items.
 Hits are found in all documents; the Bloom filter only saves shuffle, a full
 filter lets more seeds through and the result stays the same. Seeds are dealt by hash and place, so a common
 passage's hits spread over tasks; a document's hits with one item are reduced before they meet.
 
-Nulls and empty texts, on either side, are never contaminated. Items with fewer than MIN_WORDS words are not
+Whole texts are searched, however long: words go through in slices, and a hit carries the words around it only.
+Nulls and empty texts, on either side, are never contaminated; without documents or items there are no rows. Items with fewer than MIN_WORDS words are not
 searched for, as they say too little. Equal rows are separate; ids may repeat. Other columns are not read.
 """
 
@@ -33,6 +36,8 @@ from .work import Work, result
 
 # Places that count. The last two hit 13 words with any two substitutions, the first also short items.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
+# For items under 13 words. The first five leave out one word of any six, the last two neighbours in the middle of ten.
+LIGHT_MASKS = ((0, 1, 2, 3, 4), (0, 2, 3, 4, 5), (0, 1, 3, 4, 5), (0, 1, 2, 4, 5), (0, 1, 2, 3, 5), (0, 1, 2, 3, 6))
 WINDOW = 13
 SIMILAR = 0.8
 MIN_WORDS = 6
@@ -80,7 +85,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(texts.n):
             own = words[texts.first[i]:texts.first[i + 1]]
             if len(own) >= MIN_WORDS:
-                for mask in MASKS:
+                for mask in MASKS + (LIGHT_MASKS if len(own) < WINDOW else ()):
                     seeds, at = _seeds(own, np.array([0, len(own)]), mask)
                     rows.append((np.full(len(at), i), seeds, at))
         if rows:
@@ -94,14 +99,14 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["seed", "item", "item_before", "item_words", "item_length"])
 
 
-def _hits(bloom):
+def _hits(bloom, masks: tuple[tuple[int, ...], ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bloom.value
         for batch in slices(batches):
             texts = Texts(batch.column("text"))
             words = texts.words()
             seeds, places = [], []
-            for mask in MASKS:
+            for mask in masks:
                 found, at = _seeds(words, texts.first, mask)
                 for shift in SHIFTS:
                     keep = bits[_bit(found, shift)]
@@ -181,7 +186,9 @@ def contaminated(
         filled = np.zeros(1 << (BLOOM_BITS - 6), np.uint64)
         filled[slots["slot"].to_numpy(np.int64)] = slots["bits"].to_numpy(np.int64).view(np.uint64)
         bloom = spark.sparkContext.broadcast(np.unpackbits(filled.view(np.uint8), bitorder="little").view(bool))
-        hits = work.keep(texts.mapInArrow(_hits(bloom), f"seed long, doc {doc_type}, at long, before int, words array<int>"), "hits")
+        short = not seeds.where(F.col("item_length") < WINDOW).isEmpty()
+        masks = MASKS + (LIGHT_MASKS if short else ())
+        hits = work.keep(texts.mapInArrow(_hits(bloom, masks), f"seed long, doc {doc_type}, at long, before int, words array<int>"), "hits")
         found = hits.join(seeds, "seed").mapInArrow(_verified(window, similar), f"doc {doc_type}, item {item_type}, place long, equal int, wide int")
         best = F.max(F.struct("equal", "wide"))
         out = result(found.groupBy("doc", "item").agg(

@@ -245,6 +245,32 @@ def test_masks_hit_two_substitutions():
         assert any(a - o not in m and b - o not in m for m in decontaminate.MASKS for o in range(13 - m[-1]))
 
 
+def test_decontaminate_finds_all_that_the_check_accepts(spark):
+    """Items of 6 to 14 words with every one, two and three substitutions, against a comparison at every place."""
+    items = {n: [f"i{n}w{j}" for j in range(n)] for n in range(6, 15)}
+    docs = {}
+    for n, words in items.items():
+        for k in (1, 2, 3):
+            for gone in itertools.combinations(range(n), k):
+                kept = ["x" if j in gone else w for j, w in enumerate(words)]
+                docs[len(docs)] = ["before", *kept, "after", "that"] if len(docs) % 2 else kept
+    got = decontaminate.contaminated(
+        spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string"),
+        spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string"))
+
+    def equal_words(doc, item):
+        size, best = min(len(item), 13), 0
+        for a in range(len(doc) - size + 1):
+            for b in range(len(item) - size + 1):
+                best = max(best, sum(x == y for x, y in zip(doc[a:a + size], item[b:b + size])))
+        return best if best >= 0.8 * size else None
+
+    want = {(d, n, equal_words(words, item)) for d, words in docs.items() for n, item in items.items()}
+    want = {row for row in want if row[2] is not None}
+    assert {(r.doc_id, r.item_id, r.equal_words) for r in got.collect()} == want
+    assert {n for _, n, _ in want} == set(items) and len(want) < len(docs)
+
+
 def test_decontaminate(spark, odd):
     item = prose(30)
     changed = item.split()
