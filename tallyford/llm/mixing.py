@@ -6,12 +6,13 @@ source these are summed up in one order, a random offset per source is added, an
 each whole number that its part of the sum crosses. So a document is taken the expected number of times,
 rounded down or up, and the words taken come near the target, because the order runs from short to long texts.
 
-The sum over a source is not one task's work: the order is (class of size, salt, size, id), rows are counted by
-(source, class, salt), and only these counts are summed up ahead, first over classes, then over the 4,096 salts
-of a class. Rows are numbered within one (source, class, salt).
+The sum over a source is not one task's work: the order is (class of size, salt, size, id, hash of the text), rows are
+counted by (source, class, salt), and only these counts, kept once, are summed up ahead, first over classes, then over
+the 4,096 salts of a class. Rows are numbered within one (source, class, salt). The salt comes from the id, without one
+from the text. Texts are read twice: for the counts and for the numbers.
 
 A null text has size 0, a null source is a source of its own and comes last. Documents of size 0 are numbered
-like others and take no words. Equal rows are taken separately. All columns of the input are kept whatever
+like others and take no words; texts of any length count whole. Equal rows are taken separately. All columns of the input are kept whatever
 their names. An empty table gives an empty mix. The offset comes from the source's name, so reruns agree.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .registry import query, table
+from .work import result
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -32,10 +34,11 @@ def _hex(text: Column, begin: int, digits: int) -> Column:
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep: list[str]) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
+    tie = F.coalesce(_hex(F.col(text_col), 1, 8), F.lit(0).cast("long"))
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-        size.alias("size"), F.coalesce(_hex(F.col(id_col).cast("string"), 1, 3), F.lit(0)).alias("salt"),
-    ).withColumn("step", F.floor(F.sqrt("size")))
+        size.alias("size"), tie.alias("tie"),
+    ).withColumns({"step": F.floor(F.sqrt("size")), "salt": F.coalesce(_hex(F.col("id").cast("string"), 1, 3), F.col("tie") % 4096)})
 
 
 def targets(sizes: DataFrame, share: float, most: float, weights: tuple[int, ...]) -> DataFrame:
@@ -67,7 +70,7 @@ def copies(
 ) -> DataFrame:
     """`(row, size, source_size, target, copies)`: `row` has the columns `keep` of the document, all if not given."""
     sized = _sized(docs, id_col, text_col, source_col, docs.columns if keep is None else keep)
-    counts = (
+    counts = result(
         sized.groupBy("source", "step", "salt").agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     per_step = counts.groupBy("source", "step").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     rates = targets(per_step.groupBy("source").agg(F.sum("words").alias("source_size")), share, most, weights)
@@ -87,7 +90,7 @@ def copies(
         .join(keyed(rates), ["missing", "source"])
         .withColumn("offset", _hex(F.concat(F.lit("mix:"), F.col("missing").cast("string"), F.lit(":"), "source"), 1, 8) / F.lit(4294967296.0)))
     numbered = keyed(sized).withColumn("number", F.row_number().over(
-        Window.partitionBy("missing", "source", "step", "salt").orderBy("size", "id")))
+        Window.partitionBy("missing", "source", "step", "salt").orderBy("size", "id", "tie")))
     place = F.col("earlier") + F.col("within") + F.col("number")
     crossed = F.floor(place * F.col("rate") + F.col("offset")) - F.floor((place - 1) * F.col("rate") + F.col("offset"))
     return numbered.join(plan, ["missing", "source", "step", "salt"]).select(
@@ -103,7 +106,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 SQL = """
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 3))::BIGINT, 0) AS salt FROM documents),
+         coalesce(('0x' || substr(md5(text), 1, 8))::BIGINT, 0) AS tie,
+         coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 3))::BIGINT, tie % 4096) AS salt FROM documents),
 sums AS (SELECT source, sum(size)::DOUBLE AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM sums),
 weighed AS (SELECT *, [5, 2, 1][((rank - 1) % 3 + 1)::INT] AS weight, source_size * 2.0::DOUBLE AS cap,
@@ -115,7 +119,7 @@ rates AS (SELECT source, source_size, CASE WHEN open THEN weight * first_level E
   SELECT *, (SELECT level FROM opened WHERE open ORDER BY cap / weight, rank LIMIT 1) AS first_level FROM opened)),
 placed AS (
   SELECT doc_id, size, r.source_size, r.target, CASE WHEN r.source_size > 0 THEN r.target / r.source_size ELSE 0.0 END AS rate,
-         row_number() OVER (PARTITION BY s.source ORDER BY floor(sqrt(size)), salt, size, doc_id) AS place,
+         row_number() OVER (PARTITION BY s.source ORDER BY floor(sqrt(size)), salt, size, doc_id, tie) AS place,
          ('0x' || substr(md5('mix:' || (s.source IS NULL)::VARCHAR || ':' || coalesce(s.source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
   FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, source_size::BIGINT AS source_size, target,
