@@ -276,10 +276,11 @@ def sequence(folder: str, manifest: DataFrame, name: str, number: int) -> tuple[
 def documents(spark: SparkSession, folder: str, manifest: DataFrame, id_type: str = "long") -> DataFrame:
     """Per document, from the files: `doc_id`, `start` (ids of all documents before it), `n_tokens`, `ids_crc32`.
 
-    Shards are numbered, so only their counts are summed ahead: one row for each task that wrote.
+    Shards are numbered, so only their counts are summed ahead: two numbers for each task that wrote. The places of
+    the batches do not pass the window.
     """
-    before = manifest.withColumn("base", F.coalesce(
-        F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = manifest.select("shard", F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0)).alias("base"))
     arrow_id = pa.int64() if id_type in ("long", "bigint") else pa.string()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +306,7 @@ def documents(spark: SparkSession, folder: str, manifest: DataFrame, id_type: st
             ids.close()
 
     # One row is a whole file: as many tasks as files, which merging small partitions must not undo.
-    dealt = before.repartition(max(1, manifest.count()), F.col("shard")).select("name", "places", "base")
+    dealt = manifest.join(before, "shard").repartition(max(1, manifest.count()), F.col("shard")).select("name", "places", "base")
     return dealt.mapInArrow(run, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
 
 
