@@ -11,7 +11,7 @@ last. Readers open the files that the manifest lists and no others, so what fail
 
 Which page a revisit refers to is decided on digests alone, with partial aggregation, and comes to the writer as
 short rows sorted in before the page, so the payloads are shuffled once and a hot payload gathers nowhere. A null
-payload is empty; a null id comes first, is written as `null` and read back as null. Rows that repeat the largest id
+payload is empty; rows with a null id come first, spread by payload and URL; a null id is written as `null` and read back as null. Rows that repeat the largest id
 and its payload are all responses. An empty table gives an empty manifest. Other columns are not read.
 """
 
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .registry import query, table
@@ -34,7 +34,8 @@ from .work import Work, open_folder, result
 
 ROLL_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
-
+# What rows without an id are dealt and ordered by: digest of the payload, hash of the URL.
+NAMELESS = ["nameless_sha1", "nameless_url"]
 
 
 def digest(payload: bytes) -> str:
@@ -107,10 +108,15 @@ def write(
     spark = pages.sparkSession
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    digests = rows.select("id", F.sha1("payload").alias("sha1"))
+
+    def dealt_by(sha1: Column) -> list[Column]:
+        return [F.when(F.col("id").isNull(), value).alias(name) for name, value in zip(NAMELESS, (sha1, F.xxhash64("url")))]
+
+    digests = rows.select("id", "url", F.sha1("payload").alias("sha1"))
     copied = digests.groupBy("sha1").agg(F.max("id").alias("top"), F.count("*").alias("n")).where("n > 1").select("sha1", "top")
     revisits = digests.join(copied, "sha1").where("id is null or id < top").select(
-        "id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "sha1", F.col("top").cast("string").alias("top"))
+        "id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "sha1", F.col("top").cast("string").alias("top"),
+        *dealt_by(F.col("sha1")))
     kinds = "name string, records long, raw_bytes long, bytes long, first_id string, last_id string, sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +127,7 @@ def write(
                 files = _Files(folder, task.partitionId(), str(task.taskAttemptId()), roll_bytes)
             for row in zip(*[batch.column(c).to_pylist() for c in ("id", "url", "payload", "sha1", "top")]):
                 page, url, body, sha1, top = row
-                if page != known_id:
+                if page != known_id or page is None and body is None:
                     known_id, known = page, {}
                 if body is None:
                     known[sha1] = top
@@ -134,9 +140,10 @@ def write(
         done = [d for d in done if d]
         yield pa.RecordBatch.from_pylist(done, pa.schema([(n, pa.int64() if t == "long" else pa.string()) for n, t in (x.split() for x in kinds.split(", "))]))
 
-    both = rows.withColumns({"sha1": F.lit(None).cast("string"), "top": F.lit(None).cast("string")}).unionByName(revisits)
-    order = ["id", F.col("payload").isNotNull(), F.xxhash64("payload"), "url"]
-    manifest = both.repartitionByRange("id").sortWithinPartitions(*order).mapInArrow(run, kinds)
+    both = rows.select("*", F.lit(None).cast("string").alias("sha1"), F.lit(None).cast("string").alias("top"), *dealt_by(
+        F.sha1("payload"))).unionByName(revisits)
+    order = ["id", *NAMELESS, F.col("payload").isNotNull(), F.xxhash64("payload"), "url"]
+    manifest = both.repartitionByRange("id", *NAMELESS).sortWithinPartitions(*order).drop(*NAMELESS).mapInArrow(run, kinds)
     path = f"{folder}/manifest"
     manifest.write.parquet(path)
     return spark.read.schema(manifest.schema).parquet(path)

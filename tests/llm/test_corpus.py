@@ -10,6 +10,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -240,6 +241,22 @@ def test_warc(spark):
     assert sorted([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.payload) for r in got], key=key) == sorted(want, key=key)
 
 
+def test_warc_pages_without_ids(spark):
+    """Nameless copies refer to the page that has an id, copies among themselves are responses; they fill several tasks."""
+    ship(spark)
+    rows = [(5, "u", "known")] + [(None, f"u{i % 7}", "known") for i in range(60)] + [(None, f"v{i}", "alone") for i in range(60)] + [(None, None, None)] * 3
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    with Work(spark, "test") as work:
+        # Small partitions are not put together.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        folder = work.path("warc")
+        manifest = warc.write(pages, folder, roll_bytes=1 << 20)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        got = collections.Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read(spark, folder, manifest).collect())
+        assert manifest.count() > 1
+    assert got == {("5", 5, "response", None): 1, (None, 5, "revisit", "5"): 60, (None, 5, "response", None): 60, (None, 0, "response", None): 3}
+
+
 def test_masks_hit_two_substitutions():
     for a, b in itertools.combinations(range(13), 2):
         assert any(a - o not in m and b - o not in m for m in decontaminate.MASKS for o in range(13 - m[-1]))
@@ -456,6 +473,48 @@ def test_classifiers(spark):
     assert np.mean([kept[i] == bool(x.quality) for i, x in labels.items()]) > 0.95
     toxic = {r.doc_id: r.toxic for r in QUERIES["op8_toxicity"](spark, DATA).collect()}
     assert np.mean([not toxic[i] for i, x in labels.items() if not x.toxic]) > 0.95
+    assert np.mean([toxic[i] for i, x in labels.items() if x.toxic]) > 0.7
+
+
+def marked(rng, n, bad):
+    """Texts of which some hold a word of three groups, and which those are."""
+    groups = [["grob", "grobian"], ["fies", "fiesling"], ["mies", "miesepeter"]]
+    texts = []
+    for i in range(n):
+        own = list(rng.choice(NOUNS, 25))
+        if bad[i]:
+            own[7:7] = groups[i % 3]
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_toxicity_on_held_out_labels(spark):
+    ship(spark)
+    rng = np.random.default_rng(8)
+    bad = rng.random(3000) < 0.2
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(marked(rng, 3000, bad))], "doc_id long, text string, p_toxic string").repartition(3)
+    labels = spark.createDataFrame([(i, int(b)) for i, b in enumerate(bad.tolist()) if i % 2], "doc_id long, toxic int")
+    found = toxicity.scored(docs, labels)
+    assert found.columns == ["doc_id", "p_group_1", "p_group_2", "p_group_3", "p_toxic", "toxic"]
+    got = {r.doc_id: r for r in found.collect()}
+    held = [i for i in range(3000) if not i % 2]
+    assert np.mean([got[i].toxic for i in held if bad[i]]) > 0.95 and np.mean([not got[i].toxic for i in held if not bad[i]]) > 0.99
+    # Each group of words is a category.
+    top = {(i % 3, int(np.argmax(got[i][1:4]))) for i in held if bad[i]}
+    assert len(top) == 3 and {a for a, _ in top} == {b for _, b in top} == {0, 1, 2}
+    # The same rows in one task, and labels of a repeated id, give the same model.
+    again = toxicity.scored(docs.coalesce(1), labels.unionByName(labels.withColumn("toxic", F.lit(0))))
+    assert {r.doc_id: tuple(r) for r in again.collect()} == {i: tuple(r) for i, r in got.items()}
+
+
+def test_out_of_fold_predictions_have_not_seen_their_labels():
+    rng = np.random.default_rng(9)
+    docs = [np.unique(rng.integers(0, 3000, 40)).astype(np.uint64) for _ in range(400)]
+    y = rng.integers(0, 2, (400, 1)).astype(float)
+    chain = toxicity.Chain(docs, y, np.arange(400) % 4)
+    # Words chosen on all labels would tell random labels apart (0.6 and more).
+    assert abs(np.corrcoef(chain.out[:, 0], y[:, 0])[0, 1]) < 0.2
+    assert np.corrcoef(chain.predict(toxicity.presence(docs, chain.chosen))[:, 0], y[:, 0])[0, 1] > 0.9
 
 
 def test_co_training_reaches_all_unlabelled(spark):
@@ -512,6 +571,20 @@ def test_mixing(spark, odd):
     assert mixing.mix(odd.limit(0)).count() == 0
 
 
+def test_mixing_in_order_of_texts_where_ids_repeat(spark, odd):
+    rows = [(i, t, s) for i, t, s in odd_rows()] + [(i, f"{t} b c", s) for i in (5, None) for t in ("x", "y", "z", "x") for s in ("a", None)]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows], "source": [r[2] for r in rows]}))
+    want = con.sql(mixing.SQL).fetchall()
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        got = mixing.copies(docs).select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies"))).collect()
+        assert sorted([tuple(r) for r in got], key=key) == sorted(want, key=key)
+        texts = collections.Counter((r.doc_id, r.text) for r in mixing.mix(docs).collect())
+        assert parts == 1 or texts == first
+        first = texts
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
