@@ -20,7 +20,8 @@ def usage_aggregates(spark, sf):
     return aggregates_of(table(spark, sf, "lineitem"))
 
 
-def aggregates_of(items):
+def aggregates_of(items, *more):
+    """The same of given items; `more` columns may use the day's quantity `q` and count `n`."""
     per_day = items.groupBy(
         F.concat("l_returnflag", "l_linestatus").alias("orgid"), F.col("l_shipdate").alias("time_stamp")).agg(
         F.sum("l_quantity").cast("bigint").alias("q"), F.count(F.lit(1)).alias("n"))
@@ -37,7 +38,7 @@ def aggregates_of(items):
         F.when(F.col("n") % 3 == 0, "Web").otherwise("Desktop").alias("ep1"),
         F.when(relation == "callDuration", F.col("q") * 5).otherwise(none).alias("number_of_successful_calls"),
         F.when(relation == "callQuality", F.col("q") * 4).otherwise(none).alias("number_of_total_calls"),
-        F.when(relation == "callQuality", F.col("n")).otherwise(none).alias("number_of_bad_calls"))
+        F.when(relation == "callQuality", F.col("n")).otherwise(none).alias("number_of_bad_calls"), *more)
 
 
 _AGG = """
@@ -193,16 +194,22 @@ SELECT r AS relation_name, orgid, '1998-06-15 00:00:00' AS time_stamp,
   CASE WHEN r = 'callDuration' THEN q * 5 END AS successful_calls, CASE WHEN r = 'callQuality' THEN n END AS bad_calls,
   CASE WHEN r = 'callQuality' THEN q * 4 END AS total_calls, CASE WHEN r = 'fileUsed' THEN q * 2 END AS files,
   1::BIGINT AS number_of_ua_category, CASE WHEN r = 'messageSent' THEN q * 3 END AS messages,
-  CASE WHEN r = 'messageSent' THEN q * 3 END AS message, 1::BIGINT AS number_of_userid
+  CASE WHEN r = 'messageSent' THEN q * 3 END AS message, 1::BIGINT AS number_of_userid,
+  CASE WHEN r = 'activeUser' THEN n END AS onetoonecount, CASE WHEN r = 'activeUser' THEN n + 1 END AS spacecount,
+  CASE WHEN r = 'callDuration' THEN q * 6 END AS minutes, CASE WHEN r = 'fileUsed' THEN q * 7 END AS filesize,
+  CASE WHEN r = 'callDuration' THEN n * 2 END AS calls, 'EU' AS region
 FROM d, (SELECT unnest(['fileUsed', 'activeUser', 'callDuration', 'callQuality', 'messageSent']) AS r)
 WHERE orgid <> 'RO'""")
 def aggregate_monitor(spark, sf):
-    rows = usage_aggregates(spark, sf).withColumns({
-        name: F.lit(None).cast("bigint")
-        for name in ("onetoonecount", "spacecount", "number_of_minutes", "filesize", "calls")
-    }).withColumn("userid", F.col("orgid"))
-    sums = tables.aggregate_sums(rows, ORGS, BUSINESS_DAY)
-    return with_text_time(sums.drop("onetoonecount", "spacecount", "minutes", "filesize", "calls", "region"))
+    def of(relation, value, name):
+        return F.when(F.col("relation_name") == relation, value).alias(name)
+
+    q, n = F.col("q"), F.col("n")
+    rows = aggregates_of(
+        table(spark, sf, "lineitem"), of("activeUser", n, "onetoonecount"), of("activeUser", n + 1, "spacecount"),
+        of("callDuration", q * 6, "number_of_minutes"), of("fileUsed", q * 7, "filesize"), of("callDuration", n * 2, "calls"),
+        F.col("orgid").alias("userid"))
+    return with_text_time(tables.aggregate_sums(rows, ORGS, BUSINESS_DAY, "EU"))
 
 
 @query("daily_sums", f"""{_FACTS}
