@@ -621,6 +621,7 @@ def scores(docs: DataFrame, held_out, *, id_col: str = "doc_id", text_col: str =
         others = after.where(~often).select(bucket.alias("bucket"), "key", "codes", "times").groupBy("bucket")
         there = work.keep(
             packs.cogroup(others).applyInArrow(_score_bucket(pages, model), "rid long, bucket long, docs array<int>, logs array<double>"), "packs")
+        work.drop(learned)
         there = there.groupBy("rid").applyInArrow(_brought_back, "rid long, there double")
         rest = (
             found.where("token is not null").join(words, "token", "left").groupBy("rid").agg(

@@ -6,8 +6,10 @@ import functools
 import hashlib
 import itertools
 import math
+import pathlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -25,7 +27,7 @@ from tallyford.llm import (
     toxicity, warc)
 from tallyford.llm.queries import QUERIES, SQL
 from tallyford.llm.registry import ship
-from tallyford.llm.work import Work
+from tallyford.llm.work import Work, result
 
 SPACES = "[\x20\x09-\x0d]+"
 random.seed(5)
@@ -94,6 +96,23 @@ def test_components(spark):
     assert got == {x: find(x) for x in parent}
 
 
+def test_kept_tables_leave_no_shuffle_files(spark):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {str(x) for folder in folders for x in pathlib.Path(folder).rglob("shuffle_*")}
+
+    before = files()
+    with Work(spark, "test") as work:
+        kept = work.keep(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "kept")
+        assert result(kept.groupBy("count").agg(F.sum("k").alias("k"))).first()["k"] == 45
+        deadline = time.monotonic() + 20
+        while files() - before and time.monotonic() < deadline:
+            time.sleep(0.1)
+        assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def brute_components(rows, k, num, den):
     sets = []
     for _, text, *_ in rows:
