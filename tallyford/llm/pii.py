@@ -8,13 +8,16 @@ quotes). They learn from weak labels: spans that a rule confirms are positive, d
 and no context supports are negative. The threshold is the lowest at which a held-out part of the labelled spans has
 the wanted precision. A span under the threshold, or that overlaps a rule's span or a better one, is left out.
 
-The trees are fitted on at most TRAIN_ROWS labelled candidates, in the order of a hash; all documents are scored.
+The trees are fitted on all labelled candidates but a quarter, which sets the threshold; all documents are scored. Features lie on
+a grid, so the fit counts every row for the places where it may split and these stay few.
 A null text is empty. Places are code points, the end is exclusive. Equal rows are separate documents, other
 columns are not read. Without labelled candidates of both classes nothing is added to the rules' spans.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,8 +27,11 @@ from pyspark.sql import functions as F
 from .registry import query, table
 from .work import Work, result
 
-TRAIN_ROWS = 20_000
+# Labelled candidates that a task of the fit holds, about.
+FITTED_TOGETHER = 100_000
 PRECISION = 0.98
+# Steps of a share, and of a length when it doubles; counts end at 4 * STEPS.
+STEPS = 32
 CONTEXT = 24
 
 # Possessive and anchored forms of the kinds' patterns: they find the same matches in time linear in the text.
@@ -125,6 +131,11 @@ def features(found: Column, before: Column, kind: Column) -> dict[str, Column]:
         "mark_before": F.rlike(before, F.lit("[=:\"'(]\\s?$")),
         **{f"is_{k}": kind == k for k in PROPOSED},
     }
+    # On a grid: whole steps of the length's logarithm and of shares, small counts and flags.
+    values["length"] = F.round(F.log2(values["length"]) * STEPS / 4)
+    for name in ("digits", "letters", "capitals", "variety", "separators"):
+        values[name] = F.round(values[name] * STEPS)
+    values["dots"] = F.least(values["dots"], F.lit(4 * STEPS))
     return {name: value.cast("double") for name, value in values.items()}
 
 
@@ -135,28 +146,33 @@ def _candidates(found: DataFrame) -> DataFrame:
                        F.col("c.found").alias("found"), F.col("c.before").alias("before"), "c.rule")
     f = features(F.col("found"), F.col("before"), F.col("kind"))
     with_features = named.select("rid", "id", "kind", "start", "end", "rule", *[F.coalesce(f[x], F.lit(0.0)).alias(x) for x in FEATURES])
-    assigned = (F.col("kind") == "secret") & (F.col("equals") > 0) & (F.col("digits") > 0.15)
+    assigned = (F.col("kind") == "secret") & (F.col("equals") > 0) & (F.col("digits") > 0.15 * STEPS)
     unsupported = F.col("kind").isin("digits", "key", "national") & (F.col("word_before") + F.col("mark_before") + F.col("luhn") == 0)
     return with_features.withColumn("label", F.when(F.col("rule") | assigned, 1.0).when(unsupported, 0.0))
 
 
+def _held() -> Column:
+    return F.pmod("h", F.lit(4)) == 0
+
+
 def fit(candidates: DataFrame, work: Work):
-    """Trees and threshold from labelled candidates; None if they are all of one class."""
-    labelled = candidates.where("label is not null")
-    # By the id, not the row number: the sample is the same however the input is split.
-    order = F.xxhash64("id", "start", "end", "kind")
-    sample = work.keep(labelled.withColumn("h", order).orderBy("h", "id", "start", "rid").limit(TRAIN_ROWS).repartition(2), "sample")
-    held = F.pmod("h", F.lit(4)) == 0
-    seen = sample.where(~held).groupBy("label").count().collect()
+    """Trees and threshold from all labelled candidates; None if they are all of one class."""
+    labelled = candidates.where("label is not null").withColumn("h", F.xxhash64("id", "start", "end", "kind"))
+    seen = {r.label: r.n for r in labelled.where(~_held()).groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(seen) < 2:
         return None
+    n = sum(seen.values())
+    # By the id, not the row number: the order of the sums is the same however the input is split.
+    labelled = work.keep(labelled.repartition(n // FITTED_TOGETHER + 2, "h").sortWithinPartitions("h", "id", "start"), "labelled")
     together = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    trees = GBTClassifier(maxIter=8, maxDepth=4, seed=7, labelCol="label").fit(together.transform(sample.where(~held)))
+    # The library looks for places to split in maxBins squared rows: with the root of the rows, in all of them.
+    trees = GBTClassifier(maxIter=8, maxDepth=4, seed=7, labelCol="label", maxBins=max(32, math.isqrt(n) + 1)).fit(
+        together.transform(labelled.where(~_held())))
 
     def scored(df: DataFrame) -> DataFrame:
         return trees.transform(together.transform(df)).withColumn("score", F.round(vector_to_array("probability")[1], 6))
 
-    steps = scored(sample.where(held)).groupBy("score").agg(F.sum("label").alias("good"), F.count("*").alias("n"))
+    steps = scored(labelled.where(_held())).groupBy("score").agg(F.sum("label").alias("good"), F.count("*").alias("n"))
     above = Window.orderBy(F.desc("score"))
     good = steps.select("score", (F.sum("good").over(above) / F.sum("n").over(above)).alias("precision")).where(F.col("precision") >= PRECISION)
     threshold = good.agg(F.min("score")).first()[0]

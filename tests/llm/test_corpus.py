@@ -643,6 +643,28 @@ def test_spelled_addresses_in_capitals(spark):
     assert [r.n for r in found] == [1, 1, 0]
 
 
+def test_personal_data_learns_from_all_candidates(spark, monkeypatch):
+    ship(spark)
+    monkeypatch.setattr(pii, "TRAIN_ROWS", 100, raising=False)
+    monkeypatch.setattr(pii, "FITTED_TOGETHER", 50, raising=False)
+    fitted, bins = [], []
+
+    class Seen(pii.GBTClassifier):
+        def fit(self, df):
+            fitted.append(df.count())
+            bins.append(self.getMaxBins())
+            return super().fit(df)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Seen)
+    rng = random.Random(3)
+    texts = [f"item {rng.randrange(10 ** 9, 10 ** 10)} now" if i % 2 else f"password={rng.randrange(10 ** 8)}x{i}" for i in range(1600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    # A quarter of the 1,600 labelled spans, by a hash, sets the threshold.
+    assert 1100 < fitted[0] < 1300 and bins[0] ** 2 >= fitted[0]
+    assert all(len(got[i]) == (i % 2 == 0) for i in range(1600))
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     assert oracle.difference(QUERIES[name](spark, DATA), oracle.connect(DATA), SQL[name]) is None
