@@ -329,10 +329,14 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, work: Work, k
         .groupBy("cls").agg(F.first("set").alias("set")))
     sets = work.keep(sets, "sets")
     sent.destroy()
+    work.drop(needed)
     both = (
         pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("a_set")), "a")
         .join(sets.select(F.col("cls").alias("b"), F.col("set").alias("b_set")), "b"))
-    return work.keep(both.mapInArrow(_verified(num, den), "a long, b long"), "links")
+    links = work.keep(both.mapInArrow(_verified(num, den), "a long, b long"), "links")
+    work.drop(sets)
+    work.drop(pairs)
+    return links
 
 
 def near_duplicates(
@@ -366,8 +370,10 @@ def near_duplicates(
 
         # Keys of several classes are found by a partial minimum and maximum, so a hot key's classes never meet in a task.
         found = work.keep(texts.where("text is not null").mapInArrow(_keys(k, num, den, frequent), "key long, cls long"), "keys")
-        several = found.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo != hi").select("key")
+        several = work.keep(found.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo != hi").select("key"), "several")
         shared = work.keep(found.join(several, "key").select("key", "cls").distinct(), "shared")
+        work.drop(found)
+        work.drop(several)
         weight = (
             shared.join(shared.groupBy("key").agg(F.count("*").alias("size")), "key")
             .groupBy("cls").agg(F.sum("size").alias("weight")))

@@ -191,6 +191,21 @@ def test_block_pairs_leave_unrelated_long_texts():
     assert linked <= got == near and all(i < 24 and j < 24 for i, j in got)
 
 
+def test_near_duplicates_drop_keys_once_shared(spark, odd, monkeypatch):
+    kept, dropped = {}, set()
+    keep, drop = Work.keep, Work.drop
+
+    def keeps(self, df, name, *args):
+        made = keep(self, df, name, *args)
+        kept[name] = made
+        return made
+
+    monkeypatch.setattr(Work, "keep", keeps)
+    monkeypatch.setattr(Work, "drop", lambda self, df: (dropped.add(next((k for k, v in kept.items() if v is df), None)), drop(self, df)))
+    ngram_join.near_duplicates(odd)
+    assert {"keys", "several", "pairs", "needed", "sets"} <= dropped
+
+
 def test_sketches_bound_the_difference():
     for n, gone in ((5, 1), (400, 30), (3000, 200)):
         a = np.unique(np.random.default_rng(n).integers(0, 1 << 62, n).astype(np.uint64))
