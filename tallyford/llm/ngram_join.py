@@ -47,6 +47,8 @@ SKETCH_BYTES = 64
 FOLDED = 8
 # Bytes of sketches that are compared at once.
 COMPARED = 1 << 22
+# Pairs of a block that are held at once, and more only for one row on the left.
+PAIRS = 1 << 16
 # The filter that keeps texts of no pair from the join has 2 ** 23 bits.
 NEEDED_BITS = 23
 # Documents of one key that a task tests against as many others.
@@ -233,14 +235,16 @@ def _block_pairs(num: int, den: int):
             value, which = np.unique(rows, return_inverse=True)
             return np.stack([folded(np.frombuffer(g["sketch"][i], np.uint8), size) for i in value]).view(np.uint64)[which]
 
-        out_a, out_b = [], []
-        for begin in range(0, len(left), 256):
-            # Of each row on the left, the rows on the right of a size that could link.
-            part = left[begin:begin + 256]
-            n = g["n"][part]
-            first = np.searchsorted(sizes, -(-n * num // den))
-            last = np.searchsorted(sizes, n * den // num, "right")
-            most = np.maximum(last - first, 0)
+        # Of each row on the left, the rows on the right of a size that could link.
+        n = g["n"][left]
+        firsts = np.searchsorted(sizes, -(-n * num // den))
+        counts = np.maximum(np.searchsorted(sizes, n * den // num, "right") - firsts, 0)
+        ends = np.cumsum(counts)
+        out_a, out_b, begin = [], [], 0
+        while begin < len(left):
+            done = ends[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+            part, first, most, begin = left[begin:end], firsts[begin:end], counts[begin:end], end
             x = np.repeat(part, most)
             y = right[np.arange(len(x)) - np.repeat(np.cumsum(most) - most, most) + np.repeat(first, most)]
             keep = g["label"][x] != g["label"][y]

@@ -10,6 +10,7 @@ import pathlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import duckdb
@@ -191,6 +192,22 @@ def test_block_pairs_leave_unrelated_long_texts():
     assert linked <= got == near and all(i < 24 and j < 24 for i, j in got)
 
 
+def test_block_pairs_hold_few_pairs_at_once():
+    generator = np.random.default_rng(3)
+    common, rows = generator.integers(0, 1 << 62, 120).astype(np.uint64), 2048
+    same = pa.array(np.zeros(rows, np.int64))
+    batch = pa.record_batch([
+        same, same, same, same, pa.array(np.arange(rows)), pa.array(np.arange(rows)), pa.array(np.full(rows, 180)),
+        pa.array([ngram_join.parity(np.concatenate([common, generator.integers(0, 1 << 62, 60).astype(np.uint64)])) for _ in range(rows)])],
+        ["key", "low", "high", "block", "cls", "label", "n", "sketch"])
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in ngram_join._block_pairs(80, 100)([batch])) == 0
+        assert tracemalloc.get_traced_memory()[1] < 20e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_near_duplicates_drop_keys_once_shared(spark, odd, monkeypatch):
     kept, dropped = {}, set()
     keep, drop = Work.keep, Work.drop
