@@ -181,19 +181,15 @@ def _keys(k: int, num: int, den: int, frequent):
     return run
 
 
-def _sets(k: int):
-    def run(batches):
-        for batch in slices(batches):
-            found = shingles(Texts(batch.column("text")), k)
-            yield pa.record_batch([batch.column("cls"), pa.array([x.tobytes() for x in found], pa.binary())], ["cls", "set"])
-
-    return run
-
-
-def _sieved(sent):
+def _sets(k: int, sent):
+    """The sets of the texts that may be needed."""
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(passes(sent.value, batch.column("text_hash").to_numpy().view(np.uint64))))
+            needed = batch.filter(pa.array(passes(sent.value, batch.column("text_hash").to_numpy().view(np.uint64))))
+            for some in slices(iter([needed])):
+                found = shingles(Texts(some.column("text")), k)
+                yield pa.record_batch([some.column("id"), some.column("text_hash"), pa.array([x.tobytes() for x in found], pa.binary())],
+                                      ["id", "text_hash", "set"])
 
     return run
 
@@ -324,12 +320,13 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, work: Work, k
     pairs = work.keep(pairs, "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     needed = work.keep(needed.join(classes, "cls").select("cls", F.col("one.id").alias("one_id"), F.col("one.text_hash").alias("one_text")), "needed")
-    # Texts are long and few are needed: most stay where they are.
+    # Texts are long and few are needed: most stay where they are. Their sets are made before the join, in the pass of the filter: with
+    # a second Python step behind a broadcast join an executor holds four workers, not two.
     spark = texts.sparkSession
     sent = spark.sparkContext.broadcast(sieve(needed, "one_text", NEEDED_BITS))
-    texts = texts.mapInArrow(_sieved(sent), texts.schema)
+    made = texts.mapInArrow(_sets(k, sent), f"id {dict(texts.dtypes)['id']}, text_hash long, set binary")
     sets = (
-        texts.join(needed, (texts.text_hash == needed.one_text) & texts.id.eqNullSafe(needed.one_id)).select("cls", "text").mapInArrow(_sets(k), "cls long, set binary")
+        made.join(needed, (made.text_hash == needed.one_text) & made.id.eqNullSafe(needed.one_id))
         .groupBy("cls").agg(F.first("set").alias("set")))
     sets = work.keep(sets, "sets")
     sent.destroy()

@@ -223,6 +223,20 @@ def test_near_duplicates_drop_keys_once_shared(spark, odd, monkeypatch):
     assert {"keys", "several", "pairs", "needed", "sets"} <= dropped
 
 
+def test_near_duplicates_have_one_python_step_to_a_stage(spark, odd, monkeypatch):
+    # A second step in a stage, as behind a broadcast join, makes an executor hold two more workers to the end.
+    steps, keep = {}, Work.keep
+
+    def keeps(self, df, name, *args):
+        steps.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+        return keep(self, df, name, *args)
+
+    monkeypatch.setattr(Work, "keep", keeps)
+    ngram_join.near_duplicates(odd)
+    assert {name: max(x) for name, x in steps.items() if max(x) > 1} == {}
+    assert steps["sets"] == [1, 1]
+
+
 def test_sketches_bound_the_difference():
     for n, gone in ((5, 1), (400, 30), (3000, 200)):
         a = np.unique(np.random.default_rng(n).integers(0, 1 << 62, n).astype(np.uint64))
