@@ -69,6 +69,11 @@ END = (mix_one(0xE0D) & ~int(_CODE)) | 0xA5
 START = 0x57A7 << BITS
 
 
+def _context(token: np.ndarray) -> np.ndarray:
+    """40 bits of a token's hash and its code."""
+    return (mix(token + np.uint64(2)) >> np.uint64(24)) << np.uint64(8) | token & _CODE
+
+
 class Tokens:
     """The tokens of a batch in a row: 56 bits of the word's hash and its code; contexts of each."""
 
@@ -90,9 +95,8 @@ class Tokens:
         two = np.concatenate((np.array([START], np.uint64), one))[:len(self.id)]
         two[self.begins] = START
         self.before, self.two = (one & _CODE).astype(np.int64), (two & _CODE).astype(np.int64)
-        # 40 bits of the token before's hash and its code, then the entry: the code before it and the token's own.
-        self.key = (mix(one + np.uint64(2)) >> np.uint64(24)) << np.uint64(24) | (one & _CODE) << np.uint64(16) | (two & _CODE) << np.uint64(8)
-        self.key |= self.id & _CODE
+        # The context, then the entry: the code before it and the token's own.
+        self.key = _context(one) << np.uint64(16) | (two & _CODE) << np.uint64(8) | self.id & _CODE
 
     def page(self) -> np.ndarray:
         return (self.before << 16 | self.two << 8 | self.code).astype(np.uint64)
@@ -204,11 +208,27 @@ def _heaps(begin: np.ndarray, codes: np.ndarray, times: np.ndarray) -> np.ndarra
     """A heap for each list of codes: node 1 has all its tokens, node `256 | code` those of a code."""
     heaps = np.zeros((len(begin) - 1, 2 << BITS), np.float32)
     heaps[np.repeat(np.arange(len(begin) - 1), np.diff(begin)), codes.astype(np.int64) | 1 << BITS] = times
+    return _filled(heaps)
+
+
+def _filled(heaps: np.ndarray) -> np.ndarray:
+    """Heaps whose codes are set, with their inner nodes."""
     for depth in range(BITS - 1, -1, -1):
-        heaps[:, 1 << depth:2 << depth] = heaps[:, 2 << depth:4 << depth].reshape(len(heaps), 1 << depth, 2).sum(2)
+        below = heaps[:, 2 << depth:4 << depth]
+        # Two strided halves: a sum over an axis of two takes several times as long.
+        np.add(below[:, ::2], below[:, 1::2], out=heaps[:, 1 << depth:2 << depth])
     return heaps
 
 
+def _without_own(heaps: np.ndarray) -> np.ndarray:
+    """At each node the stretched probability of the way to it, with one token that took it left out."""
+    value = np.zeros(heaps.shape, np.float32)
+    toward = heaps[:, 2:]
+    other = np.repeat(heaps[:, 1:1 << BITS], 2, axis=1) - toward
+    value[:, 2:] = np.log((np.maximum(toward - 1, 0) + 0.4) / (other + 0.4))
+    return value
+
+
 def _stretched(heaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """At each inner node the stretched probability of a set bit, and the class of its count."""
     left, right = heaps[:, 2::2], heaps[:, 3::2]
@@ -263,8 +283,13 @@ class Pages(Contexts):
         return self.row(np.arange(1 << 2 * BITS))
 
     @functools.cached_property
-    def heaps(self) -> np.ndarray:
-        return np.concatenate([self.some(0, len(self.key)), np.zeros((1, 2 << BITS), np.float32)])
+    def without_own(self) -> list[np.ndarray]:
+        """For learning: the tables of no, one and two codes before, less one token's own count."""
+        out = np.zeros((len(self.key) + 1, 2 << BITS), np.float32)
+        for at in range(0, len(self.key), UNPACKED):
+            to = min(at + UNPACKED, len(self.key))
+            out[at:to] = _without_own(self.some(at, to))
+        return [_without_own(self.before.sum(0, keepdims=True)), _without_own(self.before), out]
 
     @functools.cached_property
     def before(self) -> np.ndarray:
@@ -292,18 +317,19 @@ class Mixer:
     def __init__(self, weights: np.ndarray | None = None):
         self.weights = np.full((GATES, TABLES), 1 / TABLES + 0.1, np.float32) if weights is None else weights
 
-    def inputs(self, paths: list[np.ndarray], code: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Stretched predictions (tables, tokens x bits), gates and bits; `own` of each token's counts are its own."""
+    def inputs(self, stretched: list[np.ndarray], path: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Stretched predictions (tables, tokens x bits), gates and bits. `stretched` is toward the code, in the tables but that of the
+        token before, whose counts on the path come with the token's own."""
         bit = (code[:, None] >> np.arange(BITS - 1, -1, -1)) & 1
         sign = (2 * bit - 1).astype(np.float32)
+        toward = path[:, 1:] - 1
+        other = path[:, :-1] - path[:, 1:]
+        n = toward + other
+        gate = np.arange(BITS) * 4 + (n > 0).astype(np.int64) + (n > 16) + (n > 256)
+        after = np.log((toward + np.float32(0.4)) / (other + np.float32(0.4)))
         x = np.empty((TABLES, code.size * BITS), np.float32)
-        for t, path in enumerate(paths):
-            toward = path[:, 1:] - own
-            other = path[:, :-1] - path[:, 1:]
-            x[t] = (sign * np.log((toward + np.float32(0.4)) / (other + np.float32(0.4)))).ravel()
-            if t == 2:
-                n = toward + other
-                gate = np.arange(BITS) * 4 + (n > 0).astype(np.int64) + (n > 16) + (n > 256)
+        for t, value in enumerate((stretched[0], stretched[1], after, stretched[2])):
+            np.multiply(sign, value, out=x[t].reshape(sign.shape))
         return x, gate.ravel(), bit.ravel()
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
@@ -353,15 +379,15 @@ class Learner:
 
     def step(self, key, length, codes, times) -> None:
         row, code = np.repeat(np.arange(len(key)), length), codes & 0xFF
-        leaves = np.bincount(row << BITS | code, weights=times, minlength=len(key) << BITS)
-        begin = np.arange(len(key) + 1) << BITS
-        after = _heaps(begin, np.tile(np.arange(1 << BITS), len(key)), leaves)
+        after = np.zeros((len(key), 2 << BITS), np.float32)
+        after[:, 1 << BITS:] = np.bincount(row << BITS | code, weights=times, minlength=len(key) << BITS).reshape(len(key), 1 << BITS)
+        after = _filled(after).reshape(-1)
         before, nodes = (key & 0xFF)[row], _NODES[code]
-        pages = self.pages
-        every = pages.before.sum(0)
-        paths = [every[nodes], pages.before[before[:, None], nodes], after[row[:, None], nodes],
-                 pages.heaps[pages.place[before << 8 | codes >> 8][:, None], nodes]]
-        x, gate, bit = self.mixer.inputs(paths, code, 1)
+        pages, steps = self.pages, nodes[:, 1:]
+        every, one, two = (x.reshape(-1) for x in pages.without_own)
+        place = pages.place[before << 8 | codes >> 8]
+        stretched = [every[steps], one[(before << BITS + 1)[:, None] | steps], two[(place << BITS + 1)[:, None] | steps]]
+        x, gate, bit = self.mixer.inputs(stretched, after[(row << BITS + 1)[:, None] | nodes], code)
         times = np.repeat(times, BITS)
         at = _step(self.mixer.learn(x, gate, bit, times))
         self.used += np.bincount(gate, weights=times, minlength=GATES)
@@ -402,30 +428,65 @@ def _learn(pages, bits: int):
 
 
 def _step(mixed: np.ndarray) -> np.ndarray:
-    depth = np.arange(mixed.size).reshape(mixed.shape) % BITS
+    depth = np.arange(BITS) if mixed.ndim == 2 else np.arange(mixed.size) % BITS
     return depth * STEPS + np.clip(np.rint(mixed * 2) + STEPS // 2, 0, STEPS - 1).astype(np.int64)
 
 
-def _logs(weights: np.ndarray, refined: np.ndarray, pages: Pages, after: tuple[np.ndarray, np.ndarray], row: np.ndarray, entry: np.ndarray) -> np.ndarray:
-    """The log of each code's probability. `row` is the context's place in `after`; `entry` has three codes, its own the last."""
-    out = np.empty(len(row))
+def _looked_up(after: tuple[np.ndarray, np.ndarray], row: np.ndarray):
+    """What `_stretched` tables of contexts tell on paths; `row` is each path's context."""
     value, seen = (x.reshape(-1) for x in after)
-    paged = pages.stretched[0].reshape(-1)
-    by_table = np.ascontiguousarray(weights.T)
-    for at in range(0, len(row), MINI_BATCH):
-        r, e = row[at:at + MINI_BATCH], entry[at:at + MINI_BATCH]
-        code = e & 0xFF
-        nodes = _NODES[code, :-1]
-        place = (r << BITS)[:, None] | nodes
-        gate = np.arange(BITS) * 4 + seen[place]
-        two = pages.inputs[(e >> 16) << BITS | code]
-        mixed = by_table[0][gate] * two[:, 0] + by_table[1][gate] * two[:, 1] + by_table[2][gate] * value[place]
-        mixed += by_table[3][gate] * paged[(pages.place[e >> 8] << BITS)[:, None] | nodes]
-        np.clip(mixed, -14, 14, out=mixed)
-        p = (_squash(mixed) + refined[_step(mixed)]) / 2
-        bit = (code[:, None] >> np.arange(BITS - 1, -1, -1)) & 1
-        out[at:at + MINI_BATCH] = np.log10(np.where(bit == 1, p, 1 - p).prod(1))
-    return out
+
+    def found(some: slice, nodes: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = (row[some] << BITS)[:, None] | nodes[:, :-1]
+        return value.take(place), seen.take(place)
+
+    return found
+
+
+def _counted(heaps: np.ndarray, row: np.ndarray):
+    """The same from heaps of contexts, for few paths of many contexts."""
+    counts = heaps.reshape(-1)
+
+    def found(some: slice, nodes: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        path = counts.take((row[some] << BITS + 1)[:, None] | nodes)
+        n, toward = path[:, :-1], path[:, 1:]
+        value = np.log((toward + np.float32(0.4)) / (n - toward + np.float32(0.4)))
+        return np.where(bit == 1, value, -value), (n > 0).astype(np.uint8) + (n > 16) + (n > 256)
+
+    return found
+
+
+class Scorer:
+    """Probabilities of codes by the learned weights and map."""
+
+    def __init__(self, weights: np.ndarray, refined: np.ndarray, pages: Pages):
+        self.refined, self.after, self.two = refined, np.ascontiguousarray(weights[:, 2]), np.ascontiguousarray(weights[:, 3])
+        # The tables of no and one code before have few inputs, which are weighed once for each class of the gate.
+        every, one = weights[:, 0].reshape(BITS, -1), weights[:, 1].reshape(BITS, -1)
+        self.weighed = (every * pages.inputs[:, 0, :, None] + one * pages.inputs[:, 1, :, None]).reshape(-1)
+        self.paged, self.place = pages.stretched[0].reshape(-1), pages.place << BITS
+
+    def logs(self, entry: np.ndarray, after) -> np.ndarray:
+        """The log of each code's probability. `entry` has three codes, its own the last; `after` tells of the token before's table."""
+        out = np.empty(len(entry))
+        for at in range(0, len(entry), MINI_BATCH):
+            some = slice(at, at + MINI_BATCH)
+            e = entry[some]
+            code = e & 0xFF
+            nodes, bit = _NODES[code], (code[:, None] >> np.arange(BITS - 1, -1, -1)) & 1
+            value, seen = after(some, nodes, bit)
+            gate = np.arange(BITS) * 4 + seen
+            mixed = self.weighed.take((((e >> 16) << BITS | code) * GATES)[:, None] + gate)
+            mixed += self.after.take(gate) * value
+            mixed += self.two.take(gate) * self.paged.take(self.place[e >> 8][:, None] | nodes[:, :-1])
+            np.clip(mixed, -14, 14, out=mixed)
+            p = (_squash(mixed) + self.refined.take(_step(mixed))) / 2
+            p = np.where(bit == 1, p, 1 - p)
+            # Halves of the row are multiplied, for a product over a short axis takes several times as long.
+            while p.shape[1] > 1:
+                p = p[:, ::2] * p[:, 1::2]
+            out[some] = np.log10(p[:, 0])
+        return out
 
 
 _FOUND = {
@@ -480,21 +541,25 @@ def _score(contexts, pages, model, bits: int):
     """A row per document, rows `(rid, token, count)` for tokens that were not sent, and packs for contexts that were not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, refined, sent, sent_logs, code_logs = model.value
+        scorer = Scorer(weights, refined, pages.value)
         rid = TaskContext.get().partitionId() << 40
         packs = Packs(rid, bits)
         for batch in slices(batches):
             texts = Texts(batch.column("text"))
             found = Tokens(texts)
             of = np.repeat(np.arange(texts.n), np.diff(np.append(found.begins, len(found.id))))
-            row = contexts.value.row((found.key >> np.uint64(16)).astype(np.int64))
+            # A token before is looked up once.
+            value, which = np.unique(found.id, return_inverse=True)
+            rows = contexts.value.row(_context(np.append(value, np.uint64(START))).astype(np.int64))
+            row = np.append(rows[-1:], rows[which])[:len(which)]
+            row[found.begins] = rows[-1]
             sent_here = row < len(contexts.value.key)
             here, there = np.flatnonzero(sent_here), np.flatnonzero(~sent_here)
             logs = np.zeros(len(found.id))
             entry = (found.key[here] & np.uint64(0xFFFFFF)).astype(np.int64)
-            logs[here] = _logs(weights, refined, pages.value, contexts.value.stretched, row[here], entry)
+            logs[here] = scorer.logs(entry, _looked_up(contexts.value.stretched, row[here]))
             packs.add(found.key[there], of[there] + (rid - packs.base))
             logs -= code_logs[found.code]
-            value, which = np.unique(found.id, return_inverse=True)
             at = np.minimum(np.searchsorted(sent, value), max(len(sent) - 1, 0))
             is_sent = sent[at] == value if len(sent) else np.zeros(len(value), bool)
             own = is_sent[which]
@@ -528,7 +593,7 @@ def _score_bucket(pages, model):
         return pa.concat_arrays(column.chunks).flatten().to_numpy() if column.num_chunks else np.zeros(0, np.int64)
 
     def run(packs: pa.Table, contexts: pa.Table) -> pa.Table:
-        weights, refined = model.value[:2]
+        scorer = Scorer(*model.value[:2], pages.value)
         packs = packs.sort_by("rid")
         keys, which = np.unique(flat(packs, "keys").view(np.uint64), return_inverse=True)
         known = Contexts(contexts)
@@ -541,7 +606,7 @@ def _score_bucket(pages, model):
             heaps = np.concatenate([known.some(at, to), np.zeros((1, 2 << BITS), np.float32)])
             row = known.row(context[a:b]) - at
             row[(row < 0) | (row > to - at)] = to - at
-            logs[a:b] = _logs(weights, refined, pages.value, _stretched(heaps), row, entry[a:b])
+            logs[a:b] = scorer.logs(entry[a:b], _counted(heaps, row))
         pack = np.repeat(np.arange(packs.num_rows), pc.list_value_length(packs.column("keys")).to_numpy())
         place, of = np.unique(pack << 32 | flat(packs, "docs"), return_inverse=True)
         sums = np.bincount(of, weights=logs[which] * flat(packs, "times"), minlength=len(place))

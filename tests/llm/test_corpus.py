@@ -446,6 +446,42 @@ def test_language_model_counts_each_context():
         assert len(merged) == len({k >> low for k in want[part]})
 
 
+def test_language_model_sums_heaps_by_halves():
+    generator = np.random.default_rng(3)
+    codes = generator.integers(0, 256, 20_000)
+    begin, times = np.arange(0, 20_001, 5), generator.integers(1, 9, 20_000)
+
+    def reduced(heaps):
+        for depth in range(7, -1, -1):
+            heaps[:, 1 << depth:2 << depth] = heaps[:, 2 << depth:4 << depth].reshape(len(heaps), 1 << depth, 2).sum(2)
+        return heaps
+
+    def seconds(f):
+        took = []
+        for _ in range(5):
+            start = time.process_time()
+            f()
+            took.append(time.process_time() - start)
+        return min(took)
+
+    heaps = language_model._heaps(begin, codes, times)
+    again = heaps.copy()
+    again[:, :256] = 0
+    assert (heaps == reduced(again)).all()
+    assert seconds(lambda: language_model._heaps(begin, codes, times)) < seconds(lambda: reduced(again)) / 2
+
+
+def test_language_model_looks_up_what_it_counts():
+    generator = np.random.default_rng(4)
+    heaps = language_model._heaps(np.arange(0, 601, 6), generator.integers(0, 256, 600), generator.integers(1, 400, 600))
+    row, code = generator.integers(0, 100, 3000), generator.integers(0, 256, 3000)
+    nodes, bit = language_model._NODES[code], (code[:, None] >> np.arange(7, -1, -1)) & 1
+    for some in (slice(0, 3000), slice(1000, 1500)):
+        (a, m), (b, n) = (f(some, nodes[some], bit[some]) for f in (
+            language_model._looked_up(language_model._stretched(heaps), row), language_model._counted(heaps, row)))
+        assert np.abs(a - b).max() < 1e-5 and (m == n).all()
+
+
 def scored(docs, held):
     """By id, with the module as it is here in the tasks."""
     cloudpickle.register_pickle_by_value(language_model)
