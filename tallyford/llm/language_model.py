@@ -282,6 +282,15 @@ class Pages(Contexts):
     def place(self) -> np.ndarray:
         return self.row(np.arange(1 << 2 * BITS))
 
+    @functools.cached_property
+    def paged(self) -> np.ndarray:
+        """For scoring: the stretched table of two codes before, which opens no gate."""
+        value = np.zeros((len(self.key) + 1, 1 << BITS), np.float32)
+        for at in range(0, len(self.key), UNPACKED):
+            to = min(at + UNPACKED, len(self.key))
+            value[at:to] = _stretched(self.some(at, to))[0]
+        return value
+
     @functools.cached_property
     def without_own(self) -> list[np.ndarray]:
         """For learning: the tables of no, one and two codes before, less one token's own count."""
@@ -464,7 +473,7 @@ class Scorer:
         # The tables of no and one code before have few inputs, which are weighed once for each class of the gate.
         every, one = weights[:, 0].reshape(BITS, -1), weights[:, 1].reshape(BITS, -1)
         self.weighed = (every * pages.inputs[:, 0, :, None] + one * pages.inputs[:, 1, :, None]).reshape(-1)
-        self.paged, self.place = pages.stretched[0].reshape(-1), pages.place << BITS
+        self.paged, self.place = pages.paged.reshape(-1), pages.place << BITS
 
     def logs(self, entry: np.ndarray, after) -> np.ndarray:
         """The log of each code's probability. `entry` has three codes, its own the last; `after` tells of the token before's table."""

@@ -482,6 +482,15 @@ def test_language_model_looks_up_what_it_counts():
         assert np.abs(a - b).max() < 1e-5 and (m == n).all()
 
 
+def test_language_model_unpacks_page_values_only():
+    generator = np.random.default_rng(5)
+    lists = [pa.array([generator.integers(*x, 6).tolist() for _ in range(200)], pa.list_(pa.int32())) for x in ((0, 256), (1, 400))]
+    pages = language_model.Pages(pa.table({"key": pa.array(generator.permutation(1 << 16)[:200]), "codes": lists[0], "times": lists[1]}))
+    language_model.Scorer(language_model.Mixer().weights, np.full(200, 0.5), pages)
+    assert "stretched" not in pages.__dict__
+    assert (pages.paged == pages.stretched[0]).all()
+
+
 def scored(docs, held):
     """By id, with the module as it is here in the tasks."""
     cloudpickle.register_pickle_by_value(language_model)
